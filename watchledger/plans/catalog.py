@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from watchledger.plans import reports
+from watchledger.plans import reports, scoring
 
-CATALOG = [*reports.QUERIES]
+CATALOG = [*reports.QUERIES, *scoring.QUERIES]
 
 _names = [q.name for q in CATALOG]
 assert len(_names) == len(set(_names)), "query names must be unique"

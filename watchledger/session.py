@@ -27,7 +27,7 @@ def build_session(app: str = "watchledger", master: str | None = None, shuffle_p
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
+        builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
