@@ -57,7 +57,8 @@ class Tables:
 
     def stream(self, name: str) -> DataFrame:
         """The same file as an unbounded source."""
-        return self.spark.readStream.schema(self.base(name).schema).parquet(f"{self.sf_dir}/{name}.parquet")
+        reader = self.spark.readStream.schema(self.base(name).schema).option("pathGlobFilter", f"{name}.parquet")
+        return reader.parquet(self.sf_dir)
 
     def _sql(self, text: str, **frames: DataFrame) -> DataFrame:
         for key in ("k", "str"):

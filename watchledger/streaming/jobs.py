@@ -15,10 +15,21 @@ from watchledger.workspace import new_path
 LATENESS = "1 hour"
 
 
+def event_time(df: DataFrame, ts: str, lateness: str) -> DataFrame:
+    """Watermarks need an instant; the tables hold wall-clock times, read as session time (UTC)."""
+    return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
+
+
+def wall_clock(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
 def stream_incident_counts(incidents: DataFrame, width: str = "1 hour", lateness: str = LATENESS) -> DataFrame:
     """Tumbling counts per severity; data later than the watermark is dropped."""
-    return incidents.withWatermark("timestamp", lateness).groupBy(F.window("timestamp", width).alias("w"), "severity").agg(
-        F.count(F.lit(1)).alias("incidents")).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "severity", "incidents")
+    counts = event_time(incidents, "timestamp", lateness).groupBy(F.window("timestamp", width).alias("w"), "severity").agg(
+        F.count(F.lit(1)).alias("incidents"))
+    return wall_clock(counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "severity", "incidents"),
+                      "window_start", "window_end")
 
 
 def hourly_baseline(incidents: DataFrame) -> DataFrame:
@@ -29,17 +40,18 @@ def hourly_baseline(incidents: DataFrame) -> DataFrame:
 
 def stream_spikes(incidents: DataFrame, baseline: DataFrame, ratio: float = 2.0, lateness: str = LATENESS) -> DataFrame:
     """Sliding one-hour counts above ``ratio`` times the baseline of their hour."""
-    counts = incidents.withWatermark("timestamp", lateness).groupBy(F.window("timestamp", "1 hour", "10 minutes").alias("w")).agg(
+    counts = event_time(incidents, "timestamp", lateness).groupBy(F.window("timestamp", "1 hour", "10 minutes").alias("w")).agg(
         F.count(F.lit(1)).alias("incidents")).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "incidents")
-    return counts.withColumn("hour", F.hour("window_start")).join(F.broadcast(baseline), "hour").where(
+    return wall_clock(counts, "window_start", "window_end").withColumn("hour", F.hour("window_start")).join(F.broadcast(baseline), "hour").where(
         F.col("incidents") > F.col("baseline") * ratio).select("window_start", "window_end", "incidents", "baseline")
 
 
 def stream_campaigns(incidents: DataFrame, n: int = 5, gap: str = "5 minutes", lateness: str = LATENESS) -> DataFrame:
     """Sessions of a source with at least ``n`` events."""
-    sessions = incidents.where("source_ip is not null").withWatermark("timestamp", lateness).groupBy(
+    sessions = event_time(incidents.where("source_ip is not null"), "timestamp", lateness).groupBy(
         F.session_window("timestamp", gap).alias("s"), "source_ip").agg(F.count(F.lit(1)).alias("events"))
-    return sessions.where(F.col("events") >= n).select("source_ip", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "events")
+    report = sessions.where(F.col("events") >= n).select("source_ip", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "events")
+    return wall_clock(report, "session_start", "session_end")
 
 
 def stream_correlate(incidents: DataFrame, logins: DataFrame, minutes: int = 60, lateness: str = LATENESS) -> DataFrame:
@@ -47,19 +59,19 @@ def stream_correlate(incidents: DataFrame, logins: DataFrame, minutes: int = 60,
 
     Unmatched incidents come out once the watermark has passed them.
     """
-    left = incidents.select("event_id", "timestamp", "source_ip").withWatermark("timestamp", lateness)
-    right = logins.select("login_id", "login_time", "ip_address").withWatermark("login_time", lateness)
+    left = event_time(incidents.select("event_id", "timestamp", "source_ip"), "timestamp", lateness)
+    right = event_time(logins.select("login_id", "login_time", "ip_address"), "login_time", lateness)
     window = F.expr(f"INTERVAL {minutes} MINUTES")
     near: Column = (
         (F.col("source_ip") == F.col("ip_address"))
         & (F.col("login_time") >= F.col("timestamp") - window) & (F.col("login_time") <= F.col("timestamp") + window)
     )
-    return left.join(right, near, "left").drop("ip_address")
+    return wall_clock(left.join(right, near, "left").drop("ip_address"), "timestamp", "login_time")
 
 
 def stream_dedupe(events: DataFrame, key: str = "event_id", ts: str = "timestamp", lateness: str = LATENESS) -> DataFrame:
     """Repeated events within the watermark are dropped."""
-    return events.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
+    return wall_clock(event_time(events, ts, lateness).dropDuplicatesWithinWatermark([key]), ts)
 
 
 def stream_clean_incidents(incidents: DataFrame) -> DataFrame:
