@@ -20,6 +20,15 @@ def safe_corr(x: Column, y: Column, window: WindowSpec | None = None) -> Column:
     return F.try_divide(over(F.covar_pop(x, y)), over(F.stddev_pop(x)) * over(F.stddev_pop(y)))
 
 
+def round_even(value: Column, places: int) -> Column:
+    """Scale, round half to even, scale back: the floating-point rounding of the scores.
+
+    ``bround`` rounds the decimal text of the double instead and differs on ties such as 55 * 2.473.
+    """
+    scale = F.lit(float(10 ** places))
+    return F.rint(value * scale) / scale
+
+
 def stats_of(df: DataFrame, **aggregates: Column) -> Column:
     """All aggregates of ``df`` as one struct-valued scalar subquery."""
     return df.agg(F.struct(*[c.alias(name) for name, c in aggregates.items()]).alias("stats")).scalar()

@@ -1,7 +1,7 @@
 """Isolation forest as a Spark job.
 
 1. A pool is drawn from the whole table by a hash threshold on the row key (a
-   filter, no sort), then each tree takes its 256 rows of the pool by hash order.
+   filter, no sort), then each tree takes the 256 pool rows of lowest hash.
 2. Each tree grows in its own task from those 256 rows.
 3. The grown forest (100 trees of at most 511 nodes, a fixed size) is shipped to
    the executors, which score *distinct* feature combinations in Arrow batches.
@@ -13,22 +13,27 @@ isolates the same rows on any affine scale.
 
 from __future__ import annotations
 
-import math
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchledger.operators.ordering import exact_quantiles
 from watchledger.workspace import materialize
 
+# Tasks receive the functions of this module by value: executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TREES = 100
 SAMPLE = 256
 DEPTH = 8  # ceil(log2(SAMPLE))
 SLOTS = 2 ** (DEPTH + 1) - 1
+DRAW = 320
 POOL = 8192
 _HASH_SPAN = 1 << 40
 _EULER = 0.5772156649015329
@@ -81,11 +86,16 @@ def fit_forest(df: DataFrame, features: Sequence[str], key: Sequence[str], seed:
     """Grow the trees; ``key`` identifies rows so that the sample does not depend on partitioning."""
     features, key = list(features), list(key)
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    draw = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(_HASH_SPAN))
-    share = F.lit(float(_HASH_SPAN) * POOL) / F.greatest(F.col("_total"), F.lit(1))
-    pool = df.withColumn("_total", total).where(draw.cast("double") < share).select(*key, *_numbers(features))
-    trees = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
-    order = Window.partitionBy("tree").orderBy(F.xxhash64(*key, "tree", F.lit(seed)), *key)
+    span = F.lit(_HASH_SPAN)
+    pool = df.withColumn("_pool", F.greatest(F.lit(1.0), total / POOL)).where(
+        F.pmod(F.xxhash64(*key, F.lit(seed)), span) < span / F.col("_pool"))
+    # A pool row enters a tree when its hash with the tree number is low; DRAW leaves slack above SAMPLE.
+    share = span * DRAW / F.greatest(F.least(total, F.lit(POOL)), F.lit(1))
+    draw = lambda tree: F.pmod(F.xxhash64(*key, tree, F.lit(seed + 1)), span)
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda tree: draw(tree) < F.col("_share"))
+    trees = pool.withColumn("_share", share).select(*key, *_numbers(features), F.explode(drawn).alias("tree"))
+    trees = trees.repartition(TREES // 4, "tree")  # a fixed number, so that the small sample still grows in parallel
+    order = Window.partitionBy("tree").orderBy(draw(F.col("tree")), *key)
     samples = trees.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= SAMPLE)
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
@@ -107,14 +117,14 @@ def fit_forest(df: DataFrame, features: Sequence[str], key: Sequence[str], seed:
 
 def score_forest(df: DataFrame, forest: Forest, out: str = "iso_raw") -> DataFrame:
     """Add ``2 ** (-mean path / norm)`` per row, in Arrow batches."""
-    shared = df.sparkSession.sparkContext.broadcast(forest)
+    shared = df.sparkSession.sparkContext.broadcast((forest.split, forest.threshold, forest.path))
+    norm = forest.norm
 
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:
-        model = shared.value
         points = np.column_stack([c.to_numpy(dtype=float) for c in columns])
         rows, total = np.arange(len(points)), np.zeros(len(points))
-        for split, threshold, path in zip(model.split, model.threshold, model.path):
+        for split, threshold, path in zip(*shared.value):
             slot = np.zeros(len(points), dtype=np.int64)
             for _ in range(DEPTH):
                 feature = split[slot]
@@ -122,7 +132,7 @@ def score_forest(df: DataFrame, forest: Forest, out: str = "iso_raw") -> DataFra
                 right = points[rows, np.maximum(feature, 0)] > threshold[slot]
                 slot = np.where(inner, 2 * slot + 1 + right, slot)
             total += path[slot]
-        return pd.Series(np.exp2(-total / len(model.split) / model.norm))
+        return pd.Series(np.exp2(-total / TREES / norm))
 
     return df.withColumn(out, score(*_numbers(forest.features)))
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchledger.functions.cleaning import is_business_hours_weekday
-from watchledger.functions.statistics import standard_scale
+from watchledger.functions.statistics import round_even, standard_scale
 from watchledger.operators.ordering import running_total, top_k
 from watchledger.workspace import materialize
 
@@ -117,9 +117,9 @@ def behavior_clusters(df: DataFrame, k: int = 4, min_events: int = 3, restarts:
 def cluster_summary(clustered: DataFrame) -> DataFrame:
     severity = modal_severity(clustered.withColumnRenamed("primary_severity", "severity"), ["behavior_cluster"])
     return clustered.groupBy("behavior_cluster").agg(
-        F.count(F.lit(1)).alias("sources"), F.bround(F.avg("total_events"), 2).alias("avg_events"),
-        F.bround(F.avg("unique_event_types"), 2).alias("avg_event_types"),
-        F.bround(F.avg("activity_span_hours"), 2).alias("avg_span_hours"),
+        F.count(F.lit(1)).alias("sources"), round_even(F.avg("total_events"), 2).alias("avg_events"),
+        round_even(F.avg("unique_event_types"), 2).alias("avg_event_types"),
+        round_even(F.avg("activity_span_hours"), 2).alias("avg_span_hours"),
     ).join(severity.withColumnRenamed("severity", "primary_severity"), "behavior_cluster", "left")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchledger.functions.cleaning import band, severity_score
-from watchledger.functions.statistics import abs_zscore, minmax
+from watchledger.functions.statistics import abs_zscore, minmax, round_even
 from watchledger.operators import forest
 from watchledger.operators.correlate import join_scores
 from watchledger.operators.ordering import top_k
@@ -60,7 +60,7 @@ def source_metrics(df: DataFrame, window_days: int = 7, high_risk: Sequence[str]
     )
     decay = F.exp(-F.col("age") / F.lit(float(window_days)))
     risk = F.when(F.col("location").isin(list(high_risk)), 3).otherwise(1)
-    ratio = lambda a, b: F.bround(F.try_divide(F.sum(a).cast("double"), F.sum(b).cast("double")), 3)
+    ratio = lambda a, b: round_even(F.try_divide(F.sum(a).cast("double"), F.sum(b).cast("double")), 3)
     nullable = F.max(F.col("location").isNull().cast("int"))
     return cells.groupBy("source_ip").agg(
         F.sum("ids").alias("frequency"),
@@ -72,21 +72,21 @@ def source_metrics(df: DataFrame, window_days: int = 7, high_risk: Sequence[str]
         (F.count_distinct("location") + nullable).alias("location_count"),
         F.timestamp_diff("DAY", F.min("first"), F.max("last")).alias("persistence_days"),
         ratio("hour_sum", "hour_n").alias("avg_hour"),
-        F.bround(F.try_divide(F.sum(risk * F.col("rows")).cast("double"), F.sum("rows").cast("double")), 3).alias("avg_country_risk"),
-        F.bround(F.sum(F.col("score_sum") * decay), 3).alias("weighted_severity_sum"),
-        F.bround(F.sum(F.col("rows") * decay), 3).alias("total_weight"),
+        round_even(F.try_divide(F.sum(risk * F.col("rows")).cast("double"), F.sum("rows").cast("double")), 3).alias("avg_country_risk"),
+        round_even(F.sum(F.col("score_sum") * decay), 3).alias("weighted_severity_sum"),
+        round_even(F.sum(F.col("rows") * decay), 3).alias("total_weight"),
         F.min("age").alias("most_recent_days"),
     )
 
 
 def _basic(metrics: DataFrame) -> DataFrame:
-    score = F.bround(F.col("frequency") * F.col("avg_severity"), 2)
+    score = round_even(F.col("frequency") * F.col("avg_severity"), 2)
     return metrics.withColumn("basic_risk_score", score).withColumn("risk_level", band(F.col("basic_risk_score"), BASIC_EDGES, RISK_LEVELS))
 
 
 def _advanced(metrics: DataFrame) -> DataFrame:
     scaled = minmax(metrics, list(ADVANCED_WEIGHTS))
-    scored = scaled.withColumn("advanced_risk_score", F.bround(weighted_sum(ADVANCED_WEIGHTS), 2))
+    scored = scaled.withColumn("advanced_risk_score", round_even(weighted_sum(ADVANCED_WEIGHTS), 2))
     return scored.drop(*[c + "_norm" for c in ADVANCED_WEIGHTS]).withColumn(
         "advanced_risk_level", band(F.col("advanced_risk_score"), ADVANCED_EDGES, RISK_LEVELS))
 
@@ -94,14 +94,14 @@ def _advanced(metrics: DataFrame) -> DataFrame:
 def _temporal(metrics: DataFrame) -> DataFrame:
     weight = F.when(F.col("total_weight") == 0, F.lit(1.0)).otherwise(F.col("total_weight"))
     bonus = F.exp(-F.col("most_recent_days") / F.lit(30.0))
-    score = F.bround(F.col("weighted_severity_sum") / weight * 10, 2) * (1 + bonus)
+    score = round_even(F.col("weighted_severity_sum") / weight * 10, 2) * (1 + bonus)
     return metrics.withColumns({"recency_bonus": bonus, "temporal_risk_score": score}).withColumn(
         "temporal_risk_level", band(F.col("temporal_risk_score"), TEMPORAL_EDGES, RISK_LEVELS))
 
 
 def _geo(metrics: DataFrame) -> DataFrame:
     score = F.col("frequency") * F.col("avg_severity") * F.col("avg_country_risk") * F.log1p(F.col("location_count").cast("double"))
-    return metrics.withColumn("geo_risk_score", F.bround(score, 2)).withColumn(
+    return metrics.withColumn("geo_risk_score", round_even(score, 2)).withColumn(
         "geo_risk_level", band(F.col("geo_risk_score"), GEO_EDGES, RISK_LEVELS))
 
 
@@ -115,7 +115,7 @@ def _anomaly(metrics: DataFrame, contamination: float = 0.1, seed: int = 42) ->
 def composite_anomaly(labelled: DataFrame) -> DataFrame:
     """The composite for rows that already carry ``isolation_score``."""
     scored = abs_zscore(labelled, [*FEATURES, "isolation_score"])
-    score = F.bround(F.col("isolation_score") * 0.6 + F.col("z_score_max") * 0.4, 3)
+    score = round_even(F.col("isolation_score") * 0.6 + F.col("z_score_max") * 0.4, 3)
     return scored.withColumn("anomaly_score", score).withColumn(
         "anomaly_level", band(F.col("anomaly_score"), ANOMALY_EDGES, ANOMALY_LEVELS))
 
@@ -156,7 +156,7 @@ def ip_geo_risk(df: DataFrame, high_risk: Sequence[str] = HIGH_RISK_LOCATIONS) -
 
 def ensemble(profile: DataFrame, weights: dict[str, float] = ENSEMBLE_WEIGHTS) -> DataFrame:
     """Min-max of each score over all addresses, weighted, times 100, banded."""
-    scaled = minmax(profile, list(weights)).withColumn("ensemble_risk_score", F.bround(weighted_sum(weights), 2))
+    scaled = minmax(profile, list(weights)).withColumn("ensemble_risk_score", round_even(weighted_sum(weights), 2))
     return scored_profile(scaled.drop(*[c + "_norm" for c in weights]))
 
 
@@ -191,7 +191,7 @@ def risk_summary(profile: DataFrame) -> DataFrame:
     level = lambda name: F.count_if(F.col("final_risk_level") == name)
     return profile.agg(
         F.count(F.lit(1)).alias("total_ips_analyzed"), level("High").alias("high_risk_ips"), level("Critical").alias("critical_risk_ips"),
-        F.bround(F.avg("ensemble_risk_score"), 2).alias("avg_ensemble_score"), F.max("ensemble_risk_score").alias("max_risk_score"),
+        round_even(F.avg("ensemble_risk_score"), 2).alias("avg_ensemble_score"), F.max("ensemble_risk_score").alias("max_risk_score"),
         *[level(name).alias(f"level_{name.lower()}") for name in RISK_LEVELS],
         F.count_if(F.col("final_risk_level").isNull()).alias("level_none"),
     )

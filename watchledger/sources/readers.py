@@ -52,9 +52,8 @@ def read_logins(spark: SparkSession, path: str) -> DataFrame:
 
 
 def malformed_lines(spark: SparkSession, path: str, schema: StructType, name: str) -> DataFrame:
-    """Lines that do not fit the schema, whole."""
-    df = read_table(spark, path, schema, name)
-    return df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    """Rows whose line does not fit the schema, with the whole line in ``_corrupt_record``."""
+    return read_table(spark, path, schema, name).where(F.col(CORRUPT).isNotNull())
 
 
 def read_raw_pair(spark: SparkSession, incidents_path: str, logins_path: str) -> tuple[DataFrame, DataFrame]:
