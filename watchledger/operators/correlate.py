@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchledger.functions.cleaning import is_business_hours
@@ -18,42 +18,75 @@ def _prefixed(df: DataFrame, prefix: str, keep: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(keep.get(c, prefix + c)) for c in df.columns])
 
 
+def _reach(logins: DataFrame, width: int) -> DataFrame:
+    """Per (address, bucket): which logins of this and the neighbouring buckets an incident may reach.
+
+    Bucket and window are equally long, so a login in the incident's own bucket
+    always matches; from the bucket before only the last login matters, from the
+    bucket after only the first.  Three numbers decide about any incident.
+    """
+    spans = logins.where("source_ip is not null and login_time is not null").groupBy("source_ip", _bucket("login_time", width).alias("own")).agg(
+        F.min("login_time").alias("first"), F.max("login_time").alias("last"), F.count(F.lit(1)).alias("n"))
+    offers = F.array(*[F.struct((F.col("own") + step).alias("_bucket"), F.lit(step).alias("step")) for step in (-1, 0, 1)])
+    at = lambda step, value: F.when(F.col("step") == step, value)
+    return spans.select("source_ip", "first", "last", "n", F.inline(offers)).groupBy("source_ip", "_bucket").agg(
+        F.max(at(0, F.col("last"))).alias("_same"), F.max(at(1, F.col("last"))).alias("_before"),
+        F.min(at(-1, F.col("first"))).alias("_after"), F.sum("n").alias("_logins"))
+
+
+def _bucket(ts: str, width: int) -> Column:
+    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / width)
+
+
 def correlate(incidents: DataFrame, logins: DataFrame, minutes: int = 60, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every incident with all logins of the same address within the window, both ends included.
 
     Incidents without a login stay once.  Time is cut into buckets as long as the
-    window: an incident has one bucket, a login is offered to its own and both
-    neighbours, so the join is an equi-join on (address, bucket) and each pair
-    meets once.  Buckets with more than ``hot_rows`` incidents are split into
-    slices, and the logins of those buckets are repeated per slice.
+    window, so the range join becomes an equi-join on (address, bucket): an
+    incident has one bucket, a login is offered to its own and both neighbours.
+
+    * Whether an incident matches at all is read from ``_reach`` (one row per
+      address and bucket), so incidents without logins never enter the pair join.
+    * A bucket with more than ``hot_rows`` incidents or logins is cut into slices
+      on both sides; each pair still meets in exactly one slice.
     """
-    micros = minutes * 60 * 1_000_000
+    width = minutes * 60 * 1_000_000
+    keys = ["source_ip", "_bucket"]
     # Duplicate pairs can only come from duplicate inputs.
     left = _prefixed(incidents.dropDuplicates(), "incident_", {"source_ip": "source_ip"})
     right = _prefixed(logins.dropDuplicates(), "login_", {"ip_address": "source_ip", "login_time": "login_time"})
-    at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    left = left.withColumn("_bucket", F.floor(at("incident_timestamp") / micros))
-    own = F.floor(at("login_time") / micros)
-    right = right.where(F.col("source_ip").isNotNull() & F.col("login_time").isNotNull()).withColumn(
-        "_bucket", F.explode(F.array(own - 1, own, own + 1)))
-
-    # At most (incidents / hot_rows) buckets can be hot, so this table stays small.
-    slices = left.groupBy("source_ip", "_bucket").agg(F.ceil(F.count(F.lit(1)) / hot_rows).cast("int").alias("_slices")).where("_slices > 1")
-    slices = materialize(slices, "hot-buckets")
-    left = left.join(slices, ["source_ip", "_bucket"], "left").withColumn(
-        "_slice", F.when(F.col("_slices").isNull(), 0).otherwise(F.pmod(F.xxhash64("incident_event_id", "incident_timestamp"), F.col("_slices")))).drop("_slices")
-    right = right.join(slices, ["source_ip", "_bucket"], "left").withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))).drop("_slices")
-
-    lt, rt = left.alias("l"), right.alias("r")
-    gap = F.abs(at("r.login_time") - at("l.incident_timestamp"))
-    matched = (
-        (F.col("l.source_ip") == F.col("r.source_ip")) & (F.col("l._bucket") == F.col("r._bucket"))
-        & (F.col("l._slice") == F.col("r._slice")) & (gap <= micros)
-    )
-    keep_right = [F.col(f"r.`{c}`") for c in right.columns if c not in ("source_ip", "_bucket", "_slice")]
-    keep_left = [F.col(f"l.`{c}`") for c in left.columns if c not in ("_bucket", "_slice")]
-    return lt.join(rt, matched, "left").select(*keep_left, *keep_right)
+    left_columns, right_columns = left.columns, [c for c in right.columns if c != "source_ip"]
+
+    reach = _reach(logins.select(F.col("ip_address").alias("source_ip"), "login_time"), width)
+    window = F.expr(f"INTERVAL {minutes} MINUTES")
+    t = F.col("incident_timestamp")
+    reached = F.col("_same").isNotNull() | (F.col("_before") >= t - window) | (F.col("_after") <= t + window)
+    flagged = left.withColumn("_bucket", _bucket("incident_timestamp", width)).join(reach.drop("_logins"), keys, "left").select(
+        *left_columns, "_bucket", F.coalesce(reached, F.lit(False)).alias("_reached"))
+    alone = flagged.where(~F.col("_reached")).select(
+        *left_columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_columns])
+
+    # At most (rows / hot_rows) buckets are hot, so this table stays small.
+    crowd = incidents.groupBy("source_ip", _bucket("timestamp", width).alias("_bucket")).agg(F.count(F.lit(1)).alias("_incidents"))
+    hot = crowd.join(reach.select(*keys, "_logins"), keys).select(
+        *keys, F.ceil(F.col("_incidents") / hot_rows).cast("int").alias("_rows"), F.ceil(F.col("_logins") / hot_rows).cast("int").alias("_cols"),
+    ).where("_rows > 1 or _cols > 1")
+    hot = materialize(hot, "hot-buckets")
+
+    def sliced(df: DataFrame, own: str, own_id: Column, other: str) -> DataFrame:
+        """A row gets one slice of its own side and is repeated over the slices of the other side."""
+        count = lambda c: F.coalesce(F.col(c), F.lit(1))
+        place = F.pmod(own_id, count(own)).alias("_own")
+        placed = df.join(hot, keys, "left").select(*df.columns, place, F.explode(F.sequence(F.lit(0), count(other) - 1)).alias("_other"))
+        return placed.withColumnsRenamed({"_own": own + "_slice", "_other": other + "_slice"})
+
+    own = _bucket("login_time", width)
+    offered = right.where("source_ip is not null and login_time is not null").withColumn("_bucket", F.explode(F.array(own - 1, own, own + 1)))
+    inc = sliced(flagged.where("_reached").drop("_reached"), "_rows", F.xxhash64("incident_event_id", "incident_timestamp"), "_cols")
+    log = sliced(offered, "_cols", F.xxhash64("login_login_id", "login_time"), "_rows")
+    pairs = inc.join(log, [*keys, "_rows_slice", "_cols_slice"]).where(
+        (F.col("login_time") >= t - window) & (F.col("login_time") <= t + window)).select(*left_columns, *right_columns)
+    return pairs.unionByName(alone)
 
 
 def correlate_features(merged: DataFrame) -> DataFrame:

@@ -57,16 +57,22 @@ def stream_campaigns(incidents: DataFrame, n: int = 5, gap: str = "5 minutes", l
 def stream_correlate(incidents: DataFrame, logins: DataFrame, minutes: int = 60, lateness: str = LATENESS) -> DataFrame:
     """Incidents with logins of the same source within the window, left outer.
 
-    Unmatched incidents come out once the watermark has passed them.
+    Unmatched incidents come out once the watermark has passed them.  The state
+    is keyed by (source, time bucket), so one busy source is spread over many
+    state partitions; a login is offered to its own bucket and both neighbours.
     """
-    left = event_time(incidents.select("event_id", "timestamp", "source_ip"), "timestamp", lateness)
-    right = event_time(logins.select("login_id", "login_time", "ip_address"), "login_time", lateness)
+    seconds = minutes * 60
+    bucket = lambda ts: F.floor(F.unix_seconds(F.col(ts)) / seconds)
+    left = event_time(incidents.select("event_id", "timestamp", "source_ip"), "timestamp", lateness).withColumn("bucket", bucket("timestamp"))
+    right = event_time(logins.select("login_id", "login_time", "ip_address"), "login_time", lateness).withColumn("_own", bucket("login_time"))
+    right = right.select("login_id", "login_time", "ip_address", F.explode(F.array(F.col("_own") - 1, F.col("_own"), F.col("_own") + 1)).alias("login_bucket"))
     window = F.expr(f"INTERVAL {minutes} MINUTES")
     near: Column = (
-        (F.col("source_ip") == F.col("ip_address"))
+        (F.col("source_ip") == F.col("ip_address")) & (F.col("bucket") == F.col("login_bucket"))
         & (F.col("login_time") >= F.col("timestamp") - window) & (F.col("login_time") <= F.col("timestamp") + window)
     )
-    return wall_clock(left.join(right, near, "left").drop("ip_address"), "timestamp", "login_time")
+    joined = left.join(right, near, "left").select("event_id", "timestamp", "source_ip", "login_id", "login_time")
+    return wall_clock(joined, "timestamp", "login_time")
 
 
 def stream_dedupe(events: DataFrame, key: str = "event_id", ts: str = "timestamp", lateness: str = LATENESS) -> DataFrame:
