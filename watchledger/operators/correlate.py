@@ -46,7 +46,8 @@ def correlate(incidents: DataFrame, logins: DataFrame, minutes: int = 60, hot_ro
     incident has one bucket, a login is offered to its own and both neighbours.
 
     * Whether an incident matches at all is read from ``_reach`` (one row per
-      address and bucket), so incidents without logins never enter the pair join.
+      address and bucket), so both sides of a crowded bucket can be cut without
+      losing or repeating incidents that have no login.
     * A bucket with more than ``hot_rows`` incidents or logins is cut into slices
       on both sides; each pair still meets in exactly one slice.
     """
@@ -63,8 +64,6 @@ def correlate(incidents: DataFrame, logins: DataFrame, minutes: int = 60, hot_ro
     reached = F.col("_same").isNotNull() | (F.col("_before") >= t - window) | (F.col("_after") <= t + window)
     flagged = left.withColumn("_bucket", _bucket("incident_timestamp", width)).join(reach.drop("_logins"), keys, "left").select(
         *left_columns, "_bucket", F.coalesce(reached, F.lit(False)).alias("_reached"))
-    alone = flagged.where(~F.col("_reached")).select(
-        *left_columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_columns])
 
     # At most (rows / hot_rows) buckets are hot, so this table stays small.
     crowd = incidents.groupBy("source_ip", _bucket("timestamp", width).alias("_bucket")).agg(F.count(F.lit(1)).alias("_incidents"))
@@ -73,20 +72,22 @@ def correlate(incidents: DataFrame, logins: DataFrame, minutes: int = 60, hot_ro
     ).where("_rows > 1 or _cols > 1")
     hot = materialize(hot, "hot-buckets")
 
-    def sliced(df: DataFrame, own: str, own_id: Column, other: str) -> DataFrame:
+    def sliced(df: DataFrame, own: str, own_id: Column, other: str, repeat: Column) -> DataFrame:
         """A row gets one slice of its own side and is repeated over the slices of the other side."""
-        count = lambda c: F.coalesce(F.col(c), F.lit(1))
-        place = F.pmod(own_id, count(own)).alias("_own")
-        placed = df.join(hot, keys, "left").select(*df.columns, place, F.explode(F.sequence(F.lit(0), count(other) - 1)).alias("_other"))
+        place = F.pmod(own_id, F.coalesce(own, F.lit(1))).cast("int").alias("_own")
+        copies = F.when(repeat, F.coalesce(other, F.lit(1))).otherwise(1)
+        placed = df.join(hot, keys, "left").select(*df.columns, place, F.explode(F.sequence(F.lit(0), copies - 1)).alias("_other"))
         return placed.withColumnsRenamed({"_own": own + "_slice", "_other": other + "_slice"})
 
     own = _bucket("login_time", width)
     offered = right.where("source_ip is not null and login_time is not null").withColumn("_bucket", F.explode(F.array(own - 1, own, own + 1)))
-    inc = sliced(flagged.where("_reached").drop("_reached"), "_rows", F.xxhash64("incident_event_id", "incident_timestamp"), "_cols")
-    log = sliced(offered, "_cols", F.xxhash64("login_login_id", "login_time"), "_rows")
-    pairs = inc.join(log, [*keys, "_rows_slice", "_cols_slice"]).where(
-        (F.col("login_time") >= t - window) & (F.col("login_time") <= t + window)).select(*left_columns, *right_columns)
-    return pairs.unionByName(alone)
+    inc = sliced(flagged, "_rows", F.xxhash64("incident_event_id", "incident_timestamp"), "_cols", F.col("_reached")).alias("i")
+    log = sliced(offered, "_cols", F.xxhash64("login_login_id", "login_time"), "_rows", F.lit(True)).withColumn("_hit", F.lit(True)).alias("l")
+    same = [F.col(f"i.{k}") == F.col(f"l.{k}") for k in (*keys, "_rows_slice", "_cols_slice")]
+    near = (F.col("l.login_time") >= t - window) & (F.col("l.login_time") <= t + window)
+    joined = inc.join(log, reduce(lambda a, b: a & b, same) & near & F.col("_reached"), "left")
+    # A reached incident has its logins in some slices; its empty slices are no result.
+    return joined.where(F.col("_hit") | ~F.col("_reached")).select(*[F.col(f"i.{c}") for c in left_columns], *[F.col(f"l.{c}") for c in right_columns])
 
 
 def correlate_features(merged: DataFrame) -> DataFrame:
