@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from watchledger.functions.statistics import safe_corr, t_test_p
 from watchledger.operators.timeseries import DAILY_METRICS, trailing_week
+from watchledger.workspace import materialize
 
 X, Y = "incident_count", "failed_logins"
 
@@ -93,6 +94,7 @@ def cross_correlation(daily: DataFrame, max_lag: int = 10) -> DataFrame:
 
 def correlation_insights(daily: DataFrame) -> DataFrame:
     """Key pairs, mean rolling r, largest cross-correlation and its smallest lag."""
+    daily = materialize(daily, "daily")  # one row per day, read by three aggregates
     cross = cross_correlation(daily).where("r is not null")
     best = F.max_by(F.struct("r", "lag"), F.struct(F.col("r").alias("r"), (-F.col("lag")).alias("lag")))
     row = key_correlations(daily).withColumns({

@@ -9,6 +9,7 @@ from watchledger.functions.cleaning import band
 from watchledger.functions.statistics import histogram, minmax, stats_of
 from watchledger.operators import forest
 from watchledger.operators.correlate import map_lookup
+from watchledger.operators.explore import total_over_groups
 from watchledger.operators.geo import location_risk
 from watchledger.operators.ordering import label_encode, top_k, trailing_count
 from watchledger.operators.source_risk import FINAL_EDGES, weighted_sum
@@ -30,9 +31,9 @@ def event_basic_risk(df: DataFrame) -> DataFrame:
 
 def event_rarity(df: DataFrame) -> DataFrame:
     """Rows over rows of the type, per event type."""
-    counts = df.where("event_type is not null").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return counts.withColumn("event_rarity", F.lit(1.0) / (F.col("n") / total)).drop("n")
+    counts = df.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    rarity = F.lit(1.0) / (F.col("n") / total_over_groups("n"))
+    return counts.select("event_type", rarity.alias("event_rarity")).where("event_type is not null")
 
 
 def event_advanced_risk(df: DataFrame) -> DataFrame:

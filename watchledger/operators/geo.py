@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchledger.functions.statistics import minmax, stats_of
-from watchledger.operators.explore import top_locations, value_counts
+from watchledger.functions.statistics import minmax
+from watchledger.operators.explore import top_locations, total_over_groups, value_counts
 from watchledger.operators.ordering import exact_quantiles
 from watchledger.schemas import SEVERITIES
+from watchledger.workspace import materialize
 
 
 def location_stats(df: DataFrame) -> DataFrame:
@@ -37,8 +38,8 @@ def severity_mix_by_location(df: DataFrame, n: int = 10) -> DataFrame:
 
 def high_risk_locations(df: DataFrame, quantile: float = 0.75) -> DataFrame:
     """Mean severity strictly above the quantile over locations."""
-    stats = location_stats(df)
-    limit = exact_quantiles(_severity_by_location(df), "avg_severity", {"q": quantile}).scalar()
+    stats = materialize(location_stats(df), "locations")
+    limit = exact_quantiles(stats, "avg_severity", {"q": quantile}).scalar()
     return stats.withColumn("severity_limit", limit).where(F.col("avg_severity") > F.col("severity_limit"))
 
 
@@ -67,5 +68,7 @@ def location_risk(df: DataFrame) -> DataFrame:
 
 def geo_multiplier(df: DataFrame) -> DataFrame:
     """Per-location multiplier: mean severity relative to the overall mean."""
-    overall = stats_of(df, m=F.avg("severity_score"))
-    return _severity_by_location(df).withColumn("multiplier", F.try_divide(F.col("avg_severity"), overall["m"]))
+    sums = df.groupBy("location").agg(F.sum("severity_score").alias("s"), F.count("severity_score").alias("n"))
+    ratio = lambda a, b: F.try_divide(a.cast("double"), b.cast("double"))
+    mean, overall = ratio(F.col("s"), F.col("n")), ratio(total_over_groups("s"), total_over_groups("n"))
+    return sums.select("location", mean.alias("avg_severity"), F.try_divide(mean, overall).alias("multiplier")).where("location is not null")

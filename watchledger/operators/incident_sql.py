@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchledger.functions.cleaning import band_ge, monday_week, severity_score_sql
+from watchledger.operators.explore import total_over_groups
 from watchledger.operators.ordering import top_k
 from watchledger.schemas import SEVERITIES
 
@@ -73,11 +74,10 @@ def event_type_daily(df: DataFrame) -> DataFrame:
 
 
 def severity_distribution(df: DataFrame) -> DataFrame:
-    total = df.agg(_n().alias("n")).scalar()
     return df.groupBy("severity").agg(
         _n().alias("count"), F.count_distinct("source_ip").alias("unique_ips"),
         F.count_distinct("location").alias("unique_locations"),
-    ).select("severity", "count", _share(F.col("count"), total).alias("percentage"), "unique_ips", "unique_locations").orderBy(
+    ).select("severity", "count", _share(F.col("count"), total_over_groups("count")).alias("percentage"), "unique_ips", "unique_locations").orderBy(
         F.desc(_score()), "severity")
 
 

@@ -156,12 +156,13 @@ def alert_anomalies(anomalies: DataFrame) -> DataFrame:
 
 def treat_outliers(df: DataFrame, cols: Sequence[str], lower: float = 0.05, upper: float = 0.95) -> DataFrame:
     """Clip each column to its exact quantile fences."""
-    out = df
-    for c in cols:
-        fences = exact_quantiles(df, c, {"lo": lower, "hi": upper}).select(F.struct("lo", "hi").alias("f")).scalar()
-        out = out.withColumn("_f", fences).withColumn(
-            c + "_treated", F.when(F.col(c).isNotNull(), F.greatest(F.least(F.col(c).cast("double"), F.col("_f.hi")), F.col("_f.lo")))).drop("_f")
-    return out
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]
+    fences = exact_quantiles(df.select(F.inline(F.array(*pairs))), "value", {"lo": lower, "hi": upper}, by=["column"])
+    # One row per column, turned into one struct of fences.
+    of = lambda c, f: F.max(F.when(F.col("column") == c, F.col(f)))
+    row = fences.agg(F.struct(*[of(c, f).alias(f"{f}_{c}") for c in cols for f in ("lo", "hi")]).alias("f")).scalar()
+    clip = lambda c: F.greatest(F.least(F.col(c).cast("double"), F.col(f"_f.hi_{c}")), F.col(f"_f.lo_{c}"))
+    return df.withColumn("_f", row).withColumns({c + "_treated": F.when(F.col(c).isNotNull(), clip(c)) for c in cols}).drop("_f")
 
 
 def risk_vs_frequency(df: DataFrame, profile: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchledger.functions.cleaning import is_business_hours_weekday
@@ -44,17 +44,21 @@ def sequence_segments(df: DataFrame, key: Sequence[str] = ("source_ip",), segmen
     return placed.groupBy(*key, segment).agg(F.array_join(F.transform(in_order, lambda s: s["event_type"]), ARROW).alias("sequence"))
 
 
-def _spans(df: DataFrame, key: Sequence[str], min_events: int) -> DataFrame:
-    return df.where(F.col(key[0]).isNotNull()).groupBy(*key).agg(
-        F.count(F.lit(1)).alias("events"),
-        (_seconds(F.min("timestamp"), F.max("timestamp")) / 3600).alias("span_hours"),
-        F.min(F.struct("timestamp", "event_id")).alias("first_event"),
-    ).where(F.col("events") >= min_events)
+def _spans(df: DataFrame, key: Sequence[str], min_events: int, counted: str = "events") -> DataFrame:
+    """Counts, span, first event and modal severity per key, all from (key, severity) cells of one scan."""
+    cells = df.where(F.col(key[0]).isNotNull()).groupBy(*key, "severity").agg(
+        F.count(F.lit(1)).alias("n"), F.count("timestamp").alias("timed"), F.max("timestamp").alias("last_at"),
+        F.min(F.when(F.col("timestamp").isNotNull(), F.struct("timestamp", "event_id"))).alias("first_event"))
+    known = F.when(F.col("severity").isNotNull(), F.struct(-F.col("n"), F.col("severity")))
+    spans = cells.groupBy(*key).agg(
+        F.sum("n").alias("events"), F.sum("timed").alias("timed"), F.min("first_event").alias("first_event"), F.max("last_at").alias("last_at"),
+        F.min_by("severity", known).alias("severity")).where(F.col(counted) >= min_events)
+    return spans.withColumn("span_hours", _seconds(F.col("first_event.timestamp"), F.col("last_at")) / 3600)
 
 
 def ip_sequences(df: DataFrame, min_events: int = 3, key: Sequence[str] = ("source_ip",), segment_size: int = SEGMENT) -> DataFrame:
     key = list(key)
-    spans = _spans(df, key, min_events).drop("first_event").join(modal_severity(df, key), key, "left")
+    spans = _spans(df, key, min_events).select(*key, "events", "severity", "span_hours")
     return sequence_segments(df, key, segment_size).join(spans, key).select(*key, "segment", "sequence", "events", "severity", "span_hours")
 
 
@@ -127,9 +131,8 @@ def hourly_profile(df: DataFrame) -> DataFrame:
     """Counts, mean severity and sources per hour, with the (first) peak hour marked; takes prepared incidents."""
     hours = df.where("hour is not null").groupBy("hour").agg(
         F.count("event_id").alias("incidents"), F.avg("severity_score").alias("avg_severity"), F.count_distinct("source_ip").alias("unique_ips"))
-    counts = df.where("hour is not null").groupBy("hour").agg(F.count("event_id").alias("n"))
-    peak = counts.agg(F.max_by("hour", F.struct(F.col("n"), -F.col("hour"))).alias("h")).scalar()
-    return hours.withColumn("is_peak", F.col("hour") == peak)
+    rank = F.struct(F.col("incidents"), -F.col("hour"))
+    return hours.withColumn("is_peak", rank == F.max(rank).over(Window.partitionBy()))  # 24 rows
 
 
 def business_hours_split(df: DataFrame) -> DataFrame:
@@ -142,12 +145,11 @@ def rapid_campaigns(df: DataFrame, min_events: int = 5, max_gap_s: float = 300)
 
     The mean of consecutive gaps is (last - first) / (n - 1): no ordering needed.
     """
-    seconds = _seconds(F.min("timestamp"), F.max("timestamp"))
-    spans = df.where("source_ip is not null").groupBy("source_ip").agg(
-        F.count("timestamp").alias("total_events"),
-        F.try_divide(seconds, (F.count("timestamp") - 1).cast("double")).alias("avg_gap_seconds"), (seconds / 60).alias("span_minutes"),
-    ).where((F.col("total_events") >= min_events) & (F.col("avg_gap_seconds") < max_gap_s))
-    return spans.join(modal_severity(df, ["source_ip"]), "source_ip", "left")
+    spans = _spans(df, ["source_ip"], min_events, counted="timed")
+    seconds = _seconds(F.col("first_event.timestamp"), F.col("last_at"))
+    return spans.select(
+        "source_ip", F.col("timed").alias("total_events"), F.try_divide(seconds, (F.col("timed") - 1).cast("double")).alias("avg_gap_seconds"),
+        (seconds / 60).alias("span_minutes"), "severity").where(F.col("avg_gap_seconds") < max_gap_s)
 
 
 def top_campaigns(df: DataFrame, n: int = 5, min_events: int = 5, max_gap_s: float = 300) -> DataFrame:

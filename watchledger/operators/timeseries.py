@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from watchledger.functions.cleaning import day_name
 from watchledger.functions.statistics import safe_corr
-from watchledger.operators.explore import month_pattern, weekday_counts
-from watchledger.schemas import SEVERITIES, WEEKDAYS
+from watchledger.operators.explore import weekday_counts
+from watchledger.schemas import MONTHS, SEVERITIES, WEEKDAYS
 
 
 def trailing_week() -> WindowSpec:
@@ -88,14 +88,17 @@ def weekday_by_hour(df: DataFrame) -> DataFrame:
 
 def peaks(df: DataFrame) -> DataFrame:
     """First arg-max hour, weekday and month."""
-    hours = df.where("timestamp is not null").groupBy(F.hour("timestamp").alias("hour")).agg(_n().alias("incidents"))
-    first_max = lambda value, order: F.max_by(value, F.struct("incidents", -F.col(order)))
-    pick = lambda t, value, order: t.where("incidents is not null").agg(first_max(value, order).alias("v")).scalar()
-    peak_hour = hours.agg(first_max("hour", "hour").alias("peak_hour"))
-    return peak_hour.withColumns({
-        "peak_day": pick(weekday_counts(df), "day_of_week", "position"),
-        "peak_month": pick(month_pattern(df), "month_name", "position"),
-    })
+    ts = F.col("timestamp")
+    # One scan: at most 24 * 7 * 12 cells feed the three rankings.
+    cells = df.where("timestamp is not null").groupBy(F.hour(ts).alias("hour"), F.weekday(ts).alias("weekday"), F.month(ts).alias("month")).agg(_n().alias("n"))
+
+    def peak(key: str, names: list[str] | None = None, base: int = 0) -> Column:
+        value = F.element_at(F.array(*[F.lit(n) for n in names]), F.col(key) - base + 1) if names else F.col(key)
+        counts = cells.groupBy(key).agg(F.sum("n").alias("n"))
+        return counts.agg(F.max_by(value, F.struct(F.col("n"), -F.col(key))).alias("v")).scalar()
+
+    return df.sparkSession.range(1).select(
+        peak("hour").alias("peak_hour"), peak("weekday", WEEKDAYS).alias("peak_day"), peak("month", MONTHS, 1).alias("peak_month"))
 
 
 def incidents_ytd(df: DataFrame) -> DataFrame:
