@@ -14,7 +14,20 @@ from watchledger.operators.ordering import top_k
 from watchledger.operators.patterns import rapid_campaigns
 from watchledger.operators.timeseries import daily_security_metrics
 
-# The standing advice rows.
+# Message formats and the standing advice rows.
+MESSAGES = {
+    "critical": "CRITICAL: %d critical risk incidents detected (>10%% of total). Immediate incident response required.",
+    "high": "HIGH PRIORITY: %d high-risk incidents require immediate attention and investigation.",
+    "hotspot": "Geographic Focus: %s shows highest incident concentration (%d incidents). Implement region-specific security controls.",
+    "peak_hour": "Monitoring Enhancement: Peak incident hour is %d:00 (%d incidents). Increase monitoring during this period.",
+    "off_hours": "Off-hours Vulnerability: More incidents occur outside business hours. Review after-hours access controls and monitoring.",
+    "positive_corr": "Strong Correlation Alert: Failed logins correlate with incidents (r=%.3f). Implement account lockout and MFA immediately.",
+    "negative_corr": "Negative correlation between failed logins and incidents (r=%.3f). Investigate login failure patterns.",
+    "campaign": "Automated Attacks Detected: %d IPs show automated attack patterns. Implement rate limiting and bot detection immediately.",
+    "login": "Authentication Issues: Login success rate is %.1f%%. Review authentication policies and user training.",
+    "top_ip": "IP Threat Focus: %s is most active attacker IP (%d incidents). Implement IP-based blocking.",
+    "top_type": "Event Type Focus: %s is most common (%d occurrences). Develop specific mitigation strategies.",
+}
 MONITORING = [
     "Implement real-time alerting for high-risk IP addresses",
     "Set up automated responses for detected attack patterns",
@@ -38,10 +51,8 @@ def risk_recommendations(scored: DataFrame) -> DataFrame:
     level = lambda name: F.count_if(F.col("final_risk_level") == name)
     row = scored.agg(level("Critical").alias("critical"), level("High").alias("high"), F.count(F.lit(1)).alias("n"))
     return _union([
-        _rule(row, F.col("critical") > F.col("n") * 0.1, "critical", F.format_string(
-            "CRITICAL: %d critical risk incidents detected (>10%% of total). Immediate incident response required.", "critical")),
-        _rule(row, F.col("high") > F.col("n") * 0.2, "high", F.format_string(
-            "HIGH PRIORITY: %d high-risk incidents require immediate attention and investigation.", "high")),
+        _rule(row, F.col("critical") > F.col("n") * 0.1, "critical", F.format_string(MESSAGES["critical"], "critical")),
+        _rule(row, F.col("high") > F.col("n") * 0.2, "high", F.format_string(MESSAGES["high"], "high")),
     ])
 
 
@@ -50,9 +61,7 @@ def _most_frequent(df: DataFrame, column: str, n: int = 1) -> DataFrame:
 
 
 def hotspot_recommendation(df: DataFrame) -> DataFrame:
-    return _rule(_most_frequent(df, "location"), F.lit(True), "high", F.format_string(
-        "Geographic Focus: %s shows highest incident concentration (%d incidents). Implement region-specific security controls.",
-        "location", "count"))
+    return _rule(_most_frequent(df, "location"), F.lit(True), "high", F.format_string(MESSAGES["hotspot"], "location", "count"))
 
 
 def _business_split(df: DataFrame) -> DataFrame:
@@ -62,10 +71,8 @@ def _business_split(df: DataFrame) -> DataFrame:
 
 def temporal_recommendations(df: DataFrame) -> DataFrame:
     hours = df.where("timestamp is not null").groupBy(F.hour("timestamp").alias("hour")).agg(F.count(F.lit(1)).alias("count"))
-    peak = _rule(top_k(hours, 1, F.desc("count"), F.col("hour")), F.lit(True), "medium", F.format_string(
-        "Monitoring Enhancement: Peak incident hour is %d:00 (%d incidents). Increase monitoring during this period.", "hour", "count"))
-    off = _rule(_business_split(df), F.col("off") > F.col("business"), "high", F.lit(
-        "Off-hours Vulnerability: More incidents occur outside business hours. Review after-hours access controls and monitoring."))
+    peak = _rule(top_k(hours, 1, F.desc("count"), F.col("hour")), F.lit(True), "medium", F.format_string(MESSAGES["peak_hour"], "hour", "count"))
+    off = _rule(_business_split(df), F.col("off") > F.col("business"), "high", F.lit(MESSAGES["off_hours"]))
     return peak.unionAll(off)
 
 
@@ -76,16 +83,14 @@ def failed_login_corr(incidents: DataFrame, logins: DataFrame) -> DataFrame:
 
 def correlation_recommendation(incidents: DataFrame, logins: DataFrame, limit: float = 0.5) -> DataFrame:
     r = F.col("r")
-    positive = F.format_string(
-        "Strong Correlation Alert: Failed logins correlate with incidents (r=%.3f). Implement account lockout and MFA immediately.", r)
-    negative = F.format_string("Negative correlation between failed logins and incidents (r=%.3f). Investigate login failure patterns.", r)
+    positive = F.format_string(MESSAGES["positive_corr"], r)
+    negative = F.format_string(MESSAGES["negative_corr"], r)
     return _rule(failed_login_corr(incidents, logins), F.abs(r) > limit, F.when(r > 0, "high").otherwise("medium"), F.when(r > 0, positive).otherwise(negative))
 
 
 def campaign_recommendation(df: DataFrame, min_events: int = 5, max_gap_s: float = 300) -> DataFrame:
     found = rapid_campaigns(df, min_events, max_gap_s).agg(F.count(F.lit(1)).alias("n"))
-    return _rule(found, F.col("n") > 0, "critical", F.format_string(
-        "Automated Attacks Detected: %d IPs show automated attack patterns. Implement rate limiting and bot detection immediately.", "n"))
+    return _rule(found, F.col("n") > 0, "critical", F.format_string(MESSAGES["campaign"], "n"))
 
 
 def _success_rate(logins: DataFrame) -> DataFrame:
@@ -93,18 +98,15 @@ def _success_rate(logins: DataFrame) -> DataFrame:
 
 
 def login_recommendation(logins: DataFrame) -> DataFrame:
-    return _rule(_success_rate(logins), F.col("rate") < 0.9, "high", F.format_string(
-        "Authentication Issues: Login success rate is %.1f%%. Review authentication policies and user training.", F.col("rate") * 100))
+    return _rule(_success_rate(logins), F.col("rate") < 0.9, "high", F.format_string(MESSAGES["login"], F.col("rate") * 100))
 
 
 def top_ip_recommendation(df: DataFrame) -> DataFrame:
-    return _rule(_most_frequent(df, "source_ip"), F.lit(True), "high", F.format_string(
-        "IP Threat Focus: %s is most active attacker IP (%d incidents). Implement IP-based blocking.", "source_ip", "count"))
+    return _rule(_most_frequent(df, "source_ip"), F.lit(True), "high", F.format_string(MESSAGES["top_ip"], "source_ip", "count"))
 
 
 def top_type_recommendations(df: DataFrame, n: int = 3) -> DataFrame:
-    return _rule(_most_frequent(df, "event_type", n), F.lit(True), "medium", F.format_string(
-        "Event Type Focus: %s is most common (%d occurrences). Develop specific mitigation strategies.", "event_type", "count"))
+    return _rule(_most_frequent(df, "event_type", n), F.lit(True), "medium", F.format_string(MESSAGES["top_type"], "event_type", "count"))
 
 
 def recommendation_report(incidents: DataFrame, logins: DataFrame, scored: DataFrame) -> DataFrame:

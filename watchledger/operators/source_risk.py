@@ -44,21 +44,21 @@ def weighted_sum(weights: dict[str, float], suffix: str = "_norm") -> Column:
 def source_metrics(df: DataFrame, window_days: int = 7, high_risk: Sequence[str] = HIGH_RISK_LOCATIONS) -> DataFrame:
     """One row per address with every measure the scores need.
 
-    Events first shrink to (address, type, location, age in days) cells with
-    map-side aggregation, so a hot address costs a few thousand cells.
+    Events first shrink to (address, type, location) cells with map-side
+    aggregation, so a hot address costs a few dozen cells.
     """
     latest = df.agg(F.max("timestamp").alias("t")).scalar()
     rows = df.where("source_ip is not null").withColumn("_latest", latest).select(
         "source_ip", "event_type", "location", "timestamp", "event_id",
         F.timestamp_diff("DAY", F.col("timestamp"), F.col("_latest")).alias("age"),
         severity_score(F.col("severity")).alias("score"), (F.col("status") == "Successful").alias("ok"),
-    )
-    cells = rows.groupBy("source_ip", "event_type", "location", "age").agg(
+    ).withColumn("decay", F.exp(-F.col("age") / F.lit(float(window_days))))
+    cells = rows.groupBy("source_ip", "event_type", "location").agg(
         F.count(F.lit(1)).alias("rows"), F.count("event_id").alias("ids"), F.sum("score").alias("score_sum"),
         F.count("score").alias("score_n"), F.count_if("ok").alias("ok"), F.min("timestamp").alias("first"),
         F.max("timestamp").alias("last"), F.sum(F.hour("timestamp")).alias("hour_sum"), F.count("timestamp").alias("hour_n"),
+        F.sum(F.col("score") * F.col("decay")).alias("weighted"), F.sum("decay").alias("weight"), F.min("age").alias("age"),
     )
-    decay = F.exp(-F.col("age") / F.lit(float(window_days)))
     risk = F.when(F.col("location").isin(list(high_risk)), 3).otherwise(1)
     ratio = lambda a, b: round_even(F.try_divide(F.sum(a).cast("double"), F.sum(b).cast("double")), 3)
     nullable = F.max(F.col("location").isNull().cast("int"))
@@ -73,8 +73,8 @@ def source_metrics(df: DataFrame, window_days: int = 7, high_risk: Sequence[str]
         F.timestamp_diff("DAY", F.min("first"), F.max("last")).alias("persistence_days"),
         ratio("hour_sum", "hour_n").alias("avg_hour"),
         round_even(F.try_divide(F.sum(risk * F.col("rows")).cast("double"), F.sum("rows").cast("double")), 3).alias("avg_country_risk"),
-        round_even(F.sum(F.col("score_sum") * decay), 3).alias("weighted_severity_sum"),
-        round_even(F.sum(F.col("rows") * decay), 3).alias("total_weight"),
+        round_even(F.sum("weighted"), 3).alias("weighted_severity_sum"),
+        round_even(F.sum("weight"), 3).alias("total_weight"),
         F.min("age").alias("most_recent_days"),
     )
 

@@ -344,27 +344,28 @@ _TOP = "SELECT {0} AS v, count(*) AS n FROM scored WHERE {0} IS NOT NULL GROUP B
 _BUSINESS = "count(*) FILTER (WHERE hour BETWEEN 9 AND 17 AND day_of_week NOT IN ('Saturday', 'Sunday'))"
 _RATE = "(SELECT count(*) FILTER (WHERE success = 'Yes') / count(*) FROM logins)"
 _R = "(SELECT corr(incident_count, failed_logins) FROM daily)"
+M = posture.MESSAGES
 RULES = {
-    "risk": """SELECT 'critical' AS priority, printf('CRITICAL: %d critical risk incidents detected (>10%% of total). Immediate incident response required.', c) AS message
+    "risk": f"""SELECT 'critical' AS priority, printf('{M['critical']}', c) AS message
         FROM (SELECT count(*) FILTER (WHERE final_risk_level = 'Critical') AS c, count(*) AS n FROM es) WHERE c > n * 0.1
-        UNION ALL SELECT 'high', printf('HIGH PRIORITY: %d high-risk incidents require immediate attention and investigation.', h)
+        UNION ALL SELECT 'high', printf('{M['high']}', h)
         FROM (SELECT count(*) FILTER (WHERE final_risk_level = 'High') AS h, count(*) AS n FROM es) WHERE h > n * 0.2""",
-    "hotspot": f"""SELECT 'high' AS priority, printf('Geographic Focus: %s shows highest incident concentration (%d incidents). Implement region-specific security controls.', v, n) AS message
+    "hotspot": f"""SELECT 'high' AS priority, printf('{M['hotspot']}', v, n) AS message
         FROM ({_TOP.format('location', 1)})""",
-    "temporal": f"""SELECT 'medium' AS priority, printf('Monitoring Enhancement: Peak incident hour is %d:00 (%d incidents). Increase monitoring during this period.', v, n) AS message
+    "temporal": f"""SELECT 'medium' AS priority, printf('{M['peak_hour']}', v, n) AS message
         FROM ({_TOP.format('hour', 1)})
-        UNION ALL SELECT 'high', 'Off-hours Vulnerability: More incidents occur outside business hours. Review after-hours access controls and monitoring.'
+        UNION ALL SELECT 'high', '{M['off_hours']}'
         FROM (SELECT {_BUSINESS} AS b, count(*) AS n FROM scored) WHERE n - b > b""",
-    "correlation": """SELECT CASE WHEN r > 0 THEN 'high' ELSE 'medium' END AS priority,
-          CASE WHEN r > 0 THEN printf('Strong Correlation Alert: Failed logins correlate with incidents (r=%.3f). Implement account lockout and MFA immediately.', r)
-               ELSE printf('Negative correlation between failed logins and incidents (r=%.3f). Investigate login failure patterns.', r) END AS message
-        FROM (SELECT corr(incident_count, failed_logins) AS r FROM daily) WHERE abs(r) > {limit}""",
-    "campaign": """SELECT 'critical' AS priority, printf('Automated Attacks Detected: %d IPs show automated attack patterns. Implement rate limiting and bot detection immediately.', n) AS message
-        FROM (SELECT count(*) AS n FROM rapid WHERE avg_gap_seconds < {gap}) WHERE n > 0""",
-    "login": f"""SELECT 'high' AS priority, printf('Authentication Issues: Login success rate is %.1f%%. Review authentication policies and user training.', {_RATE} * 100) AS message
+    "correlation": f"""SELECT CASE WHEN r > 0 THEN 'high' ELSE 'medium' END AS priority,
+          CASE WHEN r > 0 THEN printf('{M['positive_corr']}', r)
+               ELSE printf('{M['negative_corr']}', r) END AS message
+        FROM (SELECT corr(incident_count, failed_logins) AS r FROM daily) WHERE abs(r) > {{limit}}""",
+    "campaign": f"""SELECT 'critical' AS priority, printf('{M['campaign']}', n) AS message
+        FROM (SELECT count(*) AS n FROM rapid WHERE avg_gap_seconds < {{gap}}) WHERE n > 0""",
+    "login": f"""SELECT 'high' AS priority, printf('{M['login']}', {_RATE} * 100) AS message
         WHERE {_RATE} < 0.9""",
-    "top_ip": f"""SELECT 'high' AS priority, printf('IP Threat Focus: %s is most active attacker IP (%d incidents). Implement IP-based blocking.', v, n) AS message FROM ({_TOP.format('source_ip', 1)})""",
-    "top_types": f"""SELECT 'medium' AS priority, printf('Event Type Focus: %s is most common (%d occurrences). Develop specific mitigation strategies.', v, n) AS message
+    "top_ip": f"""SELECT 'high' AS priority, printf('{M['top_ip']}', v, n) AS message FROM ({_TOP.format('source_ip', 1)})""",
+    "top_types": f"""SELECT 'medium' AS priority, printf('{M['top_type']}', v, n) AS message
         FROM ({_TOP.format('event_type', 3)})""",
     "advice": "SELECT 'monitoring' AS priority, unnest([" + ", ".join(f"'{m}'" for m in posture.MONITORING) + "]) AS message",
 }
