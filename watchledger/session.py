@@ -14,10 +14,17 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings; partition counts stay as the cluster set them."""
+    """Apply the runtime settings.
+
+    Partition counts stay as the cluster set them; only a local session left at
+    Spark's default gets one partition per core.
+    """
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    local = spark.sparkContext.master.startswith("local")
+    if local and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
 
 
