@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchledger.llm import exact_dedup, language_id, mixing, orc_tokens, packing, quality_bands
+from watchledger.llm import exact_dedup, jaccard_join, language_id, mixing, orc_tokens, packing, quality_bands
 from watchledger.llm.common import read_table, remainder
 from watchledger.plans.registry import comparable
 
@@ -23,6 +23,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"), exact_dedup.in_history())
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document."""
+    return jaccard_join.jaccard_join(read_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each document is taken for the target weights."""
     return comparable(mixing.mixing_report(read_table(spark, sf_dir, "documents")))
@@ -43,7 +48,7 @@ def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.quality_bands(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op5_exact_dedup, op7_mixing, op8_packing, op9_token_orc, op10_quality_bands)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op5_exact_dedup, op6_jaccard_join, op7_mixing, op8_packing, op9_token_orc, op10_quality_bands)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -52,6 +57,14 @@ SQL = {
 WITH d AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)""",
+    "op6_jaccard_join": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w] ELSE [w[i:i+4] FOR i IN range(1, len(w) - 3)] END) AS s FROM w),
+n AS (SELECT w.doc_id, count(s) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT doc_id, n AS n_shingles, (SELECT min(b) FROM r WHERE r.a = n.doc_id) AS component_id FROM n""",
     "op7_mixing": r"""
 WITH d AS (SELECT doc_id, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
   coalesce('s' || source, 'z') AS k FROM documents),
