@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -216,8 +217,6 @@ def keep_winners(docs: DataFrame, is_history) -> DataFrame:
 
 
 def _digest_column():
-    import pandas as pd
-
     @F.pandas_udf("binary")
     def digest(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: normalised_digest((t or "").encode("utf-8", "surrogatepass")))

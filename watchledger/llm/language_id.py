@@ -19,6 +19,7 @@ empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -144,8 +145,6 @@ def with_language(docs: DataFrame, profiles: dict[str, np.ndarray], column: str
 
 def predictor(profiles: dict[str, np.ndarray], profile: int = PROFILE):
     """The prediction as a vectorised column function; null for no accepted language."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def language(texts: pd.Series) -> pd.Series:
         classify = Classifier(profiles, profile)
