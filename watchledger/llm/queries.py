@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchledger.llm import exact_dedup, jaccard_join, language_id, mixing, orc_tokens, packing, quality_bands, suffix_dedup
+from watchledger.llm import class_lm, exact_dedup, jaccard_join, language_id, mixing, orc_tokens, packing, quality_bands, suffix_dedup
 from watchledger.llm.common import read_table, remainder
 from watchledger.plans.registry import comparable
 
@@ -18,6 +18,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op2_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class bigram and unigram scores of every document, learned from those whose remainder is not 2."""
+    return class_lm.class_lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without repeated 400-byte strings."""
     return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
@@ -53,7 +58,7 @@ def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.quality_bands(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_suffix_dedup, op5_exact_dedup, op6_jaccard_join, op7_mixing, op8_packing, op9_token_orc, op10_quality_bands)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_class_lm, op4_suffix_dedup, op5_exact_dedup, op6_jaccard_join, op7_mixing, op8_packing, op9_token_orc, op10_quality_bands)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
