@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchledger.llm import class_lm, exact_dedup, jaccard_join, language_id, mixing, orc_tokens, packing, quality_bands, suffix_dedup
+from watchledger.llm import class_lm, exact_dedup, html_text, jaccard_join, language_id, mixing, orc_tokens, packing, quality_bands, suffix_dedup
 from watchledger.llm.common import read_table, remainder
 from watchledger.plans.registry import comparable
 
@@ -23,6 +23,12 @@ def op2_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.class_lm_scores(read_table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read_table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without repeated 400-byte strings."""
     return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
@@ -58,7 +64,7 @@ def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.quality_bands(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_class_lm, op4_suffix_dedup, op5_exact_dedup, op6_jaccard_join, op7_mixing, op8_packing, op9_token_orc, op10_quality_bands)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_class_lm, op3_html_text, op4_suffix_dedup, op5_exact_dedup, op6_jaccard_join, op7_mixing, op8_packing, op9_token_orc, op10_quality_bands)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
