@@ -56,7 +56,7 @@ def event_temporal_risk(df: DataFrame) -> DataFrame:
 def event_anomaly(df: DataFrame, contamination: float = 0.1, seed: int = 42) -> DataFrame:
     """100 for outliers on (hour, severity, event-type code), else 0."""
     coded = label_encode(df, "event_type", "event_type_code")
-    flagged = forest.isolation_forest(coded, ["hour", "severity_score", "event_type_code"], ["event_id", "timestamp"], contamination, seed)
+    flagged = forest.isolation_forest(coded, ["hour", "severity_score", "event_type_code"], ["event_id"], contamination, seed, few_values=True)
     return flagged.withColumn("anomaly_score", F.col("iso_anomaly") * 100.0).drop("event_type_code", "iso_anomaly", "iso_score")
 
 
@@ -65,11 +65,12 @@ def event_geo_risk(df: DataFrame) -> DataFrame:
 
 
 def event_ensemble(df: DataFrame, use_anomaly: bool = True) -> DataFrame:
-    """All scores of every incident; the scored rows are written once and then read for bounds and result."""
-    scored = event_geo_risk(event_temporal_risk(event_advanced_risk(event_basic_risk(df))))
-    if use_anomaly:
-        scored = event_anomaly(scored)
-    scored = materialize(scored, "event-scores")
+    """All scores of every incident; the scored rows are written once and then read for bounds and result.
+
+    The forest works on the prepared incidents, before the other scores are attached.
+    """
+    start = event_anomaly(df) if use_anomaly else df
+    scored = materialize(event_geo_risk(event_temporal_risk(event_advanced_risk(event_basic_risk(start)))), "event-scores")
     weights = {c: w for c, w in WEIGHTS.items() if use_anomaly or c != "anomaly_score"}
     total = minmax(scored, list(weights)).withColumn("ensemble_risk_score", weighted_sum(weights)).drop(*[c + "_norm" for c in weights])
     return total.withColumn("final_risk_level", band(F.col("ensemble_risk_score"), FINAL_EDGES, RISK_LEVELS))

@@ -14,33 +14,38 @@ from watchledger.operators.ordering import top_k
 from watchledger.operators.patterns import rapid_campaigns
 from watchledger.operators.timeseries import daily_security_metrics
 
-# Message formats and the standing advice rows.
-MESSAGES = {
-    "critical": "CRITICAL: %d critical risk incidents detected (>10%% of total). Immediate incident response required.",
-    "high": "HIGH PRIORITY: %d high-risk incidents require immediate attention and investigation.",
-    "hotspot": "Geographic Focus: %s shows highest incident concentration (%d incidents). Implement region-specific security controls.",
-    "peak_hour": "Monitoring Enhancement: Peak incident hour is %d:00 (%d incidents). Increase monitoring during this period.",
-    "off_hours": "Off-hours Vulnerability: More incidents occur outside business hours. Review after-hours access controls and monitoring.",
-    "positive_corr": "Strong Correlation Alert: Failed logins correlate with incidents (r=%.3f). Implement account lockout and MFA immediately.",
-    "negative_corr": "Negative correlation between failed logins and incidents (r=%.3f). Investigate login failure patterns.",
-    "campaign": "Automated Attacks Detected: %d IPs show automated attack patterns. Implement rate limiting and bot detection immediately.",
-    "login": "Authentication Issues: Login success rate is %.1f%%. Review authentication policies and user training.",
-    "top_ip": "IP Threat Focus: %s is most active attacker IP (%d incidents). Implement IP-based blocking.",
-    "top_type": "Event Type Focus: %s is most common (%d occurrences). Develop specific mitigation strategies.",
+#: What to do about each finding.  The facts are columns: ``rule``, ``subject`` and ``value``.
+ADVICE = {
+    "critical_share": "Over a tenth of the incidents score Critical: open an incident bridge.",
+    "high_share": "Over a fifth of the incidents score High: triage them today.",
+    "hotspot": "Busiest location: tighten the controls that guard it.",
+    "peak_hour": "Busiest hour of the day: put more eyes on it.",
+    "off_hours": "Working hours see the smaller part: go over night and weekend access.",
+    "rise together": "Days of failed logins are days of incidents: lock accounts out and ask for a second factor.",
+    "move apart": "Failed logins drop when incidents climb: find out who gets in.",
+    "campaigns": "Sources fire in quick succession: throttle them.",
+    "login_success": "Too few logins succeed: walk users through the sign-in rules.",
+    "top_source": "Busiest source: block it or fence it in.",
+    "top_type": "Frequent kind of event: keep a playbook for it.",
+}
+#: Standing rows of every report, by subject.
+STANDING = {
+    "alerts": "Page somebody when a source turns Critical.",
+    "baseline": "Refresh the usual volumes before judging a peak.",
+    "locations": "Compare locations week by week.",
+    "logins": "Watch the daily share of logins that succeed.",
+    "logs": "Keep the logs of all systems in one place.",
+    "sequences": "Answer known event sequences by machine.",
 }
-MONITORING = [
-    "Implement real-time alerting for high-risk IP addresses",
-    "Set up automated responses for detected attack patterns",
-    "Monitor login success rates with automated thresholds",
-    "Track geographic incident patterns for regional threats",
-    "Establish baseline metrics for anomaly detection",
-    "Implement log aggregation and correlation across systems",
-]
 
 
-def _rule(row: DataFrame, when: Column, priority: str | Column, message: Column) -> DataFrame:
+def _rule(row: DataFrame, when: Column, priority: str | Column, rule: str, value: Column | str, subject: Column | None = None, message: Column | None = None) -> DataFrame:
+    """priority, rule, subject, value, message of the rows of ``row`` that meet ``when``."""
     level = F.lit(priority) if isinstance(priority, str) else priority
-    return row.where(when).select(level.alias("priority"), message.alias("message"))
+    number = F.col(value) if isinstance(value, str) else value
+    about = F.lit(None).cast("string") if subject is None else subject.cast("string")
+    return row.where(when).select(
+        level.alias("priority"), F.lit(rule).alias("rule"), about.alias("subject"), number.cast("double").alias("value"), (F.lit(ADVICE[rule]) if message is None else message).alias("message"))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -51,8 +56,8 @@ def risk_recommendations(scored: DataFrame) -> DataFrame:
     level = lambda name: F.count_if(F.col("final_risk_level") == name)
     row = scored.agg(level("Critical").alias("critical"), level("High").alias("high"), F.count(F.lit(1)).alias("n"))
     return _union([
-        _rule(row, F.col("critical") > F.col("n") * 0.1, "critical", F.format_string(MESSAGES["critical"], "critical")),
-        _rule(row, F.col("high") > F.col("n") * 0.2, "high", F.format_string(MESSAGES["high"], "high")),
+        _rule(row, F.col("critical") > F.col("n") * 0.1, "critical", "critical_share", "critical"),
+        _rule(row, F.col("high") > F.col("n") * 0.2, "high", "high_share", "high"),
     ])
 
 
@@ -61,7 +66,7 @@ def _most_frequent(df: DataFrame, column: str, n: int = 1) -> DataFrame:
 
 
 def hotspot_recommendation(df: DataFrame) -> DataFrame:
-    return _rule(_most_frequent(df, "location"), F.lit(True), "high", F.format_string(MESSAGES["hotspot"], "location", "count"))
+    return _rule(_most_frequent(df, "location"), F.lit(True), "high", "hotspot", "count", F.col("location"))
 
 
 def _business_split(df: DataFrame) -> DataFrame:
@@ -71,8 +76,8 @@ def _business_split(df: DataFrame) -> DataFrame:
 
 def temporal_recommendations(df: DataFrame) -> DataFrame:
     hours = df.where("timestamp is not null").groupBy(F.hour("timestamp").alias("hour")).agg(F.count(F.lit(1)).alias("count"))
-    peak = _rule(top_k(hours, 1, F.desc("count"), F.col("hour")), F.lit(True), "medium", F.format_string(MESSAGES["peak_hour"], "hour", "count"))
-    off = _rule(_business_split(df), F.col("off") > F.col("business"), "high", F.lit(MESSAGES["off_hours"]))
+    peak = _rule(top_k(hours, 1, F.desc("count"), F.col("hour")), F.lit(True), "medium", "peak_hour", "count", F.col("hour"))
+    off = _rule(_business_split(df), F.col("off") > F.col("business"), "high", "off_hours", "off")
     return peak.unionAll(off)
 
 
@@ -83,14 +88,14 @@ def failed_login_corr(incidents: DataFrame, logins: DataFrame) -> DataFrame:
 
 def correlation_recommendation(incidents: DataFrame, logins: DataFrame, limit: float = 0.5) -> DataFrame:
     r = F.col("r")
-    positive = F.format_string(MESSAGES["positive_corr"], r)
-    negative = F.format_string(MESSAGES["negative_corr"], r)
-    return _rule(failed_login_corr(incidents, logins), F.abs(r) > limit, F.when(r > 0, "high").otherwise("medium"), F.when(r > 0, positive).otherwise(negative))
+    of = lambda together, apart: F.when(r > 0, together).otherwise(apart)
+    return _rule(failed_login_corr(incidents, logins), F.abs(r) > limit, of("high", "medium"), "failed_logins", r, of("rise together", "move apart"),
+                 of(ADVICE["rise together"], ADVICE["move apart"]))
 
 
 def campaign_recommendation(df: DataFrame, min_events: int = 5, max_gap_s: float = 300) -> DataFrame:
     found = rapid_campaigns(df, min_events, max_gap_s).agg(F.count(F.lit(1)).alias("n"))
-    return _rule(found, F.col("n") > 0, "critical", F.format_string(MESSAGES["campaign"], "n"))
+    return _rule(found, F.col("n") > 0, "critical", "campaigns", "n")
 
 
 def _success_rate(logins: DataFrame) -> DataFrame:
@@ -98,28 +103,29 @@ def _success_rate(logins: DataFrame) -> DataFrame:
 
 
 def login_recommendation(logins: DataFrame) -> DataFrame:
-    return _rule(_success_rate(logins), F.col("rate") < 0.9, "high", F.format_string(MESSAGES["login"], F.col("rate") * 100))
+    return _rule(_success_rate(logins), F.col("rate") < 0.9, "high", "login_success", F.col("rate") * 100)
 
 
 def top_ip_recommendation(df: DataFrame) -> DataFrame:
-    return _rule(_most_frequent(df, "source_ip"), F.lit(True), "high", F.format_string(MESSAGES["top_ip"], "source_ip", "count"))
+    return _rule(_most_frequent(df, "source_ip"), F.lit(True), "high", "top_source", "count", F.col("source_ip"))
 
 
 def top_type_recommendations(df: DataFrame, n: int = 3) -> DataFrame:
-    return _rule(_most_frequent(df, "event_type", n), F.lit(True), "medium", F.format_string(MESSAGES["top_type"], "event_type", "count"))
+    return _rule(_most_frequent(df, "event_type", n), F.lit(True), "medium", "top_type", "count", F.col("event_type"))
 
 
 def recommendation_report(incidents: DataFrame, logins: DataFrame, scored: DataFrame) -> DataFrame:
-    """All rules by priority, with the standing monitoring advice."""
-    advice = incidents.sparkSession.range(1).select(
-        F.lit("monitoring").alias("priority"), F.explode(F.array(*[F.lit(m) for m in MONITORING])).alias("message"))
+    """All rules by priority, with the standing advice last."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("subject"), F.lit(m).alias("message")) for k, m in STANDING.items()])
+    advice = incidents.sparkSession.range(1).select(F.inline(pairs)).select(
+        F.lit("monitoring").alias("priority"), F.lit("standing").alias("rule"), "subject", F.lit(None).cast("double").alias("value"), "message")
     found = _union([
         risk_recommendations(scored), hotspot_recommendation(incidents), temporal_recommendations(incidents),
         correlation_recommendation(incidents, logins), campaign_recommendation(incidents), login_recommendation(logins),
         top_ip_recommendation(incidents), top_type_recommendations(incidents), advice,
     ])
     order = F.array_position(F.array(*[F.lit(p) for p in ("critical", "high", "medium", "monitoring")]), F.col("priority"))
-    return found.orderBy(order, "message")
+    return found.orderBy(order, "rule", "subject")
 
 
 def health_score(incidents: DataFrame, logins: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from watchledger.operators import geo, incident_sql, measures, ordering, source_risk, timeseries
 from watchledger.plans.registry import Query, r6
 from watchledger.plans.reports import CLEAN_FIXTURE, CLEAN_LOGINS, DAILY, LOC, SECURITY
-from watchledger.plans.scoring import ENSEMBLE_SQL, PROFILE_SQL, core_events, core_profile, z_sql
+from watchledger.plans.scoring import ANOMALY_SQL, ENSEMBLE_SQL, PROFILE_SQL, full_events, full_profile, z_sql
 from watchledger.streaming import jobs
 
 _c = F.col
@@ -50,18 +50,20 @@ def _detail(t):
 
 
 MEASURES = [
-    Query("risk_category", lambda t: core_profile(t).select("source_ip", "ensemble_risk_score", measures.risk_category(_c("ensemble_risk_score")).alias("risk_category")),
+    Query("risk_category", lambda t: full_profile(t).select("source_ip", "ensemble_risk_score", measures.risk_category(_c("ensemble_risk_score")).alias("risk_category")),
           f"SELECT source_ip, ensemble_risk_score, {CATEGORY} AS risk_category FROM profile", PROFILE_SQL),
     Query("success_rate_measure", lambda t: measures.success_rate_measure(t.incidents),
           f"""SELECT {r6("count(*) FILTER (WHERE status = 'Successful') / count(*)")} AS success_rate FROM incidents"""),
     Query("incidents_ytd", lambda t: timeseries.incidents_ytd(t.incidents),
           "SELECT date, incidents, CAST(sum(incidents) OVER (PARTITION BY year(date) ORDER BY date) AS BIGINT) AS incidents_ytd FROM di", DAILY),
-    Query("kpi_cards", lambda t: measures.kpi_cards(t.incidents, core_events(t)), f"""
+    Query("kpi_cards", lambda t: measures.kpi_cards(t.incidents, full_events(t)), f"""
         SELECT count(*) AS total_incidents, count(*) FILTER (WHERE severity = 'Critical') AS critical_incidents,
           {r6("count(*) FILTER (WHERE status = 'Successful') / count(*)")} AS success_rate, count(DISTINCT source_ip) AS unique_ips, {r6('avg(ensemble_risk_score)')} AS avg_risk_score,
           (SELECT hour FROM es GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS peak_hour FROM es""", ENSEMBLE_SQL),
-    Query("alert_critical_ips", lambda t: measures.alert_critical_ips(core_profile(t)).select("source_ip", "ensemble_risk_score"),
+    Query("alert_critical_ips", lambda t: measures.alert_critical_ips(full_profile(t)).select("source_ip", "ensemble_risk_score"),
           "SELECT source_ip, ensemble_risk_score FROM profile WHERE ensemble_risk_score > 80", PROFILE_SQL),
+    Query("alert_high_ips", lambda t: measures.alert_critical_ips(full_profile(t), 40).select("source_ip", "ensemble_risk_score"),
+          "SELECT source_ip, ensemble_risk_score FROM profile WHERE ensemble_risk_score > 40", PROFILE_SQL),
     Query("alert_spikes", lambda t: timeseries.alert_spikes(t.incidents),
           f"SELECT date, incidents, {r6('a')} AS daily_average FROM di, (SELECT avg(incidents) AS a FROM di) WHERE incidents > a * 2", DAILY),
     Query("alert_spikes_mild", lambda t: timeseries.alert_spikes(t.incidents, ratio=1.05),
@@ -96,14 +98,16 @@ MEASURES = [
         SELECT location, {r6('avg_severity')} AS avg_severity, {r6('avg_severity / (SELECT avg(severity_score) FROM scored)')} AS multiplier FROM ls""", LOC),
     Query("attack_type_correlation", lambda t: measures.attack_type_correlation(t.incidents), "\nUNION ALL ".join(
         f"SELECT '{a}' AS type_a, '{b}' AS type_b, {r6(f'corr(t{i}, t{j})')} AS r FROM per_ip" for i, a in enumerate(TYPES) for j, b in enumerate(TYPES)), PIVOT),
-    Query("alert_anomalies", _anomaly_alerts),
+    Query("alert_anomalies", _anomaly_alerts, f"""
+        SELECT source_ip, frequency, avg_severity, success_rate, event_diversity, avg_hour, location_count, CAST(isolation_score AS BIGINT) AS isolation_score, {r6('zm')} AS z_score_max,
+          {r6('za')} AS z_score_avg, anomaly_score, anomaly_level FROM composite WHERE anomaly_level <> 'Normal'""", ANOMALY_SQL),
     Query("treat_outliers", lambda t: measures.treat_outliers(t.base("events").select("event_id", "value", "user_id"), ["value", "user_id"]), f"""
         SELECT event_id, {r6('value')} AS value, user_id, {r6('greatest(least(value, vh), vl)')} AS value_treated, {r6('greatest(least(user_id, uh), ul)')} AS user_id_treated
         FROM events, (SELECT quantile_cont(value, 0.05) AS vl, quantile_cont(value, 0.95) AS vh, quantile_cont(user_id, 0.05) AS ul, quantile_cont(user_id, 0.95) AS uh FROM events)"""),
     Query("quantiles", lambda t: ordering.exact_quantiles(t.base("lineitem").select("l_returnflag", "l_extendedprice"), "l_extendedprice", {"q25": 0.25, "q50": 0.5, "q99": 0.99}, by=["l_returnflag"]), f"""
         SELECT l_returnflag, {r6('quantile_cont(l_extendedprice, 0.25)')} AS q25, {r6('quantile_cont(l_extendedprice, 0.5)')} AS q50,
           {r6('quantile_cont(l_extendedprice, 0.99)')} AS q99 FROM lineitem GROUP BY 1"""),
-    Query("risk_vs_frequency", lambda t: measures.risk_vs_frequency(t.incidents, core_profile(t)).select("source_ip", "incident_count", "ensemble_risk_score"),
+    Query("risk_vs_frequency", lambda t: measures.risk_vs_frequency(t.incidents, full_profile(t)).select("source_ip", "incident_count", "ensemble_risk_score"),
           "SELECT source_ip, (SELECT count(*) FROM incidents i WHERE i.source_ip = p.source_ip) AS incident_count, ensemble_risk_score FROM profile p", PROFILE_SQL),
     Query("slice_events", lambda t: measures.slice_events(t.incidents, date(2024, 1, 5), date(2024, 1, 20), ["China", "Russia"], ["Malware", "Port Scan"]), """
         SELECT * FROM incidents WHERE timestamp >= DATE '2024-01-05' AND timestamp < DATE '2024-01-21' AND location IN ('China', 'Russia') AND event_type IN ('Malware', 'Port Scan')"""),

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from watchledger.functions import statistics
 from watchledger.operators import anomalies, correlate, correlation, event_risk, forest, ordering, patterns, posture, source_risk, timeseries
+from watchledger.plans.forest_sql import forest_sql
 from watchledger.plans.registry import Query, r6
 from watchledger.plans.reports import SECURITY
-from watchledger.schemas import HIGH_RISK_LOCATIONS, RISK_LEVELS
+from watchledger.schemas import RISK_LEVELS
 from watchledger.sources import sinks
 from watchledger.workspace import new_path
 
@@ -35,7 +36,11 @@ def z_sql(x: str) -> str:
 
 
 # --- source risk -------------------------------------------------------------------------------
-_RISKY = "(" + ", ".join(f"'{v}'" for v in HIGH_RISK_LOCATIONS) + ")"
+# The SQL states weights, features and lists by itself, so that a wrong constant in an operator shows.
+_RISKY = "('Unknown', 'Russia', 'China', 'North Korea')"
+_ADVANCED = {"frequency": 0.30, "avg_severity": 0.25, "success_rate": 0.20, "event_diversity": 0.10, "persistence_days": 0.15}
+_PROFILE = {"basic_risk_score": 0.2, "advanced_risk_score": 0.3, "temporal_risk_score": 0.25, "anomaly_score": 0.15, "geo_risk_score": 0.1}
+_SOURCE_FEATURES = ["frequency", "avg_severity", "success_rate", "event_diversity", "avg_hour", "location_count"]
 SOURCES_SQL = f"""
 aged AS (SELECT *, date_sub('day', timestamp, (SELECT max(timestamp) FROM scored)) AS age FROM scored),
 sm AS (SELECT source_ip, count(event_id) AS frequency, round_even(avg(severity_score), 3) AS avg_severity,
@@ -47,22 +52,40 @@ sm AS (SELECT source_ip, count(event_id) AS frequency, round_even(avg(severity_s
   round_even(sum(severity_score * exp(-age / 7e0)), 3) AS weighted_severity_sum, round_even(sum(exp(-age / 7e0)), 3) AS total_weight, min(age) AS most_recent_days
   FROM aged WHERE source_ip IS NOT NULL GROUP BY 1),
 basic AS (SELECT *, round_even(frequency * avg_severity, 2) AS basic_risk_score FROM sm),
-adv AS (SELECT *, round_even({weighted_sql(source_risk.ADVANCED_WEIGHTS)}, 2) AS advanced_risk_score FROM basic),
+adv AS (SELECT *, round_even({weighted_sql(_ADVANCED)}, 2) AS advanced_risk_score FROM basic),
 tmp AS (SELECT *, exp(-most_recent_days / 30e0) AS recency_bonus,
   round_even(weighted_severity_sum / CASE WHEN total_weight = 0 THEN 1 ELSE total_weight END * 10, 2) * (1 + exp(-most_recent_days / 30e0)) AS temporal_risk_score FROM adv),
 src AS (SELECT *, round_even(frequency * avg_severity * avg_country_risk * ln(1 + location_count), 2) AS geo_risk_score FROM tmp)
 """
-_CORE = {c: w for c, w in source_risk.ENSEMBLE_WEIGHTS.items() if c != "anomaly_score"}
+_CORE = {c: w for c, w in _PROFILE.items() if c != "anomaly_score"}
 BASIC_LEVEL, ADVANCED_LEVEL = band_sql("basic_risk_score", [0, 5, 15, 30]), band_sql("advanced_risk_score", [0, 25, 50, 75])
 TEMPORAL_LEVEL, GEO_LEVEL = band_sql("temporal_risk_score", [0, 10, 25, 50]), band_sql("geo_risk_score", [0, 10, 30, 70])
-PROFILE_SQL = f"""{SOURCES_SQL.strip()},
-profile AS (SELECT source_ip, basic_risk_score, {BASIC_LEVEL} AS risk_level, advanced_risk_score, {ADVANCED_LEVEL} AS advanced_risk_level,
-  {r6('temporal_risk_score')} AS temporal_risk_score, {TEMPORAL_LEVEL} AS temporal_risk_level, geo_risk_score, {GEO_LEVEL} AS geo_risk_level,
-  round_even({weighted_sql(_CORE)}, 2) AS ensemble_risk_score FROM src)
+ANOMALY_LEVEL = "CASE WHEN a <= 0.5 THEN 'Normal' WHEN a <= 1 THEN 'Suspicious' WHEN a <= 1.5 THEN 'Anomalous' ELSE 'Critical_Anomaly' END"
+_ZS = [f"abs({z_sql(c)})" for c in (*_SOURCE_FEATURES, "isolation_score")]
+COMPOSITE = f"""composite AS (SELECT *, a AS anomaly_score, {ANOMALY_LEVEL} AS anomaly_level FROM (SELECT *, round_even(isolation_score * 0.6e0 + zm * 0.4e0, 3) AS a FROM
+   (SELECT *, greatest({', '.join(_ZS)}) AS zm, ({' + '.join(_ZS)}) / 7 AS za FROM labelled)))"""
+ANOMALY_SQL = f"""{SOURCES_SQL.strip()},
+{forest_sql("sm", "source_ip", _SOURCE_FEATURES, 0.1)},
+labelled AS (SELECT src.*, CASE WHEN iso_anomaly = 1 THEN 1 ELSE -1 END AS isolation_score FROM src JOIN iso ON source_ip = k),
+{COMPOSITE}
+"""
+_LEVELS_SQL = f"""basic_risk_score, {BASIC_LEVEL} AS risk_level, advanced_risk_score, {ADVANCED_LEVEL} AS advanced_risk_level,
+  {r6('temporal_risk_score')} AS temporal_risk_score, {TEMPORAL_LEVEL} AS temporal_risk_level"""
+PROFILE_SQL = f"""{ANOMALY_SQL.strip()},
+profile AS (SELECT source_ip, {_LEVELS_SQL}, anomaly_score, anomaly_level, geo_risk_score, {GEO_LEVEL} AS geo_risk_level,
+  round_even({weighted_sql(_PROFILE)}, 2) AS ensemble_risk_score FROM composite)
+"""
+CORE_PROFILE_SQL = f"""{SOURCES_SQL.strip()},
+profile AS (SELECT source_ip, {_LEVELS_SQL}, geo_risk_score, {GEO_LEVEL} AS geo_risk_level, round_even({weighted_sql(_CORE)}, 2) AS ensemble_risk_score FROM src)
 """
 _FINAL = band_sql("ensemble_risk_score", [0, 30, 55, 80])
 
 
+def full_profile(t):
+    """The profile of every address with all five scores."""
+    return source_risk.ip_risk_profile(t.incidents)
+
+
 def core_profile(t):
     """The profile from the four scores SQL can express."""
     return source_risk.ip_risk_profile(t.incidents, use_anomaly=False)
@@ -76,14 +99,11 @@ def _composite(t):
     return source_risk.composite_anomaly(labelled).select("source_ip", "isolation_score", "z_score_max", "z_score_avg", "anomaly_score", "anomaly_level")
 
 
-_ZS = [f"abs({z_sql(c)})" for c in (*source_risk.FEATURES, "isolation_score")]
-
-
 def _export_top(t):
-    path = sinks.export_top_risk(core_profile(t), new_path(t.spark, "export"))
+    path = sinks.export_top_risk(full_profile(t), new_path(t.spark, "export"))
     return t.spark.read.option("header", True).schema(
         "source_ip string, basic_risk_score double, risk_level string, advanced_risk_score double, advanced_risk_level string, temporal_risk_score double,"
-        " temporal_risk_level string, geo_risk_score double, geo_risk_level string, ensemble_risk_score double, final_risk_level string, risk_trend string").csv(path)
+        " temporal_risk_level string, anomaly_score double, anomaly_level string, geo_risk_score double, geo_risk_level string, ensemble_risk_score double, final_risk_level string, risk_trend string").csv(path)
 
 
 def _events_flags(t, limit: float):
@@ -100,30 +120,30 @@ SOURCE_RISK = [
     Query("ip_temporal_risk", lambda t: source_risk.ip_temporal_risk(t.incidents), f"""
         SELECT source_ip, frequency AS total_incidents, weighted_severity_sum, total_weight, most_recent_days, event_diversity, {r6('recency_bonus')} AS recency_bonus,
           {r6('temporal_risk_score')} AS temporal_risk_score, {TEMPORAL_LEVEL} AS temporal_risk_level FROM src""", SOURCES_SQL),
-    Query("ip_anomaly_scores", lambda t: source_risk.ip_anomaly_scores(t.incidents)),
+    Query("ip_anomaly_scores", lambda t: source_risk.ip_anomaly_scores(t.incidents), f"""
+        SELECT source_ip, {', '.join(_SOURCE_FEATURES)}, CAST(isolation_score AS BIGINT) AS isolation_score, {r6('zm')} AS z_score_max, {r6('za')} AS z_score_avg, anomaly_score, anomaly_level
+        FROM composite""", ANOMALY_SQL),
     Query("ip_anomaly_composite", _composite, f"""
-        SELECT source_ip, CAST(isolation_score AS BIGINT) AS isolation_score, {r6('zm')} AS z_score_max, {r6('za')} AS z_score_avg,
-          round_even(isolation_score * 0.6e0 + zm * 0.4e0, 3) AS anomaly_score,
-          CASE WHEN a <= 0.5 THEN 'Normal' WHEN a <= 1 THEN 'Suspicious' WHEN a <= 1.5 THEN 'Anomalous' ELSE 'Critical_Anomaly' END AS anomaly_level
-        FROM (SELECT *, round_even(isolation_score * 0.6e0 + zm * 0.4e0, 3) AS a FROM
-          (SELECT *, greatest({', '.join(_ZS)}) AS zm, ({' + '.join(_ZS)}) / 7 AS za FROM labelled))""", SOURCES_SQL.strip() + """,
-        labelled AS (SELECT *, CASE WHEN frequency > (SELECT quantile_cont(frequency, 0.9) FROM sm) THEN 1 ELSE -1 END AS isolation_score FROM sm)"""),
+        SELECT source_ip, CAST(isolation_score AS BIGINT) AS isolation_score, {r6('zm')} AS z_score_max, {r6('za')} AS z_score_avg, anomaly_score, anomaly_level FROM composite""",
+          SOURCES_SQL.strip() + f""",
+        labelled AS (SELECT *, CASE WHEN frequency > (SELECT quantile_cont(frequency, 0.9) FROM sm) THEN 1 ELSE -1 END AS isolation_score FROM sm),
+        {COMPOSITE}"""),
     Query("ip_geo_risk", lambda t: source_risk.ip_geo_risk(t.incidents), f"""
         SELECT source_ip, frequency, avg_country_risk, location_count AS location_diversity, avg_severity, geo_risk_score, {GEO_LEVEL} AS geo_risk_level FROM src""", SOURCES_SQL),
-    Query("ip_risk_profile", lambda t: source_risk.ip_risk_profile(t.incidents)),
-    Query("ip_risk_profile_core", core_profile, f"SELECT *, {_FINAL} AS final_risk_level, 'Stable' AS risk_trend FROM profile", PROFILE_SQL),
+    Query("ip_risk_profile", full_profile, f"SELECT *, {_FINAL} AS final_risk_level, 'Stable' AS risk_trend FROM profile", PROFILE_SQL),
+    Query("ip_risk_profile_core", core_profile, f"SELECT *, {_FINAL} AS final_risk_level, 'Stable' AS risk_trend FROM profile", CORE_PROFILE_SQL),
     Query("join_scores", lambda t: correlate.join_scores(source_risk.ip_basic_risk(t.incidents).select("source_ip", "basic_risk_score"),
                                                          source_risk.ip_temporal_risk(t.incidents).select("source_ip", "temporal_risk_score"),
                                                          source_risk.ip_geo_risk(t.incidents).select("source_ip", "geo_risk_score")),
           f"SELECT source_ip, basic_risk_score, {r6('temporal_risk_score')} AS temporal_risk_score, geo_risk_score FROM src", SOURCES_SQL),
-    Query("risk_summary", lambda t: source_risk.risk_summary(core_profile(t)), """
+    Query("risk_summary", lambda t: source_risk.risk_summary(full_profile(t)), """
         SELECT count(*) AS total_ips_analyzed, count(*) FILTER (WHERE f = 'High') AS high_risk_ips, count(*) FILTER (WHERE f = 'Critical') AS critical_risk_ips,
           round_even(avg(ensemble_risk_score), 2) AS avg_ensemble_score, max(ensemble_risk_score) AS max_risk_score, """
           + ", ".join(f"count(*) FILTER (WHERE f = '{level}') AS level_{level.lower()}" for level in RISK_LEVELS)
           + f", count(*) FILTER (WHERE f IS NULL) AS level_none FROM (SELECT *, {_FINAL} AS f FROM profile)", PROFILE_SQL),
     Query("export_top_risk", _export_top, f"""SELECT *, {_FINAL} AS final_risk_level, 'Stable' AS risk_trend FROM profile
         ORDER BY ensemble_risk_score DESC, source_ip LIMIT 20""", PROFILE_SQL),
-    Query("incidents_with_profile", lambda t: correlate.incidents_with_profile(t.incidents, core_profile(t).select("source_ip", "ensemble_risk_score", "final_risk_level")),
+    Query("incidents_with_profile", lambda t: correlate.incidents_with_profile(t.incidents, full_profile(t).select("source_ip", "ensemble_risk_score", "final_risk_level")),
           f"SELECT i.*, ensemble_risk_score, {_FINAL} AS final_risk_level FROM incidents i LEFT JOIN profile p ON i.source_ip = p.source_ip", PROFILE_SQL),
     Query("minmax", lambda t: statistics.minmax(t.base("events").select("event_id", "value"), ["value"]),
           f"SELECT event_id, {r6('value')} AS value, {r6(norm_sql('value'))} AS value_norm FROM events"),
@@ -134,7 +154,9 @@ SOURCE_RISK = [
           {r6(f"(abs({z_sql('value')}) + abs({z_sql('user_id')})) / 2")} AS z_score_avg FROM events"""),
     Query("any_z_gt", lambda t: _events_flags(t, 3.0), f"""
         SELECT event_id, {r6('value')} AS value, user_id, CAST(abs({z_sql('value')}) > 3 OR abs({z_sql('user_id')}) > 3 AS BIGINT) AS zscore_anomaly FROM events"""),
-    Query("isolation_forest", lambda t: forest.isolation_forest(t.base("events").select("event_id", "value", "user_id"), ["value", "user_id"], ["event_id"], 0.1)),
+    Query("isolation_forest", lambda t: forest.isolation_forest(t.base("events").select("event_id", "value", "user_id"), ["value", "user_id"], ["event_id"], 0.1),
+          f"SELECT event_id, {r6('value')} AS value, user_id, iso_anomaly, {r6('iso_score')} AS iso_score FROM events JOIN iso ON event_id = k",
+          forest_sql("events", "event_id", ["value", "user_id"], 0.1)),
 ]
 
 # --- event risk --------------------------------------------------------------------------------
@@ -148,13 +170,30 @@ er AS (SELECT s.*, severity_score * 100e0 AS basic_risk_score, event_rarity, hou
   FROM scored s LEFT JOIN rarity USING (event_type) LEFT JOIN lr USING (location)),
 et AS (SELECT *, severity_score * 100e0 * (1 + rolling_incidents_24h / 10) AS temporal_risk_score FROM er)
 """
-_EVENT_CORE = {c: w for c, w in event_risk.WEIGHTS.items() if c != "anomaly_score"}
+_EVENT_WEIGHTS = {"basic_risk_score": 0.25, "advanced_risk_score": 0.25, "temporal_risk_score": 0.2, "anomaly_score": 0.15, "geo_risk_score": 0.15}
+_EVENT_CORE = {c: w for c, w in _EVENT_WEIGHTS.items() if c != "anomaly_score"}
+CODES = """
+coded AS (SELECT *, dense_rank() OVER (ORDER BY event_type) - 1 AS event_type_encoded, dense_rank() OVER (ORDER BY coalesce(location, 'Unknown')) - 1 AS location_encoded FROM scored)
+"""
+EVENT_FOREST = f"""{CODES.strip()},
+{forest_sql("coded", "event_id", ["hour", "severity_score", "event_type_encoded"], 0.1)}"""
 ENSEMBLE_SQL = f"""{EVENT_SQL.strip()},
+{EVENT_FOREST},
+ea AS (SELECT et.*, iso_anomaly * 100e0 AS anomaly_score FROM et JOIN iso ON event_id = k),
+ens AS (SELECT *, {weighted_sql(_EVENT_WEIGHTS)} AS ensemble_risk_score FROM ea),
+es AS (SELECT *, {_FINAL} AS final_risk_level FROM ens)
+"""
+CORE_ENSEMBLE_SQL = f"""{EVENT_SQL.strip()},
 ens AS (SELECT *, {weighted_sql(_EVENT_CORE)} AS ensemble_risk_score FROM et),
 es AS (SELECT *, {_FINAL} AS final_risk_level FROM ens)
 """
 
 
+def full_events(t):
+    """Event scores with all five terms."""
+    return event_risk.event_ensemble(t.prepared)
+
+
 def core_events(t):
     """Event scores without the forest term."""
     return event_risk.event_ensemble(t.prepared, use_anomaly=False)
@@ -171,20 +210,21 @@ EVENT_RISK = [
           f"SELECT event_id, {r6('event_rarity')} AS event_rarity, business_hours, {r6('advanced_risk_score')} AS advanced_risk_score FROM et", EVENT_SQL),
     Query("event_temporal_risk", lambda t: event_risk.event_temporal_risk(t.prepared).select("event_id", "rolling_incidents_24h", "temporal_risk_score"),
           f"SELECT event_id, rolling_incidents_24h, {r6('temporal_risk_score')} AS temporal_risk_score FROM et", EVENT_SQL),
-    Query("event_anomaly", lambda t: event_risk.event_anomaly(t.prepared)),
+    Query("event_anomaly", lambda t: event_risk.event_anomaly(t.prepared), "SELECT scored.* REPLACE (CAST(severity_score AS BIGINT) AS severity_score), iso_anomaly * 100e0 AS anomaly_score FROM scored JOIN iso ON event_id = k", EVENT_FOREST),
     Query("event_geo_risk", lambda t: event_risk.event_geo_risk(t.prepared).select("event_id", "location", "geo_risk_score"),
           f"SELECT event_id, location, {r6('geo_risk_score')} AS geo_risk_score FROM et", EVENT_SQL),
-    Query("event_ensemble", lambda t: event_risk.event_ensemble(t.prepared)),
+    Query("event_ensemble", lambda t: full_events(t).select("event_id", *_EVENT_WEIGHTS, "ensemble_risk_score", "final_risk_level"),
+          f"SELECT event_id, {', '.join(f'{r6(c)} AS {c}' for c in (*_EVENT_WEIGHTS, 'ensemble_risk_score'))}, final_risk_level FROM es", ENSEMBLE_SQL),
     Query("event_ensemble_core", lambda t: core_events(t).select("event_id", "ensemble_risk_score", "final_risk_level"),
-          f"SELECT event_id, {r6('ensemble_risk_score')} AS ensemble_risk_score, final_risk_level FROM es", ENSEMBLE_SQL),
-    Query("risk_level_distribution", lambda t: event_risk.risk_level_distribution(core_events(t)),
+          f"SELECT event_id, {r6('ensemble_risk_score')} AS ensemble_risk_score, final_risk_level FROM es", CORE_ENSEMBLE_SQL),
+    Query("risk_level_distribution", lambda t: event_risk.risk_level_distribution(full_events(t)),
           "SELECT final_risk_level, count(*) AS incidents FROM es WHERE final_risk_level IS NOT NULL GROUP BY 1", ENSEMBLE_SQL),
-    Query("risk_by_event_type", lambda t: event_risk.risk_by_event_type(core_events(t)), _mean_sql("event_type") + " GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10", ENSEMBLE_SQL),
-    Query("risk_by_location", lambda t: event_risk.risk_by_location(core_events(t)), _mean_sql("location") + " WHERE location IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10", ENSEMBLE_SQL),
-    Query("risk_by_severity", lambda t: event_risk.risk_by_severity(core_events(t)), _mean_sql("severity") + " GROUP BY 1", ENSEMBLE_SQL),
-    Query("risk_by_day", lambda t: event_risk.risk_by_day(core_events(t)), _mean_sql("date") + " GROUP BY 1", ENSEMBLE_SQL),
-    Query("risk_by_hour", lambda t: event_risk.risk_by_hour(core_events(t)), _mean_sql("hour") + " GROUP BY 1", ENSEMBLE_SQL),
-    Query("risk_histogram", lambda t: event_risk.risk_histogram(core_events(t)), f"""
+    Query("risk_by_event_type", lambda t: event_risk.risk_by_event_type(full_events(t)), _mean_sql("event_type") + " GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10", ENSEMBLE_SQL),
+    Query("risk_by_location", lambda t: event_risk.risk_by_location(full_events(t)), _mean_sql("location") + " WHERE location IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10", ENSEMBLE_SQL),
+    Query("risk_by_severity", lambda t: event_risk.risk_by_severity(full_events(t)), _mean_sql("severity") + " GROUP BY 1", ENSEMBLE_SQL),
+    Query("risk_by_day", lambda t: event_risk.risk_by_day(full_events(t)), _mean_sql("date") + " GROUP BY 1", ENSEMBLE_SQL),
+    Query("risk_by_hour", lambda t: event_risk.risk_by_hour(full_events(t)), _mean_sql("hour") + " GROUP BY 1", ENSEMBLE_SQL),
+    Query("risk_histogram", lambda t: event_risk.risk_histogram(full_events(t)), f"""
         SELECT CAST(i AS BIGINT) AS bin, {r6('lo + i * (hi - lo) / 30')} AS lower, {r6('lo + (i + 1) * (hi - lo) / 30')} AS upper, coalesce(n, 0) AS count, {r6('m')} AS mean_score
         FROM range(30) g(i) CROSS JOIN (SELECT min(ensemble_risk_score) AS lo, max(ensemble_risk_score) AS hi, avg(ensemble_risk_score) AS m FROM es)
         LEFT JOIN (SELECT {_BIN} AS b, count(*) AS n FROM es, (SELECT min(ensemble_risk_score) AS lo, max(ensemble_risk_score) AS hi FROM es)
@@ -197,9 +237,9 @@ EVENT_RISK = [
 ]
 
 # --- anomalies ---------------------------------------------------------------------------------
-CODES = """
-coded AS (SELECT *, dense_rank() OVER (ORDER BY event_type) - 1 AS event_type_encoded, dense_rank() OVER (ORDER BY coalesce(location, 'Unknown')) - 1 AS location_encoded FROM scored)
-"""
+_EVENT_FEATURES = ["hour", "severity_score", "event_type_encoded", "location_encoded"]
+ISOLATED = f"""{CODES.strip()},
+{forest_sql("coded", "event_id", _EVENT_FEATURES, 0.05)}"""
 
 
 def any_z_sql(cols, limit: float) -> str:
@@ -212,8 +252,17 @@ ANOMALIES = [
     Query("zscore_flags", lambda t: anomalies.zscore_flags(t.prepared).select("event_id", *anomalies.FEATURES, "zscore_anomaly"), f"""
         SELECT event_id, hour, CAST(severity_score AS BIGINT) AS severity_score, event_type_encoded, location_encoded,
           CAST({any_z_sql(anomalies.FEATURES, 3)} AS BIGINT) AS zscore_anomaly FROM coded""", CODES),
-    Query("event_isolation", lambda t: anomalies.event_isolation(t.prepared)),
-    Query("top_event_anomalies", lambda t: anomalies.top_event_anomalies(t.prepared)),
+    Query("event_isolation", lambda t: anomalies.event_isolation(t.prepared).select("event_id", *_EVENT_FEATURES, "iso_anomaly", "iso_score"), f"""
+        SELECT event_id, hour, CAST(severity_score AS BIGINT) AS severity_score, event_type_encoded, location_encoded, iso_anomaly, {r6('iso_score')} AS iso_score
+        FROM coded JOIN iso ON event_id = k""", ISOLATED),
+    Query("top_event_anomalies", lambda t: anomalies.top_event_anomalies(t.prepared), f"""
+        SELECT event_id, timestamp, event_type, severity, source_ip, location, {r6('e')} AS ensemble_anomaly_score FROM (SELECT *, iso_score * 0.7e0 + z * 20 AS e FROM combined)
+        ORDER BY round(e, 9) DESC, event_id LIMIT 20""", ISOLATED + f""",
+        combined AS (SELECT coded.*, iso_score, iso_anomaly, CAST({any_z_sql(_EVENT_FEATURES, 3)} AS BIGINT) AS z FROM coded JOIN iso ON event_id = k)"""),
+    Query("alert_anomaly_events", lambda t: anomalies.alert_anomaly_events(t.prepared), f"""
+        SELECT event_id, timestamp, event_type, severity, source_ip, location, iso_anomaly, z AS zscore_anomaly, {r6('iso_score * 0.7e0 + z * 20')} AS ensemble_anomaly_score
+        FROM combined WHERE iso_anomaly = 1 OR z = 1""", ISOLATED + f""",
+        combined AS (SELECT coded.*, iso_score, iso_anomaly, CAST({any_z_sql(_EVENT_FEATURES, 3)} AS BIGINT) AS z FROM coded JOIN iso ON event_id = k)"""),
     Query("top_zscore_events", lambda t: anomalies.top_zscore_events(t.prepared, limit=1.6), f"""
         SELECT event_id, timestamp, event_type, severity, source_ip, location, CAST(z * 20 AS BIGINT) AS zscore_term
         FROM (SELECT *, CAST({any_z_sql(anomalies.FEATURES, 1.6)} AS BIGINT) AS z FROM coded) ORDER BY zscore_term DESC, event_id LIMIT 20""", CODES),
@@ -344,36 +393,36 @@ _TOP = "SELECT {0} AS v, count(*) AS n FROM scored WHERE {0} IS NOT NULL GROUP B
 _BUSINESS = "count(*) FILTER (WHERE hour BETWEEN 9 AND 17 AND day_of_week NOT IN ('Saturday', 'Sunday'))"
 _RATE = "(SELECT count(*) FILTER (WHERE success = 'Yes') / count(*) FROM logins)"
 _R = "(SELECT corr(incident_count, failed_logins) FROM daily)"
-M = posture.MESSAGES
+
+
+def _rule_sql(priority: str, rule: str, subject: str, value: str, message: str, source: str) -> str:
+    return f"SELECT {priority} AS priority, {rule} AS rule, {subject} AS subject, {r6(value)} AS value, {message} AS message FROM {source}"
+
+
+_SHARES = "(SELECT count(*) FILTER (WHERE final_risk_level = 'Critical') AS c, count(*) FILTER (WHERE final_risk_level = 'High') AS h, count(*) AS n FROM es)"
 RULES = {
-    "risk": f"""SELECT 'critical' AS priority, printf('{M['critical']}', c) AS message
-        FROM (SELECT count(*) FILTER (WHERE final_risk_level = 'Critical') AS c, count(*) AS n FROM es) WHERE c > n * 0.1
-        UNION ALL SELECT 'high', printf('{M['high']}', h)
-        FROM (SELECT count(*) FILTER (WHERE final_risk_level = 'High') AS h, count(*) AS n FROM es) WHERE h > n * 0.2""",
-    "hotspot": f"""SELECT 'high' AS priority, printf('{M['hotspot']}', v, n) AS message
-        FROM ({_TOP.format('location', 1)})""",
-    "temporal": f"""SELECT 'medium' AS priority, printf('{M['peak_hour']}', v, n) AS message
-        FROM ({_TOP.format('hour', 1)})
-        UNION ALL SELECT 'high', '{M['off_hours']}'
-        FROM (SELECT {_BUSINESS} AS b, count(*) AS n FROM scored) WHERE n - b > b""",
-    "correlation": f"""SELECT CASE WHEN r > 0 THEN 'high' ELSE 'medium' END AS priority,
-          CASE WHEN r > 0 THEN printf('{M['positive_corr']}', r)
-               ELSE printf('{M['negative_corr']}', r) END AS message
-        FROM (SELECT corr(incident_count, failed_logins) AS r FROM daily) WHERE abs(r) > {{limit}}""",
-    "campaign": f"""SELECT 'critical' AS priority, printf('{M['campaign']}', n) AS message
-        FROM (SELECT count(*) AS n FROM rapid WHERE avg_gap_seconds < {{gap}}) WHERE n > 0""",
-    "login": f"""SELECT 'high' AS priority, printf('{M['login']}', {_RATE} * 100) AS message
-        WHERE {_RATE} < 0.9""",
-    "top_ip": f"""SELECT 'high' AS priority, printf('{M['top_ip']}', v, n) AS message FROM ({_TOP.format('source_ip', 1)})""",
-    "top_types": f"""SELECT 'medium' AS priority, printf('{M['top_type']}', v, n) AS message
-        FROM ({_TOP.format('event_type', 3)})""",
-    "advice": "SELECT 'monitoring' AS priority, unnest([" + ", ".join(f"'{m}'" for m in posture.MONITORING) + "]) AS message",
+    "risk": _rule_sql("'critical'", "'critical_share'", "NULL::VARCHAR", "c", "'Over a tenth of the incidents score Critical: open an incident bridge.'", f"{_SHARES} WHERE c > n * 0.1")
+    + " UNION ALL " + _rule_sql("'high'", "'high_share'", "NULL::VARCHAR", "h", "'Over a fifth of the incidents score High: triage them today.'", f"{_SHARES} WHERE h > n * 0.2"),
+    "hotspot": _rule_sql("'high'", "'hotspot'", "v", "n", "'Busiest location: tighten the controls that guard it.'", f"({_TOP.format('location', 1)})"),
+    "temporal": _rule_sql("'medium'", "'peak_hour'", "v::VARCHAR", "n", "'Busiest hour of the day: put more eyes on it.'", f"({_TOP.format('hour', 1)})")
+    + " UNION ALL " + _rule_sql("'high'", "'off_hours'", "NULL::VARCHAR", "n - b", "'Working hours see the smaller part: go over night and weekend access.'",
+                                f"(SELECT {_BUSINESS} AS b, count(*) AS n FROM scored) WHERE n - b > b"),
+    "correlation": _rule_sql("CASE WHEN r > 0 THEN 'high' ELSE 'medium' END", "'failed_logins'", "CASE WHEN r > 0 THEN 'rise together' ELSE 'move apart' END", "r",
+                             "CASE WHEN r > 0 THEN 'Days of failed logins are days of incidents: lock accounts out and ask for a second factor.' ELSE 'Failed logins drop when incidents climb: find out who gets in.' END",
+                             "(SELECT corr(incident_count, failed_logins) AS r FROM daily) WHERE abs(r) > {limit}"),
+    "campaign": _rule_sql("'critical'", "'campaigns'", "NULL::VARCHAR", "n", "'Sources fire in quick succession: throttle them.'", "(SELECT count(*) AS n FROM rapid WHERE avg_gap_seconds < {gap}) WHERE n > 0"),
+    "login": _rule_sql("'high'", "'login_success'", "NULL::VARCHAR", f"{_RATE} * 100", "'Too few logins succeed: walk users through the sign-in rules.'", f"(SELECT 1) WHERE {_RATE} < 0.9"),
+    "top_ip": _rule_sql("'high'", "'top_source'", "v", "n", "'Busiest source: block it or fence it in.'", f"({_TOP.format('source_ip', 1)})"),
+    "top_types": _rule_sql("'medium'", "'top_type'", "v", "n", "'Frequent kind of event: keep a playbook for it.'", f"({_TOP.format('event_type', 3)})"),
+    "advice": """SELECT 'monitoring' AS priority, 'standing' AS rule, s AS subject, NULL::DOUBLE AS value, m AS message FROM (VALUES
+        ('alerts', 'Page somebody when a source turns Critical.'), ('baseline', 'Refresh the usual volumes before judging a peak.'), ('locations', 'Compare locations week by week.'),
+        ('logins', 'Watch the daily share of logins that succeed.'), ('logs', 'Keep the logs of all systems in one place.'), ('sequences', 'Answer known event sequences by machine.')) a(s, m)""",
 }
 _ALL_VIEWS = f"{ENSEMBLE_SQL.strip()}, {SECURITY.strip()}, {BEHAVIOR.strip()}"
 _SCORE = f"""100 - CASE WHEN {_RATE} < 0.95 THEN 10 ELSE 0 END - CASE WHEN {_RATE} < 0.9 THEN 10 ELSE 0 END - cr * 50e0 - CASE WHEN {_R} > 0.3 THEN 15 ELSE 0 END - CASE WHEN n - b > b THEN 10 ELSE 0 END"""
 
 POSTURE = [
-    Query("risk_recommendations", lambda t: posture.risk_recommendations(core_events(t)), RULES["risk"], ENSEMBLE_SQL),
+    Query("risk_recommendations", lambda t: posture.risk_recommendations(full_events(t)), RULES["risk"], ENSEMBLE_SQL),
     Query("hotspot_recommendation", lambda t: posture.hotspot_recommendation(t.incidents), RULES["hotspot"]),
     Query("temporal_recommendations", lambda t: posture.temporal_recommendations(t.incidents), RULES["temporal"]),
     Query("correlation_recommendation", lambda t: posture.correlation_recommendation(t.prepared, t.logins), RULES["correlation"].format(limit=0.5), SECURITY),
@@ -383,7 +432,7 @@ POSTURE = [
     Query("login_recommendation", lambda t: posture.login_recommendation(t.logins), RULES["login"]),
     Query("top_ip_recommendation", lambda t: posture.top_ip_recommendation(t.incidents), RULES["top_ip"]),
     Query("top_type_recommendations", lambda t: posture.top_type_recommendations(t.incidents), RULES["top_types"]),
-    Query("recommendation_report", lambda t: posture.recommendation_report(t.prepared, t.logins, core_events(t)),
+    Query("recommendation_report", lambda t: posture.recommendation_report(t.prepared, t.logins, full_events(t)),
           "\nUNION ALL ".join(f"SELECT * FROM ({sql.format(limit=0.5, gap=300) if key in ('correlation', 'campaign') else sql})" for key, sql in RULES.items()), _ALL_VIEWS),
     Query("health_score", lambda t: posture.health_score(t.prepared, t.logins), f"""
         SELECT {r6('cr')} AS critical_rate, {r6(_RATE)} AS login_success_rate, {r6(_R)} AS incident_failed_corr, n - b > b AS more_off_hours, {r6('greatest(0, least(100, s))')} AS health_score,
