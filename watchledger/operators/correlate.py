@@ -54,11 +54,15 @@ def correlate(incidents: DataFrame, logins: DataFrame, minutes: int = 60, hot_ro
     width = minutes * 60 * 1_000_000
     keys = ["source_ip", "_bucket"]
     # Duplicate pairs can only come from duplicate inputs.
-    left = _prefixed(incidents.dropDuplicates(), "incident_", {"source_ip": "source_ip"})
-    right = _prefixed(logins.dropDuplicates(), "login_", {"ip_address": "source_ip", "login_time": "login_time"})
+    incidents, logins = materialize(incidents.dropDuplicates(), "incidents"), materialize(logins.dropDuplicates(), "logins")
+    left = _prefixed(incidents, "incident_", {"source_ip": "source_ip"})
+    right = _prefixed(logins, "login_", {"ip_address": "source_ip", "login_time": "login_time"})
     left_columns, right_columns = left.columns, [c for c in right.columns if c != "source_ip"]
 
-    reach = _reach(logins.select(F.col("ip_address").alias("source_ip"), "login_time"), width)
+    # Incidents without an address or a time match nothing and stay out of the joins.
+    nowhere = left.where("source_ip is null or incident_timestamp is null")
+    left = left.where("source_ip is not null and incident_timestamp is not null")
+    reach = materialize(_reach(logins.select(F.col("ip_address").alias("source_ip"), "login_time"), width), "reach")
     window = F.expr(f"INTERVAL {minutes} MINUTES")
     t = F.col("incident_timestamp")
     reached = F.col("_same").isNotNull() | (F.col("_before") >= t - window) | (F.col("_after") <= t + window)
@@ -87,7 +91,8 @@ def correlate(incidents: DataFrame, logins: DataFrame, minutes: int = 60, hot_ro
     near = (F.col("l.login_time") >= t - window) & (F.col("l.login_time") <= t + window)
     joined = inc.join(log, reduce(lambda a, b: a & b, same) & near & F.col("_reached"), "left")
     # A reached incident has its logins in some slices; its empty slices are no result.
-    return joined.where(F.col("_hit") | ~F.col("_reached")).select(*[F.col(f"i.{c}") for c in left_columns], *[F.col(f"l.{c}") for c in right_columns])
+    met = joined.where(F.col("_hit") | ~F.col("_reached")).select(*[F.col(f"i.{c}") for c in left_columns], *[F.col(f"l.{c}") for c in right_columns])
+    return met.unionByName(nowhere.select(*left_columns), allowMissingColumns=True)
 
 
 def correlate_features(merged: DataFrame) -> DataFrame:
@@ -107,13 +112,16 @@ def join_scores(basic: DataFrame, *others: DataFrame, key: str = "source_ip") ->
     return reduce(lambda left, right: left.join(right, key, "left"), others, basic)
 
 
-def map_lookup(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+def map_lookup(df: DataFrame, lookup: DataFrame, key: str, spread_by: str = "event_id") -> DataFrame:
     """Attach per-key values to every row.
 
     The lookup is written first: the planner then broadcasts it if its files are
     small and sort-merge joins it (with adaptive skew splitting) if they are not.
+    Null keys match nothing; a salt deals them over all tasks.
     """
-    return df.join(materialize(lookup, "lookup"), key, "left")
+    known = lookup.where(F.col(key).isNotNull()).withColumn("_salt", F.lit(0).cast("long"))
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(1 << 16)) + 1).otherwise(0).cast("long")
+    return df.withColumn("_salt", salt).join(materialize(known, "lookup"), [key, "_salt"], "left").drop("_salt")
 
 
 def incidents_with_profile(incidents: DataFrame, profile: DataFrame) -> DataFrame:

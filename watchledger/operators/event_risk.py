@@ -9,7 +9,6 @@ from watchledger.functions.cleaning import band
 from watchledger.functions.statistics import histogram, minmax, stats_of
 from watchledger.operators import forest
 from watchledger.operators.correlate import map_lookup
-from watchledger.operators.explore import total_over_groups
 from watchledger.operators.geo import location_risk
 from watchledger.operators.ordering import label_encode, top_k, trailing_count
 from watchledger.operators.source_risk import FINAL_EDGES, weighted_sum
@@ -32,8 +31,8 @@ def event_basic_risk(df: DataFrame) -> DataFrame:
 def event_rarity(df: DataFrame) -> DataFrame:
     """Rows over rows of the type, per event type."""
     counts = df.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    rarity = F.lit(1.0) / (F.col("n") / total_over_groups("n"))
-    return counts.select("event_type", rarity.alias("event_rarity")).where("event_type is not null")
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return counts.where("event_type is not null").withColumn("_total", total).select("event_type", (F.lit(1.0) / (F.col("n") / F.col("_total"))).alias("event_rarity"))
 
 
 def event_advanced_risk(df: DataFrame) -> DataFrame:
@@ -47,9 +46,9 @@ def event_temporal_risk(df: DataFrame) -> DataFrame:
     """Scaled by the number of events of any source in the 24 hours up to the event.
 
     The per-instant counts meet the events by timestamp; an instant shared by
-    many events is split by the adaptive skew join.
+    many events is split by the adaptive skew join, missing times are dealt over all tasks.
     """
-    counted = df.join(trailing_count(df, "timestamp", 24, "rolling_incidents_24h"), "timestamp", "left")
+    counted = map_lookup(df, trailing_count(df, "timestamp", 24, "rolling_incidents_24h"), "timestamp")
     return counted.withColumn("temporal_risk_score", _base() * (1 + F.col("rolling_incidents_24h") / 10))
 
 

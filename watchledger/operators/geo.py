@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watchledger.functions.statistics import minmax
-from watchledger.operators.explore import top_locations, total_over_groups, value_counts
+from watchledger.operators.explore import top_locations, value_counts
 from watchledger.operators.ordering import exact_quantiles
 from watchledger.schemas import SEVERITIES
 from watchledger.workspace import materialize
@@ -61,7 +61,7 @@ def location_risk(df: DataFrame) -> DataFrame:
     """.5 mean severity, .3 incidents, .2 addresses, each min-max scaled, times 100."""
     stats = df.where("location is not null").groupBy("location").agg(
         F.avg("severity_score").alias("severity"), F.count("event_id").alias("incidents"), F.count_distinct("source_ip").alias("ips"))
-    scaled = minmax(stats, ["severity", "incidents", "ips"])
+    scaled = minmax(materialize(stats, "locations"), ["severity", "incidents", "ips"])
     score = (F.col("severity_norm") * 0.5 + F.col("incidents_norm") * 0.3 + F.col("ips_norm") * 0.2) * 100
     return scaled.select("location", score.alias("geo_risk_score"))
 
@@ -70,5 +70,6 @@ def geo_multiplier(df: DataFrame) -> DataFrame:
     """Per-location multiplier: mean severity relative to the overall mean."""
     sums = df.groupBy("location").agg(F.sum("severity_score").alias("s"), F.count("severity_score").alias("n"))
     ratio = lambda a, b: F.try_divide(a.cast("double"), b.cast("double"))
-    mean, overall = ratio(F.col("s"), F.col("n")), ratio(total_over_groups("s"), total_over_groups("n"))
-    return sums.select("location", mean.alias("avg_severity"), F.try_divide(mean, overall).alias("multiplier")).where("location is not null")
+    overall = df.agg(F.avg(F.col("severity_score").cast("double")).alias("mean")).scalar()
+    mean = ratio(F.col("s"), F.col("n"))
+    return sums.where("location is not null").withColumn("_overall", overall).select("location", mean.alias("avg_severity"), F.try_divide(mean, F.col("_overall")).alias("multiplier"))

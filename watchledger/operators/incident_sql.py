@@ -9,6 +9,7 @@ from watchledger.functions.cleaning import band_ge, monday_week, severity_score_
 from watchledger.operators.explore import total_over_groups
 from watchledger.operators.ordering import top_k
 from watchledger.schemas import SEVERITIES
+from watchledger.workspace import materialize
 
 
 def _n() -> Column:
@@ -97,16 +98,21 @@ def top_attackers(df: DataFrame, n: int = 20) -> DataFrame:
     by_ip = cells.groupBy("source_ip").agg(
         F.sum("rows").alias("total_incidents"), F.count_distinct("event_type").alias("unique_event_types"),
         F.max("max_severity").alias("max_severity"), F.max("max_score").alias("max_score"),
-        F.sum("ok").alias("successful_attacks"), F.array_join(F.array_sort(F.collect_set("location")), ",").alias("locations"),
+        F.sum("ok").alias("successful_attacks"),
         F.min("first").alias("first_seen"), F.max("last").alias("last_seen"),
     )
     ranked = F.element_at(F.array(F.lit("Unknown"), *[F.lit(s) for s in SEVERITIES]), F.col("max_score") + 1)
     report = by_ip.select(
         "source_ip", "total_incidents", "unique_event_types", "max_severity", ranked.alias("max_severity_ranked"),
-        "successful_attacks", _share(F.col("successful_attacks"), F.col("total_incidents")).alias("success_rate"),
-        "locations", "first_seen", "last_seen",
+        "successful_attacks", _share(F.col("successful_attacks"), F.col("total_incidents")).alias("success_rate"), "first_seen", "last_seen",
     )
-    return top_k(report, n, F.desc("total_incidents"), F.asc_nulls_last("source_ip"))
+    best = materialize(top_k(report, n, F.desc("total_incidents"), F.asc_nulls_last("source_ip")), "top-attackers")
+    # Only the reported sources gather their locations.
+    mine = cells.join(F.broadcast(best.select(F.col("source_ip").alias("_ip"))), F.col("source_ip").eqNullSafe(F.col("_ip")))  # n rows
+    places = mine.groupBy("_ip").agg(F.array_join(F.array_sort(F.collect_set("location")), ",").alias("locations"))
+    joined = best.join(places, best["source_ip"].eqNullSafe(places["_ip"]), "left").drop("_ip")
+    return joined.select(*[c for c in best.columns if c not in ("first_seen", "last_seen")], F.coalesce("locations", F.lit("")).alias("locations"), "first_seen", "last_seen").orderBy(
+        F.desc("total_incidents"), F.asc_nulls_last("source_ip"))
 
 
 def persistent_attackers(df: DataFrame, n: int = 15) -> DataFrame:

@@ -11,14 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchledger.functions.cleaning import band_ge
-from watchledger.functions.statistics import safe_corr, standard_scale
+from watchledger.functions.statistics import standard_scale
 from watchledger.operators.ordering import exact_quantiles
 from watchledger.workspace import materialize
 
 # Inclusive lower cuts of the dashboard categories.
 CATEGORY_CUTS = [80, 55, 30]
 CATEGORY_LABELS = ["Critical", "High", "Medium"]
-MAX_TYPES = 64
 
 
 def _n() -> Column:
@@ -133,20 +132,24 @@ def risk_prediction(df: DataFrame) -> DataFrame:
 
 
 def attack_type_correlation(df: DataFrame) -> DataFrame:
-    """Pearson r between event types over their counts per source.
+    """Pearson r between event types over their counts per source, in long form.
 
-    Event types are a short category list; its length is checked before the
-    pivot, because the matrix is quadratic in it.
+    r comes from the sums, square sums and product sums of the (source, type)
+    cells and the number of sources; any number of types will do.  Pairs of types
+    that no source has in common are left out.
     """
-    types = [r[0] for r in df.where("event_type is not null").select("event_type").distinct().orderBy("event_type").limit(MAX_TYPES + 1).collect()]
-    if len(types) > MAX_TYPES:
-        raise ValueError(f"more than {MAX_TYPES} event types: group them before correlating")
-    counts = df.where("source_ip is not null").groupBy("source_ip").pivot("event_type", types).agg(_n()).na.fill(0)
-    pairs = [(i, j) for i in range(len(types)) for j in range(len(types))]
-    row = counts.toDF("source_ip", *[f"t{i}" for i in range(len(types))]).agg(
-        *[safe_corr(F.col(f"t{i}"), F.col(f"t{j}")).alias(f"r{i}_{j}") for i, j in pairs])
-    entries = [F.struct(F.lit(types[i]).alias("type_a"), F.lit(types[j]).alias("type_b"), F.col(f"r{i}_{j}").alias("r")) for i, j in pairs]
-    return row.select(F.inline(F.array(*entries)))
+    known = df.where("source_ip is not null")
+    cells = materialize(known.groupBy("source_ip", F.col("event_type").alias("type")).agg(_n().cast("double").alias("n")), "type-cells")
+    sources = cells.agg(F.count_distinct("source_ip").cast("double").alias("sources")).scalar()
+    cells = cells.where("type is not null")
+    sums = materialize(cells.groupBy("type").agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q")), "type-sums")
+    side = lambda x: cells.select("source_ip", F.col("type").alias(f"type_{x}"), F.col("n").alias(f"n_{x}"))
+    products = side("a").join(side("b"), "source_ip").groupBy("type_a", "type_b").agg(F.sum(F.col("n_a") * F.col("n_b")).alias("p"))
+    of = lambda x: sums.select(F.col("type").alias(f"type_{x}"), F.col("s").alias(f"s_{x}"), F.col("q").alias(f"q_{x}"))
+    whole = products.join(of("a"), "type_a").join(of("b"), "type_b").withColumn("_m", sources)
+    spread = lambda x: F.col("_m") * F.col(f"q_{x}") - F.col(f"s_{x}") * F.col(f"s_{x}")
+    r = (F.col("_m") * F.col("p") - F.col("s_a") * F.col("s_b")) / F.sqrt(F.nullif(spread("a") * spread("b"), F.lit(0.0)))
+    return whole.select("type_a", "type_b", r.alias("r"))
 
 
 def alert_anomalies(anomalies: DataFrame) -> DataFrame:

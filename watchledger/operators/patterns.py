@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -103,8 +104,11 @@ def ip_behavior(df: DataFrame) -> DataFrame:
     return profile.join(modal_severity(df, key).withColumnRenamed("severity", "primary_severity"), key, "left")
 
 
-def behavior_clusters(df: DataFrame, k: int = 4, min_events: int = 3, restarts: int = 10, seed: int = 42) -> DataFrame:
-    """k-means on four scaled features of the active sources; no cluster with fewer than five sources."""
+def behavior_clusters(df: DataFrame, k: int = 4, min_events: int = 3, restarts: int = 10, seed: int = 42, iterations: int = 300) -> DataFrame:
+    """k-means on four scaled features of the active sources; no cluster with fewer than five sources.
+
+    The restarts run side by side on one written table, each up to ``iterations`` rounds.
+    """
     active = materialize(ip_behavior(df).where(F.col("total_events") >= min_events), "behavior")
     filled = active.na.fill(0, CLUSTER_FEATURES)
     scaled = standard_scale(filled, CLUSTER_FEATURES)
@@ -113,7 +117,9 @@ def behavior_clusters(df: DataFrame, k: int = 4, min_events: int = 3, restarts:
     if sources < 5:
         return active.withColumn("behavior_cluster", F.lit(None).cast("int"))
     vectors = materialize(vectors.select(*active.columns, "features"), "behavior-vectors")
-    fits = (KMeans(k=min(k, sources), seed=seed + i, featuresCol="features", predictionCol="behavior_cluster").fit(vectors) for i in range(restarts))
+    kmeans = lambda i: KMeans(k=min(k, sources), seed=seed + i, maxIter=iterations, featuresCol="features", predictionCol="behavior_cluster").fit(vectors)
+    with ThreadPoolExecutor(min(4, restarts)) as pool:
+        fits = list(pool.map(kmeans, range(restarts)))
     best = min(fits, key=lambda model: model.summary.trainingCost)
     return best.transform(vectors).drop("features")
 

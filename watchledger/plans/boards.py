@@ -6,10 +6,11 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from watchledger.operators import geo, incident_sql, measures, ordering, source_risk, timeseries
+from watchledger.operators import geo, incident_sql, measures, ordering, quality, source_risk, timeseries
 from watchledger.plans.registry import Query, r6
-from watchledger.plans.reports import CLEAN_FIXTURE, CLEAN_LOGINS, DAILY, LOC, SECURITY
-from watchledger.plans.scoring import ANOMALY_SQL, ENSEMBLE_SQL, PROFILE_SQL, full_events, full_profile, z_sql
+from watchledger.plans.reports import CLEAN_FIXTURE, CLEAN_LOGINS, DAILY, LOC, SECURITY, violation_sql
+from watchledger.plans.scoring import ANOMALY_SQL, ENSEMBLE_SQL, FINAL_LEVEL, PROFILE_SQL, full_events, full_profile, z_sql
+from watchledger.schemas import DICTIONARY
 from watchledger.streaming import jobs
 
 _c = F.col
@@ -115,11 +116,12 @@ MEASURES = [
         SELECT i.*, basic_risk_score, CASE WHEN basic_risk_score > 0 AND basic_risk_score <= 5 THEN 'Low' WHEN basic_risk_score <= 15 THEN 'Medium'
           WHEN basic_risk_score <= 30 THEN 'High' ELSE 'Critical' END AS risk_level
         FROM incidents i JOIN src s ON i.source_ip = s.source_ip WHERE i.source_ip = (SELECT source_ip FROM incidents GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)""", PROFILE_SQL),
+    Query("profile_dictionary", lambda t: quality.rule_violations({"top_risk_profiles": full_profile(t)}, DICTIONARY), violation_sql(DICTIONARY, {"top_risk_profiles": "finals"}),
+          f"{PROFILE_SQL.strip()},\nfinals AS (SELECT *, {FINAL_LEVEL} AS final_risk_level FROM profile)"),
     Query("auth_trend", lambda t: timeseries.auth_trend(t.logins), f"SELECT date, total_logins, successful_logins, failed_logins, {r6('login_success_rate')} AS login_success_rate FROM lm", SECURITY),
 ]
 
 # --- streaming ---------------------------------------------------------------------------------
-CLOSED = "(SELECT max(timestamp) - INTERVAL 1 HOUR FROM incidents)"
 TEN_MINUTES = SLIDING.format(key="", n="incidents", slide=10, copies=6, ts="timestamp", source="incidents", where="true")
 SESSIONS = """
 gaps AS (SELECT source_ip, timestamp, CASE WHEN timestamp - lag(timestamp) OVER w > INTERVAL 2 HOUR THEN 1 ELSE 0 END AS starts FROM incidents WINDOW w AS (PARTITION BY source_ip ORDER BY timestamp)),
@@ -135,26 +137,29 @@ def _logins(t):
     return t.logins_from(t.stream("events"))
 
 
+def _ended(t):
+    return jobs.with_end(_incidents(t), "timestamp")
+
+
 def _repeated(t):
     """The feed with every fiftieth event delivered twice."""
     return _incidents(t).unionAll(_incidents(t).where("event_id % 50 = 0"))
 
 
 STREAMS = [
-    Query("stream_incident_counts", lambda t: jobs.drain(jobs.stream_incident_counts(_incidents(t)), "counts"), f"""
-        SELECT * FROM (SELECT date_trunc('hour', timestamp) AS window_start, date_trunc('hour', timestamp) + INTERVAL 1 HOUR AS window_end, severity, count(*) AS incidents
-          FROM incidents GROUP BY ALL) WHERE window_end <= {CLOSED}"""),
-    Query("stream_spikes", lambda t: jobs.drain(jobs.stream_spikes(_incidents(t), jobs.hourly_baseline(t.incidents), ratio=1.5), "spikes"), f"""
+    Query("stream_incident_counts", lambda t: jobs.drain(jobs.stream_incident_counts(_ended(t)), "counts"), """
+        SELECT date_trunc('hour', timestamp) AS window_start, date_trunc('hour', timestamp) + INTERVAL 1 HOUR AS window_end, severity, count(*) AS incidents
+          FROM incidents GROUP BY ALL"""),
+    Query("stream_spikes", lambda t: jobs.drain(jobs.stream_spikes(_ended(t), jobs.hourly_baseline(t.incidents), ratio=1.5), "spikes"), f"""
         SELECT window_start, window_end, incidents, {r6('b')} AS baseline FROM ({TEN_MINUTES})
         JOIN (SELECT hour(h) AS hh, avg(n) AS b FROM (SELECT date_trunc('hour', timestamp) AS h, count(*) AS n FROM incidents GROUP BY 1) GROUP BY 1) ON hh = hour(window_start)
-        WHERE window_end <= {CLOSED} AND incidents > b * 1.5"""),
-    Query("stream_campaigns", lambda t: jobs.drain(jobs.stream_campaigns(_incidents(t), n=2, gap="2 hours"), "campaigns"), f"""
+        WHERE incidents > b * 1.5"""),
+    Query("stream_campaigns", lambda t: jobs.drain(jobs.stream_campaigns(_ended(t), n=2, gap="2 hours"), "campaigns"), """
         SELECT * FROM (SELECT source_ip, min(timestamp) AS session_start, max(timestamp) + INTERVAL 2 HOUR AS session_end, count(*) AS events FROM numbered GROUP BY source_ip, s)
-        WHERE events >= 2 AND session_end <= {CLOSED}""", SESSIONS),
-    Query("stream_correlate", lambda t: jobs.drain(jobs.stream_correlate(_incidents(t), _logins(t)), "correlated"), """
+        WHERE events >= 2""", SESSIONS),
+    Query("stream_correlate", lambda t: jobs.drain(jobs.stream_correlate(_ended(t), jobs.with_end(_logins(t), "login_time")), "correlated"), """
         SELECT event_id, timestamp, source_ip, login_id, login_time FROM incidents LEFT JOIN logins ON source_ip = ip_address
-          AND login_time >= timestamp - INTERVAL 60 MINUTE AND login_time <= timestamp + INTERVAL 60 MINUTE
-        WHERE login_id IS NOT NULL OR timestamp < (SELECT least((SELECT max(timestamp) FROM incidents), (SELECT max(login_time) FROM logins))) - INTERVAL 2 HOUR"""),
+          AND login_time >= timestamp - INTERVAL 60 MINUTE AND login_time <= timestamp + INTERVAL 60 MINUTE"""),
     Query("stream_dedupe", lambda t: jobs.drain(jobs.stream_dedupe(_repeated(t)), "unique"), "SELECT * FROM incidents"),
     Query("stream_clean", lambda t: jobs.drain(jobs.stream_clean_incidents(_incidents(t)), "cleaned"), "SELECT * FROM incidents_cleaned", CLEAN_FIXTURE),
     Query("stream_clean_logins", lambda t: jobs.drain(jobs.stream_clean_logins(_logins(t)), "cleaned-logins"), "SELECT * FROM logins_cleaned", CLEAN_LOGINS),

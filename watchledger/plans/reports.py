@@ -217,7 +217,7 @@ JOINS = [
 _TEXT = [c for c in INCIDENTS.names if c != "event_id"]
 
 
-def _violation_sql(rules, tables: dict[str, str]) -> str:
+def violation_sql(rules, tables: dict[str, str]) -> str:
     tests = {
         "not_null": lambda r: f"{r.column} IS NULL",
         "in": lambda r: f"{r.column} IS NOT NULL AND {r.column} NOT IN {in_list(r.allowed)}",
@@ -297,8 +297,8 @@ QUALITY = [
         _metric_sql("merged", "correlated_events", "count(login_login_id)", "merged"),
     ]), MERGED),
     Query("constraint_violations", lambda t: quality.rule_violations({"incidents": t.raw_incidents, "logins": t.logins}, CONSTRAINTS),
-          _violation_sql(CONSTRAINTS, {"incidents": "raw_incidents", "logins": "logins"})),
-    Query("dictionary_validation", _dictionary, _violation_sql(DICTIONARY, _REPORTED), MERGED),
+          violation_sql(CONSTRAINTS, {"incidents": "raw_incidents", "logins": "logins"})),
+    Query("dictionary_validation", _dictionary, violation_sql(DICTIONARY, _REPORTED), MERGED),
 ]
 
 # --- E: the report suite -----------------------------------------------------------------------

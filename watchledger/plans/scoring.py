@@ -78,7 +78,7 @@ profile AS (SELECT source_ip, {_LEVELS_SQL}, anomaly_score, anomaly_level, geo_r
 CORE_PROFILE_SQL = f"""{SOURCES_SQL.strip()},
 profile AS (SELECT source_ip, {_LEVELS_SQL}, geo_risk_score, {GEO_LEVEL} AS geo_risk_level, round_even({weighted_sql(_CORE)}, 2) AS ensemble_risk_score FROM src)
 """
-_FINAL = band_sql("ensemble_risk_score", [0, 30, 55, 80])
+FINAL_LEVEL = band_sql("ensemble_risk_score", [0, 30, 55, 80])
 
 
 def full_profile(t):
@@ -130,8 +130,8 @@ SOURCE_RISK = [
         {COMPOSITE}"""),
     Query("ip_geo_risk", lambda t: source_risk.ip_geo_risk(t.incidents), f"""
         SELECT source_ip, frequency, avg_country_risk, location_count AS location_diversity, avg_severity, geo_risk_score, {GEO_LEVEL} AS geo_risk_level FROM src""", SOURCES_SQL),
-    Query("ip_risk_profile", full_profile, f"SELECT *, {_FINAL} AS final_risk_level, 'Stable' AS risk_trend FROM profile", PROFILE_SQL),
-    Query("ip_risk_profile_core", core_profile, f"SELECT *, {_FINAL} AS final_risk_level, 'Stable' AS risk_trend FROM profile", CORE_PROFILE_SQL),
+    Query("ip_risk_profile", full_profile, f"SELECT *, {FINAL_LEVEL} AS final_risk_level, 'Stable' AS risk_trend FROM profile", PROFILE_SQL),
+    Query("ip_risk_profile_core", core_profile, f"SELECT *, {FINAL_LEVEL} AS final_risk_level, 'Stable' AS risk_trend FROM profile", CORE_PROFILE_SQL),
     Query("join_scores", lambda t: correlate.join_scores(source_risk.ip_basic_risk(t.incidents).select("source_ip", "basic_risk_score"),
                                                          source_risk.ip_temporal_risk(t.incidents).select("source_ip", "temporal_risk_score"),
                                                          source_risk.ip_geo_risk(t.incidents).select("source_ip", "geo_risk_score")),
@@ -140,11 +140,11 @@ SOURCE_RISK = [
         SELECT count(*) AS total_ips_analyzed, count(*) FILTER (WHERE f = 'High') AS high_risk_ips, count(*) FILTER (WHERE f = 'Critical') AS critical_risk_ips,
           round_even(avg(ensemble_risk_score), 2) AS avg_ensemble_score, max(ensemble_risk_score) AS max_risk_score, """
           + ", ".join(f"count(*) FILTER (WHERE f = '{level}') AS level_{level.lower()}" for level in RISK_LEVELS)
-          + f", count(*) FILTER (WHERE f IS NULL) AS level_none FROM (SELECT *, {_FINAL} AS f FROM profile)", PROFILE_SQL),
-    Query("export_top_risk", _export_top, f"""SELECT *, {_FINAL} AS final_risk_level, 'Stable' AS risk_trend FROM profile
+          + f", count(*) FILTER (WHERE f IS NULL) AS level_none FROM (SELECT *, {FINAL_LEVEL} AS f FROM profile)", PROFILE_SQL),
+    Query("export_top_risk", _export_top, f"""SELECT *, {FINAL_LEVEL} AS final_risk_level, 'Stable' AS risk_trend FROM profile
         ORDER BY ensemble_risk_score DESC, source_ip LIMIT 20""", PROFILE_SQL),
     Query("incidents_with_profile", lambda t: correlate.incidents_with_profile(t.incidents, full_profile(t).select("source_ip", "ensemble_risk_score", "final_risk_level")),
-          f"SELECT i.*, ensemble_risk_score, {_FINAL} AS final_risk_level FROM incidents i LEFT JOIN profile p ON i.source_ip = p.source_ip", PROFILE_SQL),
+          f"SELECT i.*, ensemble_risk_score, {FINAL_LEVEL} AS final_risk_level FROM incidents i LEFT JOIN profile p ON i.source_ip = p.source_ip", PROFILE_SQL),
     Query("minmax", lambda t: statistics.minmax(t.base("events").select("event_id", "value"), ["value"]),
           f"SELECT event_id, {r6('value')} AS value, {r6(norm_sql('value'))} AS value_norm FROM events"),
     Query("standard_scale", lambda t: statistics.standard_scale(t.base("events").select("event_id", "value"), ["value"]),
@@ -181,11 +181,11 @@ ENSEMBLE_SQL = f"""{EVENT_SQL.strip()},
 {EVENT_FOREST},
 ea AS (SELECT et.*, iso_anomaly * 100e0 AS anomaly_score FROM et JOIN iso ON event_id = k),
 ens AS (SELECT *, {weighted_sql(_EVENT_WEIGHTS)} AS ensemble_risk_score FROM ea),
-es AS (SELECT *, {_FINAL} AS final_risk_level FROM ens)
+es AS (SELECT *, {FINAL_LEVEL} AS final_risk_level FROM ens)
 """
 CORE_ENSEMBLE_SQL = f"""{EVENT_SQL.strip()},
 ens AS (SELECT *, {weighted_sql(_EVENT_CORE)} AS ensemble_risk_score FROM et),
-es AS (SELECT *, {_FINAL} AS final_risk_level FROM ens)
+es AS (SELECT *, {FINAL_LEVEL} AS final_risk_level FROM ens)
 """
 
 

@@ -16,19 +16,19 @@ select event_id, ts as timestamp,
   when 'view'  then case when event_id%2=0 then 'Phishing Attempt' else 'Port Scan' end
   else case when event_id%2=0 then 'Data Exfiltration' else 'Unauthorized Access' end end as event_type,
  case when value>=80 then 'Critical' when value>=40 then 'High' when value>=15 then 'Medium' else 'Low' end as severity,
- concat('10.0.', cast(floor(user_id/256) as int), '.', user_id%256) as source_ip,
+ concat(case when user_id%10=0 then '10.1.' else '10.0.' end, cast(floor(user_id/256) as int), '.', user_id%256) as source_ip,
  concat('Device-', {k}) as destination_device,
  case cast(floor(event_id/2) as int)%4 when 0 then 'Successful' when 1 then 'Failed' when 2 then 'Blocked' else 'Allowed' end as status,
  case (user_id+event_id%3)%8 when 0 then 'China' when 1 then 'Russia' when 2 then 'Unknown'
   when 3 then cast(null as {str}) when 4 then 'United States' when 5 then 'Germany' when 6 then 'Brazil' else 'North Korea' end as location
-from {events} where event_type in ('error','view','purchase') and user_id%10<>0
+from {events} where event_type in ('error','view','purchase')
 """
 
 LOGINS_SQL = """
 select event_id as login_id, concat('user',user_id) as user_id, ts as login_time,
  case when value<10 then 'No' else 'Yes' end as success,
- concat('10.0.', cast(floor(user_id/256) as int), '.', user_id%256) as ip_address
-from {events} where event_type in ('signup','click') and user_id%10<>1
+ concat(case when user_id%10=1 then '10.2.' else '10.0.' end, cast(floor(user_id/256) as int), '.', user_id%256) as ip_address
+from {events} where event_type in ('signup','click')
 """
 
 RAW_SQL = """

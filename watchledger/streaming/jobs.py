@@ -6,8 +6,11 @@ to the end of the available input into files.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from watchledger.functions.cleaning import clean_incidents, clean_logins, severity_score
 from watchledger.workspace import new_path
@@ -94,6 +97,25 @@ def stream_ip_profile(incidents: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("incidents"), F.sum(severity_score(F.col("severity"))).alias("severity_sum"), F.max("timestamp").alias("last_seen"))
 
 
+#: Event time of the row that ends a finite input.
+END_OF_INPUT = datetime(2999, 1, 1)
+
+
+def with_end(stream: DataFrame, ts: str) -> DataFrame:
+    """A finite stream and one more row far in the future.
+
+    It moves the watermark beyond all events, so that the last windows, sessions
+    and unmatched rows come out; itself it never does.
+    """
+    spark = stream.sparkSession
+    fill = {"string": f"end of {ts}", "timestamp_ntz": END_OF_INPUT, "timestamp": END_OF_INPUT}
+    values = [END_OF_INPUT if f.name == ts else fill.get(f.dataType.simpleString(), -1 if isinstance(f.dataType, (LongType, IntegerType)) else None) for f in stream.schema]
+    schema = StructType([StructField(f.name, f.dataType) for f in stream.schema])
+    path = new_path(spark, "end-of-input")
+    spark.createDataFrame([tuple(values)], schema).coalesce(1).write.parquet(path)
+    return stream.unionByName(spark.readStream.schema(schema).parquet(path))
+
+
 def drain(stream: DataFrame, label: str) -> DataFrame:
     """Append-mode run over everything available now; returns the written table."""
     spark = stream.sparkSession
