@@ -349,7 +349,8 @@ def layout(rng: random.Random, title: str, paragraphs: list[str], others: list[s
     say = lambda: html.escape(rng.choice(others))
     link = lambda: f'<a href="/{rng.randrange(999)}">{html.escape(rng.choice(others)[: rng.randrange(6, 30)])}</a>'
     links = lambda k: "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(k)) + "</ul>"
-    name = lambda *names: f' {rng.choice(["class", "class", "id"])}="{rng.choice(names)}"' if rng.random() < 0.8 else f' class="c{rng.randrange(99)}"'
+    plain = lambda: rng.choice(["", f' class="c{rng.randrange(99)}"'])
+    name = lambda *names: f' {rng.choice(["class", "class", "id"])}="{rng.choice(names)}"' if rng.random() < 0.6 else plain()
     sure = lambda *names: f' {rng.choice(["class", "id"])}="{rng.choice(names)}"'
     comment = lambda: f"<div{sure('comment', 'reply')}><p>{say()} {say()}</p></div>"
     form = lambda: f'<form{name("search", "login-form", "contact")}><label>{say()[:20]}</label><input name="q"><p>{say()[:60]}</p></form>'
@@ -385,6 +386,7 @@ SENTENCES = [
     "The river rose slowly during the night, and by morning the lower fields were under water.",
     "Nobody in the village could remember a spring like this one. The bridge had been closed since Monday.",
     "Engineers measured the dam twice a day. Their reports were posted on the door of the town hall!",
+    "It rained.", "By noon the road was dry again, and the buses went as before.", "Why had no one been told? The mayor said that the letter came too late.",
     "Sign up now", "Read more", "About us", "All rights reserved", "We use cookies to improve this site. Accept or change your settings.",
 ]
 
@@ -410,9 +412,9 @@ def training_set(texts: list[str], layouts: int = LAYOUTS) -> tuple[list[Page],
         rng = random.Random(number)
         for _ in range(layouts if len(inside) > 1 else 0):
             take(layout(rng, inside[0][:80], inside[1:], outside + inside[1:3]))
-    for number in range(30):
+    for number in range(120):
         rng = random.Random(1_000_000 + number)
-        take(layout(rng, "A long spring", [" ".join(rng.choices(SENTENCES[:3], k=rng.randrange(1, 6))) for _ in range(rng.randrange(2, 12))], SENTENCES))
+        take(layout(rng, "A long spring", [" ".join(rng.choices(SENTENCES[:6], k=rng.randrange(1, 8))) for _ in range(rng.randrange(1, 12))], SENTENCES))
     return pages, labels
 
 
