@@ -38,11 +38,11 @@ from watchledger.llm.common import as_bytes, blocks, record, written
 WINDOW = 400
 DIGIT = 64
 STEP = 100
-GROUP = 32_768
+GROUP = 8_192
 #: Bytes that one pass of the first digit works on; the position must fit _POSITION bits.
 BUFFER = 1 << 18
 _POSITION = np.uint64(20)
-_CHUNK_BYTES = 4 << 20
+_CHUNK_BYTES = 1 << 20
 
 _random = np.random.default_rng(20260101)
 _BYTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -63,12 +63,14 @@ class Fingerprints:
     def __init__(self, most: int):
         self.power, self.inverse = _powers(_BASE, most), _powers(_INVERSE, most)
 
-    def load(self, data: np.ndarray) -> None:
+    def load(self, data: np.ndarray, widest: int = DIGIT) -> None:
         if len(data) > len(self.power):
             self.power, self.inverse = _powers(_BASE, 2 * len(data)), _powers(_INVERSE, 2 * len(data))
         h = _BYTE[data]
         self.by_width = {1: h}
         for k, width in enumerate((1, 2, 4, 8, 16, 32)):
+            if width >= widest:
+                break
             h = h[:-width] * _ODD[k] + h[width:]
             h ^= h >> np.uint64(29)
             self.by_width[2 * width] = h
@@ -188,23 +190,37 @@ def with_bytes(docs: DataFrame, runs: DataFrame, window: int) -> DataFrame:
     return joined.mapInArrow(cut, _CONTEXT_SCHEMA)
 
 
+def window_digits(data: list[bytes], n: np.ndarray, prints: Fingerprints, window: int, step: int) -> np.ndarray:
+    """Fingerprints of the ``step``-byte digits of every window, most significant first, and of the whole window."""
+    edges = [*((a, min(a + step, window)) for a in range(0, window, step)), (0, window)]
+    found, start = [], 0
+    while start < len(data):
+        end, size = start, 0
+        while end < len(data) and (end == start or size + len(data[end]) <= _CHUNK_BYTES):
+            size += len(data[end])
+            end += 1
+        prints.load(np.frombuffer(b"".join(data[start:end]), np.uint8), 8)
+        begins = np.cumsum([0, *(len(d) for d in data[start : end - 1])])
+        at = np.repeat(begins - np.cumsum(n[start:end]) + n[start:end], n[start:end]) + np.arange(n[start:end].sum())
+        found.append(np.stack([prints.of(at + a, at + z) for a, z in edges]))
+        start = end
+    return np.concatenate(found, axis=1)
+
+
 def equal_windows(data: list[bytes], group: np.ndarray, n: np.ndarray, copies: np.ndarray, prints: Fingerprints, window: int, step: int):
-    """Row, start in the row, fingerprint and "is repeated" of every window; passes over ``step``-byte digits."""
-    begins = np.cumsum([0, *(len(d) for d in data[:-1])]) if data else np.zeros(0, np.int64)
-    prints.load(np.frombuffer(b"".join(data), np.uint8))
+    """Row, start in the row, fingerprint and "is repeated" of every window; a pass per digit."""
+    digits = window_digits(data, n, prints, window, step)
     row = np.repeat(np.arange(len(n)), n)
     inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    at, weight = begins[row] + inside, copies[row]
+    weight = copies[row]
     repeated = np.zeros(len(row), bool)
     left, label = np.arange(len(row)), group[row].astype(np.uint64)
-    for a in range(0, window, step):
-        z = min(a + step, window)
-        label = mixed(label * _ODD[3] + prints.of(at[left] + a, at[left] + z))
-        _, where = np.unique(label, return_inverse=True)
+    for digit in digits[:-1]:
+        _, where = np.unique(mixed(label * _ODD[3] + digit[left]), return_inverse=True)
         twice = np.bincount(where, weights=weight[left])[where] > 1
         left, label = left[twice], where[twice].astype(np.uint64)
     repeated[left] = True
-    return row, inside, prints.of(at, at + window), repeated
+    return row, inside, digits[-1], repeated
 
 
 _FOUND = pa.schema([(n, pa.int64()) for n in ("doc_id", "key", "first", "end", "digit", "window", "copies")])
