@@ -4,31 +4,61 @@ A written table cuts the lineage (a lost executor re-reads files instead of
 recomputing 100 TB), and its real size on disk is known to the planner: a small
 one is broadcast under ``spark.sql.autoBroadcastJoinThreshold`` and a large one
 is sort-merge joined, with no hint from us.
+
+The tables of a session lie in one folder of their own, which is removed when the
+program ends or ``release`` is called.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables, from ``spark.checkpoint.dir``."""
+    """Folder for intermediate tables: ``spark.checkpoint.dir``, or for local sessions a folder of the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    local = tempfile.mkdtemp(prefix="watchledger-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+
+
+def session_dir(spark: SparkSession) -> str:
+    """The folder of this session, removed at exit."""
+    path = f"{shared_dir(spark)}/watchledger/{spark.sparkContext.applicationId}"
+    if path not in _owned:
+        _owned.add(path)
+    return path
+
+
+_owned: set[str] = set()
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate tables of the session; frames that read them are of no use afterwards."""
+    for path in list(_owned):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _owned.discard(path)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    try:
+        if SparkContext._active_spark_context is not None and SparkContext._active_spark_context._jsc is not None:
+            release(SparkSession.getActiveSession() or SparkSession.builder.getOrCreate())
+    except Exception:  # the JVM is gone: nothing can be removed any more
+        pass
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/watchledger/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the session's folder."""
+    return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
