@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,10 +109,11 @@ def related_ip_summary(df: DataFrame) -> DataFrame:
         _n().alias("shared_links"), F.count_distinct("destination_device").alias("shared_devices"), F.sum("peers").alias("peer_meetings"))
 
 
-def risk_prediction(df: DataFrame) -> DataFrame:
+def risk_prediction(df: DataFrame, ridge: float = 0.01) -> DataFrame:
     """Next week's risk per source from this week's features; takes prepared incidents.
 
-    Trained on every week that has a successor and applied to the newest one.
+    Least squares on standardised features with a small ridge, from one row of
+    moments over every week that has a successor, applied to the newest week.
     """
     features = ["incidents", "avg_severity", "success_rate", "event_types"]
     weekly = df.where("source_ip is not null and timestamp is not null").groupBy(
@@ -122,13 +122,22 @@ def risk_prediction(df: DataFrame) -> DataFrame:
         F.avg(F.when(F.col("status") == "Successful", 1.0).otherwise(0.0)).alias("success_rate"),
         F.count_distinct("event_type").cast("double").alias("event_types"), F.coalesce(F.sum("severity_score"), F.lit(0)).cast("double").alias("risk"))
     weekly = materialize(weekly, "weekly")
-    following = weekly.select("source_ip", F.date_sub("week_start", 7).alias("week_start"), F.col("risk").alias("next_risk"))
-    last = weekly.agg(F.max("week_start").alias("w")).scalar()
-    vectors = VectorAssembler(inputCols=features, outputCol="features").transform(
-        weekly.join(following, ["source_ip", "week_start"], "left").withColumn("is_last", F.col("week_start") == last))
-    training = vectors.where(~F.col("is_last")).withColumn("next_risk", F.coalesce("next_risk", F.lit(0.0)))
-    model = LinearRegression(featuresCol="features", labelCol="next_risk", predictionCol="predicted_risk", regParam=0.01).fit(training)
-    return model.transform(vectors.where("is_last")).select("source_ip", "week_start", "risk", F.greatest("predicted_risk", F.lit(0.0)).alias("predicted_risk"))
+    following = weekly.select("source_ip", F.date_sub("week_start", 7).alias("week_start"), F.col("risk").alias("y"))
+    last = weekly.agg(F.max("week_start").alias("w")).first()["w"]
+    training = weekly.where(F.col("week_start") != F.lit(last)).join(following, ["source_ip", "week_start"], "left").withColumn("y", F.coalesce("y", F.lit(0.0)))
+    columns = [F.col(c) for c in (*features, "y")]
+    row = training.agg(_n(), *[F.avg(x) for x in columns], *[F.avg(x * y) for x in columns for y in columns]).first()
+    k = len(columns)
+    means, products = np.asarray(row[1 : k + 1], float), np.asarray(row[k + 1 :], float).reshape(k, k)
+    weights, centre = np.zeros(k - 1), 0.0
+    if row[0]:
+        spread = products - np.outer(means, means)
+        scale = np.sqrt(np.maximum(np.diag(spread)[:-1], 0))
+        scale[scale == 0] = 1
+        weights = np.linalg.solve(spread[:-1, :-1] / np.outer(scale, scale) + ridge * np.eye(k - 1), spread[:-1, -1] / scale) / scale
+        centre = means[-1] - weights @ means[:-1]
+    predicted = sum((F.col(c) * float(w) for c, w in zip(features, weights)), F.lit(float(centre)))
+    return weekly.where(F.col("week_start") == F.lit(last)).select("source_ip", "week_start", "risk", F.greatest(predicted, F.lit(0.0)).alias("predicted_risk"))
 
 
 def attack_type_correlation(df: DataFrame) -> DataFrame:

@@ -36,6 +36,30 @@ future AS (SELECT CAST(last + CAST(k AS INTEGER) AS DATE) AS date, my + s * (dat
 """
 
 
+def determinant(m: list[list[str]]) -> str:
+    """Expansion of a determinant of SQL terms."""
+    if len(m) == 1:
+        return m[0][0]
+    minors = [determinant([row[:j] + row[j + 1 :] for row in m[1:]]) for j in range(len(m))]
+    return "(" + " ".join(f"{'-' if j % 2 else '+'} {m[0][j]} * {minor}" for j, minor in enumerate(minors)) + ")"
+
+
+_MATRIX = [[f"c{min(i, j)}{max(i, j)}" + (" + 0.01e0" if i == j else "") for j in range(4)] for i in range(4)]
+_MATRIX = [[f"({x})" for x in row] for row in _MATRIX]
+_SOLVED = [determinant([[f"d{i}" if j == k else x for j, x in enumerate(row)] for i, row in enumerate(_MATRIX)]) for k in range(4)]
+_Z = [f"((x{i} - m{i}) / s{i})" for i in range(4)]
+#: Ridge regression by Cramer's rule over the standardised moments.
+PREDICTION = f"""
+wk AS (SELECT source_ip, CAST(date_trunc('week', timestamp) AS DATE) AS week_start, count(*)::DOUBLE AS x0, coalesce(avg(severity_score), 0) AS x1,
+  avg(CASE WHEN status = 'Successful' THEN 1e0 ELSE 0e0 END) AS x2, count(DISTINCT event_type)::DOUBLE AS x3, coalesce(sum(severity_score), 0)::DOUBLE AS risk
+  FROM scored WHERE source_ip IS NOT NULL GROUP BY 1, 2),
+tr AS (SELECT a.*, coalesce(b.risk, 0) AS y FROM wk a LEFT JOIN wk b ON a.source_ip = b.source_ip AND b.week_start = a.week_start + 7 WHERE a.week_start < (SELECT max(week_start) FROM wk)),
+mo AS (SELECT avg(y) AS my, {', '.join(f"avg(x{i}) AS m{i}, CASE WHEN stddev_pop(x{i}) = 0 THEN 1 ELSE stddev_pop(x{i}) END AS s{i}" for i in range(4))} FROM tr),
+co AS (SELECT {', '.join(f"avg({_Z[i]} * {_Z[j]}) AS c{i}{j}" for i in range(4) for j in range(i, 4))}, {', '.join(f"avg({_Z[i]} * (y - my)) AS d{i}" for i in range(4))} FROM tr, mo),
+fit AS (SELECT {', '.join(f"{top} / {determinant(_MATRIX)} AS b{k}" for k, top in enumerate(_SOLVED))} FROM co)
+"""
+
+
 def _top_ip(t):
     """The most active source, as a one-row subquery."""
     return incident_sql.top_attackers(t.incidents, 1).select("source_ip").scalar()
@@ -94,7 +118,9 @@ MEASURES = [
         SELECT a.source_ip, count(DISTINCT (a.destination_device, a.date)) AS shared_links, count(DISTINCT a.destination_device) AS shared_devices, count(*) AS peer_meetings
         FROM links a JOIN links b ON a.destination_device = b.destination_device AND a.date = b.date AND a.source_ip <> b.source_ip GROUP BY 1""",
           "links AS (SELECT DISTINCT source_ip, destination_device, date FROM scored)"),
-    Query("risk_prediction", lambda t: measures.risk_prediction(t.prepared)),
+    Query("risk_prediction", lambda t: measures.risk_prediction(t.prepared), f"""
+        SELECT source_ip, week_start, {r6('risk')} AS risk, {r6(f"greatest(my + {' + '.join(f'b{i} * (x{i} - m{i}) / s{i}' for i in range(4))}, 0)")} AS predicted_risk
+        FROM wk, mo, fit WHERE week_start = (SELECT max(week_start) FROM wk)""", PREDICTION),
     Query("geo_multiplier", lambda t: geo.geo_multiplier(t.prepared), f"""
         SELECT location, {r6('avg_severity')} AS avg_severity, {r6('avg_severity / (SELECT avg(severity_score) FROM scored)')} AS multiplier FROM ls""", LOC),
     Query("attack_type_correlation", lambda t: measures.attack_type_correlation(t.incidents), "\nUNION ALL ".join(
