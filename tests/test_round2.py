@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from watchledger import jobs as batch
 from watchledger import workspace
-from watchledger.operators import correlate, event_risk, forest, incident_sql, measures, patterns
+from watchledger.operators import correlate, event_risk, forest, incident_sql, measures, patterns, quality, timeseries
 from watchledger.sources import sinks
 
 
@@ -120,3 +120,17 @@ def test_each_source_lies_at_its_nearest_centre(tables):
     centres = {c: x[labels == c].mean(axis=0) for c in set(labels)}
     for point, label in zip(x, labels):
         assert min(centres, key=lambda c: ((point - centres[c]) ** 2).sum()) == label
+
+
+def test_sketched_cardinality_is_close(tables):
+    exact = {r["column"]: r["unique_values"] for r in quality.cardinality_profile(tables.raw_incidents).collect()}
+    for r in quality.cardinality_profile(tables.raw_incidents, approximate=True).collect():
+        assert r["unique_values"] == pytest.approx(exact[r["column"]], rel=0.1)
+
+
+def test_calendar_window_over_missing_days(make_incidents):
+    from datetime import datetime
+
+    days = [1, 2, 9, 10]
+    found = timeseries.moving_average_calendar(make_incidents([{"event_id": i, "timestamp": datetime(2024, 1, d), "source_ip": "a"} for i, d in enumerate(days * 2 + [1])]))
+    assert [(r["date"].day, r["ma"]) for r in found.orderBy("date").collect()] == [(1, 3.0), (2, 2.5), (9, 2.0), (10, 2.0)]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from watchledger.functions.cleaning import is_business_hours_weekday
 from watchledger.functions.statistics import round_even, standard_scale
-from watchledger.operators.ordering import running_total, top_k
+from watchledger.operators.ordering import exact_quantiles, running_total, top_k
 from watchledger.workspace import materialize
 
 ARROW = " → "
@@ -158,5 +158,20 @@ def rapid_campaigns(df: DataFrame, min_events: int = 5, max_gap_s: float = 300)
         (seconds / 60).alias("span_minutes"), "severity").where(F.col("avg_gap_seconds") < max_gap_s)
 
 
+def gap_quantiles(df: DataFrame, min_events: int = 5, probs: dict[str, float] | None = None) -> DataFrame:
+    """Exact quantiles of the seconds between a source's consecutive events.
+
+    Events are numbered by range slices and meet their predecessor by number, so
+    a busy source is spread over many tasks.
+    """
+    timed = df.where("source_ip is not null and timestamp is not null").select("source_ip", "timestamp", "event_id")
+    ranked = materialize(running_total(timed, ["timestamp", "event_id"], F.lit(1), ["source_ip"], "_rank"), "ranked")
+    before = ranked.select("source_ip", (F.col("_rank") + 1).alias("_rank"), F.col("timestamp").alias("_before"))
+    gaps = ranked.join(before, ["source_ip", "_rank"]).select("source_ip", _seconds(F.col("_before"), F.col("timestamp")).alias("gap"))
+    enough = gaps.groupBy("source_ip").agg(F.count(F.lit(1)).alias("gaps")).where(F.col("gaps") >= min_events - 1)
+    quantiles = exact_quantiles(materialize(gaps, "gaps"), "gap", probs or {"q50": 0.5, "q90": 0.9}, by=["source_ip"])
+    return enough.join(quantiles, "source_ip")
+
+
 def top_campaigns(df: DataFrame, n: int = 5, min_events: int = 5, max_gap_s: float = 300) -> DataFrame:
     return top_k(rapid_campaigns(df, min_events, max_gap_s), n, F.desc("total_events"), F.col("source_ip"))

@@ -76,10 +76,15 @@ def duplicate_count(df: DataFrame) -> DataFrame:
         "duplicate_percent", F.try_divide(F.col("duplicates") * 100.0, F.col("rows")))
 
 
-def cardinality_profile(df: DataFrame, list_up_to: int = 10) -> DataFrame:
-    """Distinct values per text column; the values themselves when there are few."""
+def cardinality_profile(df: DataFrame, list_up_to: int = 10, approximate: bool = False) -> DataFrame:
+    """Distinct values per text column; the values themselves when there are few.
+
+    ``approximate`` counts by sketch in one pass, without moving values, and lists none.
+    """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in names]
+    if approximate:
+        return df.select(F.inline(F.array(*pairs))).groupBy("column").agg(F.approx_count_distinct("value", 0.02).alias("unique_values")).withColumn("values", F.lit(None).cast("string"))
     values = df.select(F.inline(F.array(*pairs))).where("value is not null").distinct()
     counts = values.groupBy("column").agg(F.count("value").alias("unique_values"))
     # Only columns with few values reach the list aggregate.

@@ -38,6 +38,12 @@ def moving_average_7(df: DataFrame) -> DataFrame:
     return daily_incidents(df).withColumn("ma_7", F.when(full, F.avg("incidents").over(trailing_week())))
 
 
+def moving_average_calendar(df: DataFrame, days: int = 7) -> DataFrame:
+    """Mean over the dates present among the last ``days`` calendar days."""
+    day = F.unix_date("date")
+    return daily_incidents(df).withColumn("ma", F.avg("incidents").over(Window.orderBy(day).rangeBetween(1 - days, 0)))
+
+
 def daily_activity(incidents: DataFrame, logins: DataFrame) -> DataFrame:
     """Outer merge of both daily series, gaps filled with 0."""
     return daily_incidents(incidents).join(daily_logins(logins), "date", "full_outer").na.fill(0, ["incidents", "login_attempts"])

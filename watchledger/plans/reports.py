@@ -395,6 +395,9 @@ _MONTH_CASE = "CASE month_name " + " ".join(f"WHEN '{d}' THEN {i}" for i, d in e
 TIMESERIES = [
     Query("daily_incidents", lambda t: timeseries.daily_incidents(t.incidents), "SELECT * FROM di", DAILY),
     Query("daily_logins", lambda t: timeseries.daily_logins(t.logins), "SELECT * FROM dl", DAILY),
+    Query("moving_average_calendar", lambda t: timeseries.moving_average_calendar(t.incidents), f"""
+        SELECT date, incidents, {r6('avg(incidents) OVER (ORDER BY date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)')} AS ma
+        FROM (SELECT CAST(timestamp AS DATE) AS date, count(*) AS incidents FROM incidents GROUP BY 1)"""),
     Query("moving_average_7", lambda t: timeseries.moving_average_7(t.incidents), f"""
         SELECT date, incidents, CASE WHEN count(*) OVER w = 7 THEN {r6('avg(incidents) OVER w')} END AS ma_7 FROM di
         WINDOW w AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""", DAILY),

@@ -384,6 +384,10 @@ PATTERNS = [
         FROM (SELECT CAST(hour BETWEEN 9 AND 17 AND day_of_week NOT IN ('Saturday', 'Sunday') AS INT) AS b FROM scored)"""),
     Query("rapid_campaigns", lambda t: patterns.rapid_campaigns(t.incidents), f"SELECT {_RAPID} WHERE avg_gap_seconds < 300", BEHAVIOR),
     Query("slow_campaigns", lambda t: patterns.rapid_campaigns(t.incidents, max_gap_s=60_000), f"SELECT {_RAPID} WHERE avg_gap_seconds < 60000", BEHAVIOR),
+    Query("gap_quantiles", lambda t: patterns.gap_quantiles(t.incidents).select("source_ip", "gaps", *[F.round(q, 3).alias(q) for q in ("q50", "q90")]), """
+        SELECT source_ip, count(*) AS gaps, round(quantile_cont(gap, 0.5), 3) AS q50, round(quantile_cont(gap, 0.9), 3) AS q90 FROM
+          (SELECT source_ip, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY source_ip ORDER BY timestamp, event_id))) / 1e6 AS gap FROM incidents)
+        WHERE gap IS NOT NULL GROUP BY 1 HAVING count(*) >= 4"""),
     Query("top_campaigns", lambda t: patterns.top_campaigns(t.incidents, max_gap_s=60_000),
           f"SELECT {_RAPID} WHERE avg_gap_seconds < 60000 ORDER BY total_events DESC, source_ip LIMIT 5", BEHAVIOR),
 ]
