@@ -20,11 +20,13 @@ gives no rows.  Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +36,13 @@ from watchledger.workspace import new_path
 END_ID = 2
 INDEX_ROWS = 1_000
 STRIPE_BYTES = 16 << 20
-CACHE_PIECES = 400_000
-_CUT = re.compile(r"(?= \S)")
+CACHE_PIECES = 250_000
+#: A space that does not lead a piece, the places before those that do, and the pre-tokenizer's parts.
+_ODD_SPACE = re.compile(r" (?=\s|\Z)")
+_CUT = re.compile(r"(?<!\A)(?= \S)")
+_FOREIGN = re.compile("[^\x00-\u024f]")
+_WORD_AND_MARK = re.compile(r"[A-Za-z]+[.,;:!?]\Z")
+_PART = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -44,35 +51,75 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, int]:
+    """The vocabulary's letter for each byte that is not printable Latin-1: they follow from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+
+class _Filled(dict):
+    """A dictionary that computes what it lacks and keeps what was asked for lately: at most twice ``limit`` entries."""
+
+    def __init__(self, make, limit: int):
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        value = self.older.get(key)
+        self[key] = value = self.make(key) if value is None else value
+        return value
+
+
 class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit integers."""
+    """Token ids of texts as little-endian unsigned 32-bit integers.
+
+    Pieces of plain Latin text are cut by the pre-tokenizer's own pattern and each
+    part goes to the library's BPE model; all other pieces go through ``encode``.
+    """
 
     def __init__(self, path: str, cache: int = CACHE_PIECES):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread, and one memory arena, per task
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
-        self.known: dict[str, bytes] = {}
-        self.cache = cache
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        parts = text.split(" ")
-        head, rest = parts[0], parts[1:]
-        if all(rest) and not any(p[0].isspace() for p in rest):
-            return [head, *(" " + p for p in rest)] if head else [" " + p for p in rest]
-        return [p for p in _CUT.split(text) if p]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        known = self.known
-        new = list({p for parts in cut for p in parts if p not in known})
-        if len(known) + len(new) > self.cache:
-            known.clear()
-            new = list({p for parts in cut for p in parts})
-        for i in range(0, len(new), 10_000):
-            some = new[i : i + 10_000]
-            known.update(zip(some, (np.asarray(e.ids, "<u4").tobytes() for e in self.encode(some, add_special_tokens=False))))
-        return [b"".join([known[p] for p in parts]) for parts in cut]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.letters = byte_letters()
+        self.space = chr(self.letters[0x20])
+        self.parts = _Filled(self.part, cache)
+        self.spaced = _Filled(self.word, cache)
+        self.first = _Filled(self.piece, cache // 10)
+
+    def part(self, part: str) -> bytes:
+        mapped = part.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.as_bytes[t.id] for t in self.tokenize(mapped)])
+
+    def word(self, word: str) -> bytes:
+        """The piece of a space and ``word``."""
+        if word.isascii() and word.isalpha():
+            return b"".join([self.as_bytes[t.id] for t in self.tokenize(self.space + word)])
+        if _WORD_AND_MARK.match(word):
+            return self.spaced[word[:-1]] + self.parts[word[-1]]
+        return self.piece(" " + word)
+
+    def piece(self, piece: str) -> bytes:
+        if not piece:
+            return b""
+        if "<|" in piece or _FOREIGN.search(piece):
+            return np.asarray(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(self.parts.__getitem__, _PART.findall(piece)))
+
+    def __call__(self, text: str) -> bytes:
+        if _ODD_SPACE.search(text):
+            head, *rest = _CUT.split(text)
+            if head[:1] == " " and head[1:2].strip():
+                head, rest = "", [head, *rest]
+            rest = [p[1:] for p in rest]
+        else:
+            head, *rest = text.split(" ")
+        return self.first[head] + b"".join(map(self.spaced.__getitem__, rest))
 
 
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("place", pa.int32()), ("ids", pa.list_(pa.int32()))])
@@ -84,8 +131,8 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         encoder, place = Encoder(path), 0
-        for b in blocks(batches, limit=4 << 20):
-            ids = [x + end for x in encoder([t or "" for t in b.column("text").to_pylist()])]
+        for b in blocks(batches, limit=1 << 20):
+            ids = [encoder(t or "") + end for t in b.column("text").to_pylist()]
             ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
             lists = pa.ListArray.from_arrays(pa.array(ends), values)
