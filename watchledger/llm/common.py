@@ -24,6 +24,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one, ``document``: whatever their names, they clash with nothing."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+
+
 def remainder(doc_id: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id has remainder 0."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(divisor)), F.lit(0))
@@ -46,6 +51,7 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # workers live longer than tasks
 
 
 def map_blocks(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: str = "text") -> DataFrame:

@@ -22,12 +22,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from watchledger.llm.common import as_bytes, blocks, record, row_numbers, written
+from watchledger.llm.common import as_bytes, blocks, record, row_numbers, whole_row, written
 
 #: Digests of one index shard; bounds a task's memory at any size of history.
 SHARD_DIGESTS = 40_000
@@ -204,21 +204,27 @@ def keep_winners(docs: DataFrame, is_history) -> DataFrame:
     """
     rows = written(digest_rows(docs), "digests")
     groups = merge_with_history(rows.where(~is_history), rows.where(is_history))
-    shared = written(groups.where("copies > 1").select("digest", F.col("winner.doc_id").alias("_keep_id")), "groups")
-    ids = rows.join(shared, "digest")
-    # Ids with a copied text, and whether the row of that id and digest stays.
-    fate = written(ids.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("doc_id").eqNullSafe(F.col("_keep_id")).alias("_stays")).distinct(), "fates")
-    marked = docs.withColumn("_digest", _digest_column()(F.col("text").cast("string")))
-    joined = marked.join(fate, (marked["doc_id"].eqNullSafe(fate["_id"])) & (marked["_digest"] == fate["_digest"]), "left")
-    flags = joined.select(*[marked[c].alias(c) for c in docs.columns], F.col("_stays"))
-    single = flags.where("_stays is null").drop("_stays")
-    winners = flags.where("_stays").drop("_stays").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(winners)
-
-
-def _digest_column():
-    @F.pandas_udf("binary")
-    def digest(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: normalised_digest((t or "").encode("utf-8", "surrogatepass")))
-
-    return digest
+    shared = written(groups.where("copies > 1").select("digest", F.col("winner.doc_id").alias("keep")), "groups")
+    same = F.col("doc_id").eqNullSafe(F.col("keep"))
+    fates = rows.join(shared, "digest").groupBy("doc_id", "digest", same.alias("stays")).agg(F.count(F.lit(1)).alias("rows"))
+    fates = written(fates.where("rows > 1 or not stays").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "stays"), "fates")
+    marked = _with_digest(docs)
+    is_fate = marked["id"].eqNullSafe(fates["_id"]) & (marked["digest"] == fates["_digest"])
+    kept = marked.join(fates.where("not stays"), is_fate, "left_anti")
+    if not fates.where("stays").isEmpty():  # the same id and text twice or more: only these rows are compared
+        repeats = kept.join(fates.where("stays"), is_fate, "left_semi").dropDuplicates(["id", "digest"])
+        kept = kept.join(fates.where("stays"), is_fate, "left_anti").unionByName(repeats)
+    return kept.select("document.*")
+
+
+def _with_digest(docs: DataFrame) -> DataFrame:
+    """id, digest and document (the whole row)."""
+
+    def run(batches):
+        for b in batches:
+            for block in blocks([b.append_column("text", b.column("document").field("text").cast(pa.string()))]):
+                found = [normalised_digest(t) for t in as_bytes(block.column("text"))]
+                yield pa.RecordBatch.from_arrays([block.column("id"), pa.array(found, pa.binary()), block.column("document")], names=["id", "digest", "document"])
+
+    packed = docs.select(F.col("doc_id").cast("long").alias("id"), whole_row(docs.withColumn("text", F.col("text").cast("string"))))
+    return packed.mapInArrow(run, StructType([StructField("id", LongType()), StructField("digest", BinaryType()), packed.schema["document"]]))

@@ -19,9 +19,8 @@ empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchledger.llm.common import blocks, record
@@ -138,20 +137,12 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], profile: int = PRO
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def with_language(docs: DataFrame, profiles: dict[str, np.ndarray], column: str = "_language", profile: int = PROFILE) -> DataFrame:
-    """All columns of ``docs`` and the predicted language of their text."""
-    return docs.withColumn(column, predictor(profiles, profile)(F.col("text").cast("string")))
+def in_a_language(docs: DataFrame, profiles: dict[str, np.ndarray], profile: int = PROFILE) -> DataFrame:
+    """The rows of ``docs`` whose text is in some learned language, with all their columns."""
 
-
-def predictor(profiles: dict[str, np.ndarray], profile: int = PROFILE):
-    """The prediction as a vectorised column function; null for no accepted language."""
-    @F.pandas_udf("string")
-    def language(texts: pd.Series) -> pd.Series:
+    def run(batches):
         classify = Classifier(profiles, profile)
-        return pd.Series([classify(t)[0] for t in texts], dtype=object)
-
-    return language
-
+        for b in blocks(batches):
+            yield b.filter(pa.array([classify(t)[0] != UNKNOWN for t in b.column("text").to_pylist()], pa.bool_()))
 
-def held_out(remainder: Column) -> Column:
-    return remainder == 2
+    return docs.mapInArrow(run, docs.schema)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchledger.llm.common import WORD, written
+from watchledger.llm.common import WORD, whole_row, written
 from watchledger.operators.ordering import running_total
 
 WEIGHTS = (1, 2, 3)
@@ -86,8 +86,6 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
 
     Documents without a word have nothing to add to a target and are taken by the same draw.
     """
-    names = docs.columns
-    clash = [c for c in ("size", "source_size", "target", "rate", "copies", "_source") if c in names]
-    plain = docs.withColumnsRenamed({c: f"_own_{c}" for c in clash})
+    plain = docs.select("doc_id", "text", "source", whole_row(docs))
     taken = mixed(plain, seed).where("copies > 0").withColumn("_copy", F.explode(F.expr("array_repeat(0, copies)")))
-    return taken.select(*[F.col(f"_own_{c}" if c in clash else c).alias(c) for c in names])
+    return taken.select("document.*")
