@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -122,6 +124,14 @@ class Encoder:
         return self.first[head] + b"".join(map(self.spaced.__getitem__, rest))
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: the next task of the worker finds the pieces of the last."""
+    kept = sys.modules.setdefault("_corpus_encoders", types.ModuleType("_corpus_encoders"))
+    if getattr(kept, "path", None) != path:
+        kept.path, kept.encoder = path, Encoder(path)
+    return kept.encoder
+
+
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("place", pa.int32()), ("ids", pa.list_(pa.int32()))])
 
 
@@ -130,7 +140,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     end = np.asarray([END_ID], "<u4").tobytes()
 
     def run(batches):
-        encoder, place = Encoder(path), 0
+        encoder, place = worker_encoder(path), 0
         for b in blocks(batches, limit=1 << 20):
             ids = [encoder(t or "") + end for t in b.column("text").to_pylist()]
             ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
