@@ -5,7 +5,7 @@ with fewer words the whole sequence is the one element, without words it is
 empty and links with nothing.  Two documents link when 100 * intersection >=
 ``PERCENT`` * union.  Elements are 64-bit hashes.
 
-1. *Order.*  Each block of documents counts the elements it holds twice or more;
+1. *Order.*  Each task counts the elements it holds twice or more;
    the counts are summed over ``SLOTS`` hash slots into a table of levels (log2)
    of fixed size.  The order of elements is (level of slot, hash): common
    passages come last.  Any order gives the same links; this one keeps lists short.
@@ -35,16 +35,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from watchledger.llm.common import as_bytes, blocks, record, written
+from watchledger.llm.common import as_bytes, blocks, record, whole_row, written
 from watchledger.llm.components import components
 
 SHINGLE = 5
 PERCENT = 75
 #: Slots of the level table: its size in bytes, whatever the corpus.
 SLOTS = 1 << 21
+#: Elements that a task counts together, at least; it holds little more.
+COUNTED = 2_000_000
 #: Lists of elements above this level (log2 of the count) are split.
 HOT_LEVEL = 9
-BITMAP_WORDS = 16
+BITMAP_WORDS = 8
 #: Bits of the filter of sets to fetch, at most.
 FILTER_BITS = 1 << 27
 _WORD_CACHE = 500_000
@@ -103,14 +105,21 @@ def level_table(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
     """log2 of how often the elements of a slot occur beside others of their kind; ``slots`` bytes."""
 
     def count(batches):
-        shingle = Shingler()
-        for b in blocks(batches, limit=16 << 20):
-            sets = [shingle(t) for t in as_bytes(b.column("text"))]
+        shingle, sets = Shingler(), []
+
+        def often():
             values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
-            often = counts > 1
-            slot, where = np.unique(values[often] & np.uint64(slots - 1), return_inverse=True)
-            n = np.bincount(where, weights=counts[often], minlength=len(slot)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(n)], names=["slot", "n"])
+            values, counts = values[counts > 1], counts[counts > 1]
+            slot, where = np.unique(values & np.uint64(slots - 1), return_inverse=True)
+            n = np.bincount(where, weights=counts, minlength=len(slot)).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(n)], names=["slot", "n"])
+
+        for b in blocks(batches):
+            sets += [shingle(t) for t in as_bytes(b.column("text"))]
+            if sum(map(len, sets)) > COUNTED:
+                yield often()
+                sets.clear()
+        yield often()
 
     def pack(table: pa.Table) -> pa.Table:
         data = np.zeros(_CHUNK, np.uint8)
@@ -200,9 +209,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     """The pairs (a, b) of class ids that are links."""
     side = lambda x: classes.select(F.col("row").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b")
-    # |A ^ B| <= (100 - p) / (100 + p) * (|A| + |B|) for linked sets, and the bitmaps differ in no more bits than that.
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = near.where(_sizes_fit("n_a", "n_b")).where(apart * (100 + PERCENT) <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b")))
+    near = near.where(_may_link("n_a", "n_b", "bits_a", "bits_b"))
     near = written(near.select("a", "b", "n_a", "n_b"), "near")
     ids = near.select(F.col("a").alias("row")).unionAll(near.select(F.col("b").alias("row"))).distinct()
     wanted = written(classes.join(ids, "row", "left_semi").select("row", "set_id", "doc_id"), "wanted")
@@ -214,6 +221,12 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     return written(both.where(100 * shared >= PERCENT * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b"), "links")
 
 
+def _may_link(n_a: str, n_b: str, bits_a: str, bits_b: str):
+    """Size filter, and: |A ^ B| <= (100 - p) / (100 + p) * (|A| + |B|) for linked sets, and bitmaps differ in no more bits than that."""
+    apart = sum((F.bit_count(F.get(bits_a, F.lit(i)).bitwiseXOR(F.get(bits_b, F.lit(i)))) for i in range(BITMAP_WORDS)), F.lit(0))
+    return _sizes_fit(n_a, n_b) & (apart * (100 + PERCENT) <= (100 - PERCENT) * (F.col(n_a) + F.col(n_b)))
+
+
 def _sizes_fit(x: str, y: str):
     return 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
 
@@ -242,10 +255,16 @@ def class_components(sets: DataFrame, docs: DataFrame, hot_level: int = HOT_LEVE
     labelled = member.join(found, member["row"] == found["node"], "left").select("row", "group", "n", F.coalesce("root", "row").alias("root"))
     labelled = written(labelled, "labelled")
     by_token = shared.select("token", "group").join(labelled, "group")
-    open_lists = by_token.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    rest = written(by_token.join(open_lists, "token").select("token", "row", "n", "root"), "rest")
-    other = rest.select("token", F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    pairs = rest.join(other, "token").where((F.col("row") < F.col("b")) & (F.col("root") != F.col("root_b"))).where(_sizes_fit("n", "n_b"))
+    mark = lambda seed: F.bit_xor(F.xxhash64("row", F.lit(seed)))
+    open_lists = by_token.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("length"), mark(1).alias("m1"), mark(2).alias("m2"))
+    # The elements of a shared passage have one and the same list: one of them stands for all.
+    open_lists = open_lists.where("lo < hi").groupBy("length", "m1", "m2").agg(F.min("token").alias("token")).select("token")
+    rest = by_token.join(open_lists, "token").select("token", "row", "n", "root").join(classes.select("row", "bits"), "row")
+    rest = written(rest, "rest")
+    other = rest.select("token", F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("bits").alias("bits_b"))
+    # The filters are part of the join's condition: a pair that fails them is never a row.
+    across = (F.col("row") < F.col("b")) & (F.col("root") != F.col("root_b")) & _may_link("n", "n_b", "bits", "bits_b")
+    pairs = rest.join(other.withColumnRenamed("token", "other_token"), (F.col("token") == F.col("other_token")) & across)
     second = _verified(written(pairs.select(F.col("row").alias("a"), "b").distinct(), "pairs"), classes, docs)
     roots = labelled.select("row", "root")
     bridged = second.join(roots.withColumnsRenamed({"row": "a", "root": "root_a"}), "a").join(roots.withColumnsRenamed({"row": "b", "root": "root_b"}), "b")
@@ -273,8 +292,8 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those that follow another row of their component; the smallest doc_id stays."""
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = written(near_components(numbered.select("doc_id", F.col("_row").alias("row"), "text")), "near-components")
+    numbered = written(docs.select(F.monotonically_increasing_id().alias("row"), whole_row(docs)), "numbered")
+    found = written(near_components(numbered.select("row", "document.doc_id", "document.text")), "near-components")
     stays = found.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("size"))
     extra = found.join(stays.where("size > 1").select("root", F.col("first.row").alias("stay")), "root").where("row != stay")
-    return numbered.join(extra.select(F.col("row").alias("_row")), "_row", "left_anti").select(*docs.columns)
+    return numbered.join(extra.select("row"), "row", "left_anti").select("document.*")
