@@ -129,6 +129,21 @@ def test_one_of_each_near_group_stays(documents, hostile, clashing):
     assert Counter(r["doc_id"] for r in kept.collect()) == want
 
 
+def test_links_inside_a_group(documents):
+    """Short texts that differ after the prefix: the head is no neighbour of two classes that are each other's."""
+    rows = []
+    for i in range(150):
+        base = words(1_000 + i, 9)
+        rows += [(10 * i + 1, base + f" a{i} a{i}"), (10 * i + 2, base + f" b{i} b{i}"), (10 * i + 3, base + f" b{i} c{i}")]
+    docs = documents(rows, 1).orderBy("doc_id").selectExpr("doc_id", "doc_id AS row", "text")
+    sets = jaccard_join.written(jaccard_join.set_table(docs, np.zeros(jaccard_join.SLOTS, np.uint8)), "sets")
+    groups = Counter(Counter((r["n"], r["prefix_id"]) for r in sets.collect()).values())
+    assert groups[3] > 10  # all three classes in one group
+    classes, roots = jaccard_join.class_components(sets, docs)
+    found = roots.join(classes.select("row", "doc_id"), "row").groupBy("root").agg({"doc_id": "min", "*": "count"}).collect()
+    assert sorted((r["min(doc_id)"], r["count(1)"]) for r in found) == sorted(x for i in range(150) for x in ((10 * i + 1, 1), (10 * i + 2, 2)))
+
+
 def test_near_on_empty_table(documents):
     assert jaccard_join.jaccard_join(documents([])).count() == 0
     assert jaccard_join.keep_one(documents([])).count() == 0

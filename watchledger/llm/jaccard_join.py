@@ -12,7 +12,8 @@ empty and links with nothing.  Two documents link when 100 * intersection >=
 2. *Groups.*  Linked sets share an element among their first
    n - ceil(0.75 n) + 1.  Documents with one set are one class; classes with the
    same size and prefix are one group, and only groups enter the inverted lists.
-   The lists of common elements are split by a hash (salt).
+   The lists of common elements are split by a hash (salt).  A list stays if it
+   has two classes or more, be they of one group.
 3. *Hubs.*  In each list every group is paired with the smallest one, in each
    group every class with the first one.  Pairs pass a size filter and a bitmap
    bound on the symmetric difference, then their sets are intersected.  The
@@ -236,15 +237,16 @@ def class_components(sets: DataFrame, docs: DataFrame, hot_level: int = HOT_LEVE
     full = sets.where("n > 0")
     classes = full.groupBy("n", "set_id").agg(F.min(F.struct("row", "doc_id", "prefix_id", "bits")).alias("r")).select("n", "set_id", "r.*")
     classes = written(classes, "classes")
-    groups = classes.groupBy("n", "prefix_id").agg(F.min("row").alias("group"))
-    member = written(classes.join(groups, ["n", "prefix_id"]).select("row", "group", "n"), "members")
-    heads = full.select("row", "prefix").join(member.where("row = group").select("row", "n"), "row")
-    lists = heads.select(F.col("row").alias("group"), "n", F.explode("prefix").alias("token"))
+    groups = classes.groupBy("n", "prefix_id").agg(F.min("row").alias("group"), F.count(F.lit(1)).alias("held"))
+    member = written(classes.join(groups, ["n", "prefix_id"]).select("row", "group", "n", "held"), "members")
+    heads = full.select("row", "prefix").join(member.where("row = group").select("row", "n", "held"), "row")
+    lists = heads.select(F.col("row").alias("group"), "n", "held", F.explode("prefix").alias("token"))
     level = F.col("token").bitwiseAND((1 << _LEVEL_BITS) - 1)
     parts = F.pow(F.lit(2.0), F.least(F.greatest(level - hot_level, F.lit(0)), F.lit(40))).cast("long")
     lists = lists.withColumn("salt", F.pmod(F.xxhash64("group", "token"), parts)).withColumn("parts", parts)
     near = Window.partitionBy("token", "salt")
-    hubs = lists.withColumn("hub", F.min(F.struct("n", "group")).over(near)).withColumn("length", F.count(F.lit(1)).over(near))
+    hubs = lists.withColumn("hub", F.min(F.struct("n", "group")).over(near)).withColumn("length", F.sum("held").over(near))
+    # A list counts the classes of its groups: classes of one group meet here as well.
     shared = written(hubs.where("length > 1 or parts > 1").select("token", "group", "n", "hub"), "lists")
     to_hub = shared.where("group != hub.group").where(_sizes_fit("n", "hub.n")).select(F.col("group").alias("a"), F.col("hub.group").alias("b"))
     to_head = member.where("row != group").select(F.col("row").alias("a"), F.col("group").alias("b"))
