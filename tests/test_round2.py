@@ -106,6 +106,15 @@ def test_type_correlation_of_many_types(spark):
         assert r == pytest.approx(want.loc[a, b], abs=1e-9)
 
 
+def test_type_correlation_has_every_pair(spark):
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame({"source_ip": rng.integers(0, 300, 2_000).astype(str), "event_type": [f"t{i}" for i in np.append(np.arange(200), rng.integers(0, 200, 1_800))]})
+    found = {(r["type_a"], r["type_b"]): r["r"] for r in measures.attack_type_correlation(spark.createDataFrame(rows)).collect()}
+    want = rows.groupby(["source_ip", "event_type"]).size().unstack(fill_value=0).corr()
+    assert len(found) == 40_000
+    assert max(abs(r - want.loc[a, b]) for (a, b), r in found.items()) < 1e-9
+
+
 def test_locations_only_of_reported_attackers(tables):
     plan = incident_sql.top_attackers(tables.incidents)
     assert plan.count() == min(20, tables.incidents.select("source_ip").distinct().count())

@@ -17,6 +17,8 @@ from watchledger.workspace import materialize
 # Inclusive lower cuts of the dashboard categories.
 CATEGORY_CUTS = [80, 55, 30]
 CATEGORY_LABELS = ["Critical", "High", "Medium"]
+#: Parts over which pairs of event types are dealt.
+_PAIR_PARTS = 64
 
 
 def _n() -> Column:
@@ -144,8 +146,8 @@ def attack_type_correlation(df: DataFrame) -> DataFrame:
     """Pearson r between event types over their counts per source, in long form.
 
     r comes from the sums, square sums and product sums of the (source, type)
-    cells and the number of sources; any number of types will do.  Pairs of types
-    that no source has in common are left out.
+    cells and the number of sources; any number of types will do.  Types that no
+    source has in common have the product sum 0.
     """
     known = df.where("source_ip is not null")
     cells = materialize(known.groupBy("source_ip", F.col("event_type").alias("type")).agg(_n().cast("double").alias("n")), "type-cells")
@@ -155,7 +157,10 @@ def attack_type_correlation(df: DataFrame) -> DataFrame:
     side = lambda x: cells.select("source_ip", F.col("type").alias(f"type_{x}"), F.col("n").alias(f"n_{x}"))
     products = side("a").join(side("b"), "source_ip").groupBy("type_a", "type_b").agg(F.sum(F.col("n_a") * F.col("n_b")).alias("p"))
     of = lambda x: sums.select(F.col("type").alias(f"type_{x}"), F.col("s").alias(f"s_{x}"), F.col("q").alias(f"q_{x}"))
-    whole = products.join(of("a"), "type_a").join(of("b"), "type_b").withColumn("_m", sources)
+    # Types x types is the result's own size; the part deals the pairs over the tasks.
+    parts = F.explode(F.sequence(F.lit(0), F.lit(_PAIR_PARTS - 1)))
+    pairs = of("a").withColumn("part", F.pmod(F.xxhash64("type_a"), F.lit(_PAIR_PARTS)).cast("int")).join(of("b").withColumn("part", parts), "part").drop("part")
+    whole = pairs.join(products, ["type_a", "type_b"], "left").withColumn("p", F.coalesce("p", F.lit(0.0))).withColumn("_m", sources)
     spread = lambda x: F.col("_m") * F.col(f"q_{x}") - F.col(f"s_{x}") * F.col(f"s_{x}")
     r = (F.col("_m") * F.col("p") - F.col("s_a") * F.col("s_b")) / F.sqrt(F.nullif(spread("a") * spread("b"), F.lit(0.0)))
     return whole.select("type_a", "type_b", r.alias("r"))
