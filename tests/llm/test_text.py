@@ -226,3 +226,27 @@ def test_bands_reject_repetition_and_noise_and_keep_prose(spark):
     repeated = b" ".join(b"all work and no play number%d" % (i % 3) for i in range(400))
     near = b" ".join(b"line%d of the same thing again" % i for i in range(2000))
     assert not any(quality_bands.verdict(t, z)[6] for t in (noise, repeated, near, b"", b"a few words"))
+
+
+NOISE = {"base64": (130, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), "printable": (130, "".join(map(chr, range(33, 127)))), "hex": (4096, "0123456789abcdef")}
+
+
+@pytest.mark.parametrize("kind", NOISE)
+def test_bands_reject_noise_of_any_length(spark, kind):
+    """From the length on at which prose compresses better (hex digits: 4 KB), alone and as a tail of a quarter or more."""
+    least, alphabet = NOISE[kind]
+    rng = np.random.default_rng(6)
+    z = zstandard.ZstdCompressor(level=quality_bands.LEVEL)
+
+    def noise(n):
+        return " ".join("".join(rng.choice(list(alphabet), rng.integers(4, 11))) for _ in range(n // 5 + 3))[:n].encode()
+
+    for n in (100, 130, 200, 512, 1024, 2000, 3072, 4096, 5000, 16_000, 40_000, 100_000):
+        if n >= least:
+            assert not quality_bands.verdict(noise(n), z)[6], n
+    texts = (r["text"].encode() for r in spark.read.parquet(f"{SMALL}/documents.parquet").join(spark.read.parquet(f"{SMALL}/labels.parquet").where("quality = 1"), "doc_id").collect())
+    prose = next(t for t in texts if len(t) > 4096 and quality_bands.verdict(t, z)[6])[:4096]
+    assert quality_bands.verdict(prose, z)[6]
+    for n in (3500, 6000, 20_000, 100_000):
+        assert not quality_bands.verdict(prose + noise(n), z)[6], n
+    assert quality_bands.ratios(prose + noise(3500), z)[1:] == (2, 1, 3500)
