@@ -5,11 +5,11 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from small_tables import SMALL  # noqa: E402
+
 from watchledger.session import build_session  # noqa: E402
 from watchledger.sources.fixtures import Tables  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

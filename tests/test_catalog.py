@@ -8,7 +8,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from bench import HEADLINE
 from check import compare
-from conftest import SMALL
+from small_tables import SMALL
 from watchledger.operators import correlate, event_risk, incident_sql, ordering, patterns, source_risk, timeseries
 
 QUERIES, SQL = queries(), oracle_sql()
