@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchledger.llm import class_lm, exact_dedup, html_text, jaccard_join, language_id, mixing, orc_tokens, packing, periodic_runs, quality_bands, suffix_dedup
+from watchledger.llm import class_lm, exact_dedup, html_text, jaccard_join, language_id, mixing, orc_tokens, packing, periodic_runs, quality_bands, sharding, suffix_dedup
 from watchledger.llm.common import read_table, remainder
 from watchledger.plans.registry import comparable
 
@@ -69,7 +69,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_class_lm, op3_html_text, op4_suffix_dedup, op5_exact_dedup, op6_jaccard_join, op7_mixing, op8_packing, op9_token_orc, op10_quality_bands, op12_periodic_runs)}
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, shards near equal in bytes."""
+    return sharding.sharding_report(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_class_lm, op3_html_text, op4_suffix_dedup, op5_exact_dedup, op6_jaccard_join, op7_mixing, op8_packing, op9_token_orc, op10_quality_bands, op12_periodic_runs, op13_sharding)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
