@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchledger.llm import class_lm, exact_dedup, html_text, jaccard_join, language_id, mixing, orc_tokens, packing, periodic_runs, quality_bands, sharding, suffix_dedup
+from watchledger.llm import class_lm, conversation_trie, exact_dedup, html_text, jaccard_join, language_id, mixing, orc_tokens, packing, periodic_runs, quality_bands, sharding, suffix_dedup
 from watchledger.llm.common import read_table, remainder
 from watchledger.plans.registry import comparable
 
@@ -64,6 +64,11 @@ def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.quality_bands(read_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return conversation_trie.trie_report(read_table(spark, sf_dir, "conversations"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every document, of which a tenth are given one first."""
     return periodic_runs.run_report(read_table(spark, sf_dir, "documents"))
@@ -74,7 +79,7 @@ def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding_report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_class_lm, op3_html_text, op4_suffix_dedup, op5_exact_dedup, op6_jaccard_join, op7_mixing, op8_packing, op9_token_orc, op10_quality_bands, op12_periodic_runs, op13_sharding)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_class_lm, op3_html_text, op4_suffix_dedup, op5_exact_dedup, op6_jaccard_join, op7_mixing, op8_packing, op9_token_orc, op10_quality_bands, op11_conversation_trie, op12_periodic_runs, op13_sharding)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -105,4 +110,22 @@ c AS (SELECT doc_id, size, source_size, target, rate, CAST(floor(rate) AS BIGINT
   ('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END AS copies
   FROM d JOIN t USING (k))
 SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(copies * size AS BIGINT) AS taken, round(rate, 6) AS rate, CAST(copies AS BIGINT) AS copies FROM c""",
+    "op11_conversation_trie": r"""
+WITH t AS (SELECT conv_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words, turn,
+  sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS s FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, s, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, s) AS p FROM t),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS b, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+  lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)) % 4 AS h FROM t),
+r AS (SELECT c.conv_id, p, s, words FROM c JOIN o ON o.conv_id = b AND p <= h UNION ALL SELECT o.conv_id, p, s, words FROM c JOIN o USING (conv_id) WHERE p > h),
+m AS (SELECT conv_id, row_number() OVER w AS depth, string_agg(s, '') OVER w AS path, words, p = max(p) OVER (PARTITION BY conv_id) AS ends FROM r
+  WINDOW w AS (PARTITION BY conv_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+a AS (SELECT conv_id, depth, path, words, ends FROM m UNION ALL SELECT conv_id, 0, '', 0, conv_id NOT IN (SELECT conv_id FROM r) FROM c),
+n AS (SELECT min(conv_id) AS conv_id, depth, path, any_value(words) AS words, count(*) AS n,
+  coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends FROM a GROUP BY depth, path),
+k AS (SELECT up.path, count(*) AS children FROM n JOIN a up ON up.conv_id = n.conv_id AND up.depth = n.depth - 1 GROUP BY 1),
+z AS (SELECT n.*, coalesce(children, 0) AS children FROM n LEFT JOIN k USING (path)),
+u AS (SELECT up.path, CAST(sum(CAST(z.children = 0 AS BIGINT)) AS BIGINT) AS leaves, CAST(sum((z.n - 1) * z.words) AS BIGINT) AS saved
+  FROM z JOIN a up ON up.conv_id = z.conv_id AND up.depth <= z.depth GROUP BY 1)
+SELECT z.conv_id, CAST(z.depth AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, z.n AS n_convs, z.children AS n_children, leaves AS n_leaves, saved AS saved_tokens, sha256(z.ends) AS ends_sha256
+FROM z JOIN u USING (path) LEFT JOIN a up ON up.conv_id = z.conv_id AND up.depth = z.depth - 1 LEFT JOIN z parent ON parent.path = up.path""",
 }
