@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,6 +88,62 @@ def common_sequences(df: DataFrame, n: int = 10, min_events: int = 3, key: Seque
     return segments.join(F.broadcast(best), key)  # n rows
 
 
+def frequent_sequences(df: DataFrame, min_share: float = 0.1, max_length: int | None = None, max_gap_hours: float | None = None, key: str = "source_ip") -> DataFrame:
+    """Runs of consecutive event types that at least ``min_share`` of the sources share, mined level by level.
+
+    An occurrence is (pattern, source, position of its last event).  A level joins
+    the occurrences of the frequent patterns with the event at the next position and
+    counts (pattern, next type, source) map-side; what falls below the limit cannot
+    become frequent again and is dropped.  Positions come from range slices and the
+    join key is (source, position), so a hot source is spread over all tasks; every
+    level is a written table.  Levels end when no pattern is left (or at
+    ``max_length``).  With ``max_gap_hours`` consecutive events of a pattern lie at
+    most so far apart.
+
+    Rows: sequence, length, sources, occurrences, and whether the sequence is closed:
+    no listed sequence that is one event longer and contains it has as many sources.
+    """
+    columns = [key, "timestamp", "event_id", "event_type"]
+    rows = df.where(F.col(key).isNotNull() & F.col("event_type").isNotNull()).select(*columns)
+    placed = running_total(rows, ["timestamp", "event_id"], F.lit(1), by=[key], out="position")
+    placed = materialize(placed.select(F.col(key).alias("source"), "position", "timestamp", F.col("event_type").alias("type")), "placed")
+    least = placed.agg(F.ceil(F.count_distinct("source") * F.lit(min_share)).cast("long")).first()[0]
+
+    def frequent(found: DataFrame, by: list[str]) -> DataFrame:
+        per_source = found.groupBy(*by, "source").agg(F.count(F.lit(1)).alias("n"))
+        counted = per_source.groupBy(*by).agg(F.count(F.lit(1)).alias("sources"), F.sum("n").alias("occurrences"))
+        return counted.where(F.col("sources") >= F.greatest(F.lit(least), F.lit(1)))
+
+    follower = placed.select("source", F.col("position").alias("at"), F.col("timestamp").alias("next_time"), "type")
+    near = F.lit(True) if max_gap_hours is None else _seconds(F.col("timestamp"), F.col("next_time")) <= max_gap_hours * 3600
+    known: DataFrame | None = None
+    found, length = placed.withColumn("pattern", F.lit(0).cast("long")), 1
+    levels = []
+    while True:
+        numbered = frequent(found, ["pattern", "type"]).withColumn("next", F.monotonically_increasing_id())
+        numbered = materialize(numbered, "patterns")
+        if numbered.isEmpty():
+            break
+        items = F.array("type") if known is None else F.concat("items", F.array("type"))
+        listed = numbered if known is None else numbered.join(known.select(F.col("next").alias("pattern"), "items"), "pattern")
+        known = materialize(listed.select("next", items.alias("items"), "sources", "occurrences"), "listed")
+        levels.append(known.select("items", F.lit(length).alias("length"), "sources", "occurrences"))
+        if length == max_length:
+            break
+        kept = found.join(numbered.select("pattern", "type", "next"), ["pattern", "type"])
+        kept = kept.select(F.col("next").alias("pattern"), "source", (F.col("position") + 1).alias("at"), "timestamp")
+        longer = kept.join(follower, ["source", "at"]).where(near)
+        found = materialize(longer.select("pattern", "source", F.col("at").alias("position"), F.col("next_time").alias("timestamp"), "type"), "occurrences")
+        length += 1
+    if not levels:
+        return placed.limit(0).select(F.lit("").alias("sequence"), F.lit(0).alias("length"), F.lit(0).cast("long").alias("sources"), F.lit(0).cast("long").alias("occurrences"), F.lit(True).alias("closed"))
+    listed = reduce(DataFrame.unionAll, levels)
+    inner = lambda start: listed.where("length > 1").select(F.slice("items", start, F.col("length") - 1).alias("items"), "sources")
+    contained = inner(F.lit(1)).unionAll(inner(F.lit(2))).groupBy("items").agg(F.max("sources").alias("longer"))
+    return listed.join(contained, "items", "left").select(
+        F.array_join("items", ARROW).alias("sequence"), "length", "sources", "occurrences", (F.coalesce("longer", F.lit(0)) < F.col("sources")).alias("closed"))
+
+
 def ip_behavior(df: DataFrame) -> DataFrame:
     """Per-source behaviour from (type, location, hour) cells; takes prepared incidents."""
     key = ["source_ip"]
@@ -104,24 +160,87 @@ def ip_behavior(df: DataFrame) -> DataFrame:
     return profile.join(modal_severity(df, key).withColumnRenamed("severity", "primary_severity"), key, "left")
 
 
-def behavior_clusters(df: DataFrame, k: int = 4, min_events: int = 3, restarts: int = 10, seed: int = 42, iterations: int = 300) -> DataFrame:
+#: Scaled features are whole numbers of this unit, so that sums do not depend on their order.
+POINT_UNIT = 1e-6
+
+
+def _start_points(points: DataFrame, key: str, dims: Sequence[str], k: int, restarts: int) -> list[tuple]:
+    """Per restart the ``k`` points with the least md5 of restart and key; every task keeps its own ``k`` first."""
+    dealt = points.withColumn("restart", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))))
+    order = Window.partitionBy("restart").orderBy(F.md5(F.concat_ws(":", F.col("restart").cast("string"), key)), key)
+    rows = dealt.withColumn("centre", F.row_number().over(order)).where(F.col("centre") <= k).select("restart", (F.col("centre") - 1).alias("centre"), *dims).collect()
+    return sorted(tuple(r) for r in rows)  # restarts x k rows
+
+
+def _nearest(centres: Sequence[tuple], dims: Sequence[str]) -> Column:
+    """(squared distance in units, centre) of the nearest centre; ties go to the lower number."""
+    distance = lambda c: reduce(lambda a, b: a + b, [(F.col(d) - F.lit(float(x))) * (F.col(d) - F.lit(float(x))) for d, x in zip(dims, c[2:])]) * POINT_UNIT
+    return F.array_min(F.array(*[F.struct(distance(c).alias("d"), F.lit(c[1]).alias("centre")) for c in centres]))
+
+
+def _centre_moments(points: DataFrame, dims: Sequence[str], centres: list[tuple]) -> dict[tuple[int, int], tuple]:
+    """(restart, centre) -> points, sum of distances, sums of the features: every task adds up its points for all restarts, then the tasks' sums are added."""
+    groups = [(r, np.array([c[2:] for c in centres if c[0] == r], float)) for r in sorted({c[0] for c in centres})]
+    names = ["restart", "centre", "n", "cost", *dims]
+
+    def add_up(batches):
+        sums = [np.zeros((len(at), len(names) - 2), np.int64) for _, at in groups]
+        for batch in batches:
+            x = np.stack([batch.column(d).to_numpy() for d in dims], axis=1)
+            for (_, at), total in zip(groups, sums):
+                distance = np.zeros((len(x), len(at)))
+                for i in range(len(dims)):
+                    distance += (x[:, i, None] - at[None, :, i]) ** 2
+                distance *= POINT_UNIT
+                near = distance.argmin(axis=1)  # ties go to the lower number
+                np.add.at(total[:, 0], near, 1)
+                np.add.at(total[:, 1], near, np.floor(distance[np.arange(len(x)), near]).astype(np.int64))
+                np.add.at(total[:, 2:], near, x)
+        rows = [(r, c, *total[c].tolist()) for (r, at), total in zip(groups, sums) for c in range(len(at)) if total[c, 0]]
+        yield pa.RecordBatch.from_arrays([pa.array([row[i] for row in rows], pa.int64()) for i in range(len(names))], names)
+
+    parts = points.select(*dims).mapInArrow(add_up, ", ".join(f"{n} long" for n in names))
+    rows = parts.groupBy("restart", "centre").agg(*[F.sum(n).alias(n) for n in names[2:]]).collect()
+    return {(r["restart"], r["centre"]): tuple(r)[2:] for r in rows}  # restarts x k rows
+
+
+def lloyd_centres(points: DataFrame, key: str, dims: Sequence[str], k: int, restarts: int, rounds: int) -> list[tuple]:
+    """Centres (restart, number, coordinates) of the restart with the least summed distance, ties to the first.
+
+    Every round is one aggregate of moments over the points for all restarts, added up
+    task by task; the centres (``restarts`` x ``k``) travel with the function.  Rounds end when no
+    centre moves, or after ``rounds``.  A centre without points stays where it is.
+    """
+    centres = _start_points(points, key, dims, k, restarts)
+    for _ in range(rounds):
+        found = _centre_moments(points, dims, centres)
+        moved = [(r, c, *([x / found[r, c][0] for x in found[r, c][2:]] if (r, c) in found else at)) for r, c, *at in centres]
+        if moved == centres:
+            break
+        centres = moved
+    found = _centre_moments(points, dims, centres)
+    cost = {r: sum(v[1] for (x, _), v in found.items() if x == r) for r in {c[0] for c in centres}}
+    best = min(cost, key=lambda r: (cost[r], r))
+    return [c for c in centres if c[0] == best]
+
+
+def behavior_clusters(df: DataFrame, k: int = 4, min_events: int = 3, restarts: int = 10, rounds: int = 40) -> DataFrame:
     """k-means on four scaled features of the active sources; no cluster with fewer than five sources.
 
-    The restarts run side by side on one written table, each up to ``iterations`` rounds.
+    Start points come from md5 of the source and sums are of whole units, so any
+    engine and partitioning gives the same clusters.
     """
     active = materialize(ip_behavior(df).where(F.col("total_events") >= min_events), "behavior")
-    filled = active.na.fill(0, CLUSTER_FEATURES)
-    scaled = standard_scale(filled, CLUSTER_FEATURES)
-    vectors = VectorAssembler(inputCols=[c + "_z" for c in CLUSTER_FEATURES], outputCol="features").transform(scaled)
     sources = active.count()
     if sources < 5:
         return active.withColumn("behavior_cluster", F.lit(None).cast("int"))
-    vectors = materialize(vectors.select(*active.columns, "features"), "behavior-vectors")
-    kmeans = lambda i: KMeans(k=min(k, sources), seed=seed + i, maxIter=iterations, featuresCol="features", predictionCol="behavior_cluster").fit(vectors)
-    with ThreadPoolExecutor(min(4, restarts)) as pool:
-        fits = list(pool.map(kmeans, range(restarts)))
-    best = min(fits, key=lambda model: model.summary.trainingCost)
-    return best.transform(vectors).drop("features")
+    scaled = standard_scale(active.na.fill(0, CLUSTER_FEATURES), CLUSTER_FEATURES)
+    dims = [f"x{i}" for i in range(len(CLUSTER_FEATURES))]
+    units = {d: F.round(F.col(c + "_z") / POINT_UNIT).cast("long") for d, c in zip(dims, CLUSTER_FEATURES)}
+    points = materialize(scaled.withColumns(units).select("source_ip", *dims), "points")
+    centres = lloyd_centres(points, "source_ip", dims, min(k, sources), restarts, rounds)
+    placed = points.select("source_ip", _nearest(centres, dims)["centre"].alias("behavior_cluster"))
+    return active.join(placed, "source_ip")
 
 
 def cluster_summary(clustered: DataFrame) -> DataFrame:

@@ -338,6 +338,23 @@ grouped AS (SELECT text, count(*) AS occurrences, min(first_at) AS first_at, arg
 """
 
 
+def mined_sql(share: float, most: int, near: str = "TRUE") -> str:
+    """Every stretch of up to ``most`` events of every source, counted; stretches lie within events that are ``near`` their predecessor."""
+    return f"""
+SELECT sequence, length, sources, occurrences, NOT EXISTS (SELECT 1 FROM listed b WHERE b.length = a.length + 1 AND b.sources = a.sources AND
+  (b.items[:a.length] = a.items OR b.items[2:] = a.items)) AS closed
+FROM (SELECT *, array_to_string(items, ' → ') AS sequence FROM listed) a""".replace("listed b", f"({_listed(share, most, near)}) b").replace("FROM listed)", f"FROM ({_listed(share, most, near)}))")
+
+
+def _listed(share: float, most: int, near: str) -> str:
+    return f"""
+SELECT items, CAST(len(items) AS BIGINT) AS length, count(DISTINCT source_ip) AS sources, count(*) AS occurrences
+FROM (SELECT source_ip, run, unnest(flatten(list_transform(range(1, len(types) + 1), lambda i: list_transform(range(i, least(i + {most}, len(types) + 1)), lambda j: types[i:j])))) AS items
+  FROM (SELECT source_ip, run, list(event_type ORDER BY timestamp, event_id) AS types FROM (SELECT *, sum(CASE WHEN {near} THEN 0 ELSE 1 END) OVER (PARTITION BY source_ip ORDER BY timestamp, event_id) AS run
+    FROM (SELECT *, lag(timestamp) OVER (PARTITION BY source_ip ORDER BY timestamp, event_id) AS before FROM scored WHERE source_ip IS NOT NULL AND event_type IS NOT NULL)) GROUP BY ALL))
+GROUP BY items HAVING count(DISTINCT source_ip) >= (SELECT ceil(count(DISTINCT source_ip) * {share}e0) FROM scored)"""
+
+
 def _dated(t):
     return t.prepared.withColumn("day", F.to_date("timestamp"))
 
@@ -356,6 +373,29 @@ behavior AS (SELECT b.*, m.severity AS primary_severity FROM (SELECT source_ip,
 rapid AS (SELECT c.*, m.severity FROM (SELECT source_ip, count(timestamp) AS total_events, {SPAN} / (count(timestamp) - 1) AS avg_gap_seconds, {SPAN} / 60 AS span_minutes
   FROM scored WHERE source_ip IS NOT NULL GROUP BY 1) c LEFT JOIN {mode_sql('source_ip')} m USING (source_ip) WHERE total_events >= 5)
 """
+_FEATURES = ["total_events", "unique_event_types", "activity_span_hours", "location_diversity"]
+
+
+def lloyd_sql(k: int = 4, restarts: int = 10, rounds: int = 40) -> str:
+    """k-means by rounds written out one after another; start points by md5, as in the operator."""
+    dims = range(len(_FEATURES))
+    xs = ", ".join(f"x{i}" for i in dims)
+    distance = "(" + " + ".join(f"(p.x{i} - o.x{i}) * (p.x{i} - o.x{i})" for i in dims) + ") * 1e-6"
+    near = lambda o: f"SELECT p.source_ip, r, arg_min(c, ({distance}, c)) AS c, min({distance}) AS d, {', '.join(f'any_value(p.x{i}) AS x{i}' for i in dims)} FROM points p CROSS JOIN {o} o GROUP BY p.source_ip, r"
+    points = ", ".join(f"CAST(round(({z_sql(f'coalesce({f}, 0)')}) / 1e-6) AS BIGINT) AS x{i}" for i, f in enumerate(_FEATURES))
+    first = f"""
+points AS MATERIALIZED (SELECT source_ip, {points} FROM behavior WHERE total_events >= 3),
+c0 AS MATERIALIZED (SELECT r, row_number() OVER w - 1 AS c, {', '.join(f'CAST(x{i} AS DOUBLE) AS x{i}' for i in dims)} FROM points CROSS JOIN range({restarts}) g(r)
+  WINDOW w AS (PARTITION BY r ORDER BY md5(r || ':' || source_ip), source_ip) QUALIFY row_number() OVER w <= {k})"""
+    steps = [f"""
+c{n} AS MATERIALIZED (SELECT o.r, o.c, {', '.join(f'coalesce(m.x{i}, o.x{i}) AS x{i}' for i in dims)} FROM c{n - 1} o LEFT JOIN
+  (SELECT r, c, {', '.join(f'CAST(sum(x{i}) AS DOUBLE) / count(*) AS x{i}' for i in dims)} FROM ({near(f'c{n - 1}')}) GROUP BY r, c) m USING (r, c))""" for n in range(1, rounds + 1)]
+    last = f"""
+ended AS MATERIALIZED ({near(f'c{rounds}')}),
+placed AS (SELECT source_ip, c FROM ended WHERE r = (SELECT arg_min(r, (cost, r)) FROM (SELECT r, sum(CAST(floor(d) AS BIGINT)) AS cost FROM ended GROUP BY r)))"""
+    return ",".join([first, *steps, last])
+
+
 _RAPID = f"source_ip, total_events, {r6('avg_gap_seconds')} AS avg_gap_seconds, {r6('span_minutes')} AS span_minutes, severity FROM rapid"
 
 PATTERNS = [
@@ -367,10 +407,14 @@ PATTERNS = [
     Query("common_daily_sequences", lambda t: patterns.common_sequences(_dated(t), key=["source_ip", "day"]), f"""
         SELECT k[1] AS source_ip, k[2] AS day, CAST(0 AS BIGINT) AS segment, text AS sequence, occurrences, events, {r6('f')} AS first_span_hours, {r6('a')} AS avg_span_hours
         FROM grouped""", sequence_sql("source_ip, date")),
+    Query("frequent_sequences", lambda t: patterns.frequent_sequences(t.prepared, 0.1, 5), mined_sql(0.1, 5)),
+    Query("frequent_daily_steps", lambda t: patterns.frequent_sequences(t.prepared, 0.05, max_gap_hours=24), mined_sql(0.05, 6, "timestamp - before <= INTERVAL 24 HOUR")),
     Query("ip_behavior", lambda t: patterns.ip_behavior(t.prepared), f"""
         SELECT source_ip, total_events, unique_event_types, {r6('timing_variability')} AS timing_variability, {r6('activity_span_hours')} AS activity_span_hours,
           location_diversity, primary_severity FROM behavior""", BEHAVIOR),
-    Query("behavior_clusters", lambda t: patterns.behavior_clusters(t.prepared)),
+    Query("behavior_clusters", lambda t: patterns.behavior_clusters(t.prepared), f"""
+        SELECT b.source_ip, total_events, unique_event_types, {r6('timing_variability')} AS timing_variability, {r6('activity_span_hours')} AS activity_span_hours,
+          location_diversity, primary_severity, CAST(c AS BIGINT) AS behavior_cluster FROM behavior b JOIN placed USING (source_ip)""", BEHAVIOR.strip() + "," + lloyd_sql()),
     Query("cluster_summary", lambda t: patterns.cluster_summary(_clusters_by_band(t)), """
         SELECT behavior_cluster, sources, avg_events, avg_event_types, avg_span_hours, arg_min(p, (-n, p)) AS primary_severity FROM
          (SELECT total_events % 4 AS behavior_cluster, count(*) AS sources, round_even(avg(total_events), 2) AS avg_events, round_even(avg(unique_event_types), 2) AS avg_event_types,
