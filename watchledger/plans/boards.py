@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from watchledger.operators import geo, incident_sql, measures, ordering, quality, source_risk, timeseries
+from watchledger.operators import geo, incident_sql, measures, ordering, quality, relations, source_risk, timeseries
 from watchledger.plans.registry import Query, r6
 from watchledger.plans.reports import CLEAN_FIXTURE, CLEAN_LOGINS, DAILY, LOC, SECURITY, violation_sql
 from watchledger.plans.scoring import ANOMALY_SQL, ENSEMBLE_SQL, FINAL_LEVEL, PROFILE_SQL, full_events, full_profile, z_sql
@@ -36,6 +36,15 @@ future AS (SELECT CAST(last + CAST(k AS INTEGER) AS DATE) AS date, my + s * (dat
 """
 
 
+#: Everything that shared devices reach, pair by pair.
+GROUPS = """
+met AS (SELECT DISTINCT source_ip, destination_device AS d, date_trunc('{grain}', timestamp) AS p FROM scored WHERE source_ip IS NOT NULL),
+linked AS (SELECT DISTINCT a.source_ip AS a, b.source_ip AS b FROM met a JOIN met b USING (d, p)),
+reached AS (WITH RECURSIVE r AS (SELECT a, b FROM linked UNION SELECT r.a, l.b FROM r JOIN linked l ON r.b = l.a) SELECT a AS source_ip, min(b) AS group_id FROM r GROUP BY a)
+"""
+_GROUPED = "(SELECT source_ip, group_id, count(*) OVER (PARTITION BY group_id) AS group_size FROM reached)"
+
+
 def determinant(m: list[list[str]]) -> str:
     """Expansion of a determinant of SQL terms."""
     if len(m) == 1:
@@ -118,6 +127,11 @@ MEASURES = [
         SELECT a.source_ip, count(DISTINCT (a.destination_device, a.date)) AS shared_links, count(DISTINCT a.destination_device) AS shared_devices, count(*) AS peer_meetings
         FROM links a JOIN links b ON a.destination_device = b.destination_device AND a.date = b.date AND a.source_ip <> b.source_ip GROUP BY 1""",
           "links AS (SELECT DISTINCT source_ip, destination_device, date FROM scored)"),
+    Query("source_groups", lambda t: relations.source_groups(t.incidents, "hour"), f"SELECT source_ip, group_id, group_size FROM {_GROUPED}", GROUPS.format(grain="hour")),
+    Query("source_groups_daily", lambda t: relations.source_groups(t.incidents), f"SELECT source_ip, group_id, group_size FROM {_GROUPED}", GROUPS.format(grain="day")),
+    Query("source_group_summary", lambda t: relations.source_group_summary(t.incidents, "hour"), f"""
+        SELECT group_id, group_size, count(*) AS incidents, count(DISTINCT destination_device) AS devices, min(timestamp) AS first_seen, max(timestamp) AS last_seen,
+          {r6('avg(severity_score)')} AS avg_severity FROM scored JOIN {_GROUPED} USING (source_ip) WHERE group_size > 1 GROUP BY ALL""", GROUPS.format(grain="hour")),
     Query("risk_prediction", lambda t: measures.risk_prediction(t.prepared), f"""
         SELECT source_ip, week_start, {r6('risk')} AS risk, {r6(f"greatest(my + {' + '.join(f'b{i} * (x{i} - m{i}) / s{i}' for i in range(4))}, 0)")} AS predicted_risk
         FROM wk, mo, fit WHERE week_start = (SELECT max(week_start) FROM wk)""", PREDICTION),
