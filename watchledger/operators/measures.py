@@ -111,22 +111,35 @@ def related_ip_summary(df: DataFrame) -> DataFrame:
         _n().alias("shared_links"), F.count_distinct("destination_device").alias("shared_devices"), F.sum("peers").alias("peer_meetings"))
 
 
-def risk_prediction(df: DataFrame, ridge: float = 0.01) -> DataFrame:
-    """Next week's risk per source from this week's features; takes prepared incidents.
+RISK_FEATURES = ["incidents", "avg_severity", "success_rate", "event_types"]
 
-    Least squares on standardised features with a small ridge, from one row of
-    moments over every week that has a successor, applied to the newest week.
-    """
-    features = ["incidents", "avg_severity", "success_rate", "event_types"]
+
+def weekly_risk(df: DataFrame) -> DataFrame:
+    """Features and risk per source and week, written; takes prepared incidents."""
     weekly = df.where("source_ip is not null and timestamp is not null").groupBy(
         "source_ip", F.date_trunc("week", "timestamp").cast("date").alias("week_start")).agg(
         _n().cast("double").alias("incidents"), F.coalesce(F.avg("severity_score"), F.lit(0.0)).alias("avg_severity"),
         F.avg(F.when(F.col("status") == "Successful", 1.0).otherwise(0.0)).alias("success_rate"),
         F.count_distinct("event_type").cast("double").alias("event_types"), F.coalesce(F.sum("severity_score"), F.lit(0)).cast("double").alias("risk"))
-    weekly = materialize(weekly, "weekly")
+    return materialize(weekly, "weekly")
+
+
+def with_next_week(weekly: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The weeks that have a successor, with its risk as ``y``, and the newest week."""
     following = weekly.select("source_ip", F.date_sub("week_start", 7).alias("week_start"), F.col("risk").alias("y"))
     last = weekly.agg(F.max("week_start").alias("w")).first()["w"]
     training = weekly.where(F.col("week_start") != F.lit(last)).join(following, ["source_ip", "week_start"], "left").withColumn("y", F.coalesce("y", F.lit(0.0)))
+    return training, weekly.where(F.col("week_start") == F.lit(last))
+
+
+def risk_prediction(df: DataFrame, ridge: float = 0.01) -> DataFrame:
+    """Next week's risk per source from this week's features; takes prepared incidents.
+
+    Least squares on standardised features with a small ridge, from one row of
+    moments over every week that has a successor, applied to the newest week.
+    """
+    features = RISK_FEATURES
+    training, newest = with_next_week(weekly_risk(df))
     columns = [F.col(c) for c in (*features, "y")]
     row = training.agg(_n(), *[F.avg(x) for x in columns], *[F.avg(x * y) for x in columns for y in columns]).first()
     k = len(columns)
@@ -139,7 +152,7 @@ def risk_prediction(df: DataFrame, ridge: float = 0.01) -> DataFrame:
         weights = np.linalg.solve(spread[:-1, :-1] / np.outer(scale, scale) + ridge * np.eye(k - 1), spread[:-1, -1] / scale) / scale
         centre = means[-1] - weights @ means[:-1]
     predicted = sum((F.col(c) * float(w) for c, w in zip(features, weights)), F.lit(float(centre)))
-    return weekly.where(F.col("week_start") == F.lit(last)).select("source_ip", "week_start", "risk", F.greatest(predicted, F.lit(0.0)).alias("predicted_risk"))
+    return newest.select("source_ip", "week_start", "risk", F.greatest(predicted, F.lit(0.0)).alias("predicted_risk"))
 
 
 def attack_type_correlation(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from watchledger.operators import geo, incident_sql, measures, ordering, quality, relations, source_risk, timeseries
+from watchledger.operators import geo, incident_sql, measures, ordering, quality, relations, source_risk, timeseries, trees
 from watchledger.plans.registry import Query, r6
 from watchledger.plans.reports import CLEAN_FIXTURE, CLEAN_LOGINS, DAILY, LOC, SECURITY, violation_sql
 from watchledger.plans.scoring import ANOMALY_SQL, ENSEMBLE_SQL, FINAL_LEVEL, PROFILE_SQL, full_events, full_profile, z_sql
@@ -42,6 +42,33 @@ met AS (SELECT DISTINCT source_ip, destination_device AS d, date_trunc('{grain}'
 linked AS (SELECT DISTINCT a.source_ip AS a, b.source_ip AS b FROM met a JOIN met b USING (d, p)),
 reached AS (WITH RECURSIVE r AS (SELECT a, b FROM linked UNION SELECT r.a, l.b FROM r JOIN linked l ON r.b = l.a) SELECT a AS source_ip, min(b) AS group_id FROM r GROUP BY a)
 """
+EARLIER = "earlier AS (SELECT * FROM scored WHERE timestamp < (SELECT date_trunc('week', max(timestamp)) FROM scored)),"
+
+
+def boost_sql(rounds: int, depth: int, bins: int, shrink: int) -> str:
+    """Boosted trees written out level by level, over the weekly features x0 to x3 of ``tr`` (with next week's ``y``) and ``wk``."""
+    above = lambda i: " + ".join(f"CAST(x{i} > q{i}[{j}] AS BIGINT)" for j in range(1, bins))
+    probabilities = ", ".join(f"{j / bins}e0" for j in range(1, bins))
+    parts = [f"""
+qs AS (SELECT {', '.join(f'quantile_cont(x{i}, [{probabilities}]) AS q{i}' for i in range(4))} FROM tr),
+t0 AS MATERIALIZED (SELECT source_ip, week_start, risk, y, {', '.join(f'{above(i)} AS b{i}' for i in range(4))}, CAST(floor(sum(y) OVER () / count(y) OVER ()) AS BIGINT) AS fitted
+  FROM (SELECT source_ip, week_start, risk, x0, x1, x2, x3, CAST(round(y * 1000000) AS HUGEINT) AS y FROM tr
+    UNION ALL SELECT source_ip, week_start, risk, x0, x1, x2, x3, NULL FROM wk WHERE week_start = (SELECT max(week_start) FROM wk)), qs)"""]
+    for n in range(rounds):
+        parts.append(f"\nl{n}_0 AS (SELECT *, 0 AS node FROM t{n})")
+        for level in range(depth):
+            parts.append(f"""
+h{n}_{level} AS (SELECT node, f, b, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(n) OVER (PARTITION BY node, f) AS all_n, sum(s) OVER (PARTITION BY node, f) AS all_s
+  FROM (SELECT node, f, b, count(*) AS n, sum(y - fitted) AS s FROM (SELECT node, y, fitted, unnest([0, 1, 2, 3]) AS f, unnest([b0, b1, b2, b3]) AS b FROM l{n}_{level} WHERE y IS NOT NULL) GROUP BY ALL)
+  WINDOW w AS (PARTITION BY node, f ORDER BY b)),
+c{n}_{level} AS (SELECT node, arg_max((f, b), (CAST(s AS DOUBLE) * CAST(s AS DOUBLE) / n + CAST(all_s - s AS DOUBLE) * CAST(all_s - s AS DOUBLE) / (all_n - n), -f, -b)) AS cut FROM h{n}_{level} WHERE n < all_n GROUP BY node),
+l{n}_{level + 1} AS MATERIALIZED (SELECT l.* EXCLUDE (node), 2 * node + CASE WHEN cut IS NOT NULL AND [b0, b1, b2, b3][cut[1] + 1] > cut[2] THEN 1 ELSE 0 END AS node FROM l{n}_{level} l LEFT JOIN c{n}_{level} USING (node))""")
+        parts.append(f"""
+t{n + 1} AS MATERIALIZED (SELECT l.* EXCLUDE (node, fitted), fitted + coalesce(v, 0) AS fitted FROM l{n}_{depth} l LEFT JOIN
+  (SELECT node, CAST(floor(CAST(sum(y - fitted) AS DOUBLE) / (count(*) * {shrink})) AS BIGINT) AS v FROM l{n}_{depth} WHERE y IS NOT NULL GROUP BY node) USING (node))""")
+    return ",".join(parts) + f",\nboosted AS (SELECT * FROM t{rounds})"
+
+
 _GROUPED = "(SELECT source_ip, group_id, count(*) OVER (PARTITION BY group_id) AS group_size FROM reached)"
 
 
@@ -135,6 +162,15 @@ MEASURES = [
     Query("risk_prediction", lambda t: measures.risk_prediction(t.prepared), f"""
         SELECT source_ip, week_start, {r6('risk')} AS risk, {r6(f"greatest(my + {' + '.join(f'b{i} * (x{i} - m{i}) / s{i}' for i in range(4))}, 0)")} AS predicted_risk
         FROM wk, mo, fit WHERE week_start = (SELECT max(week_start) FROM wk)""", PREDICTION),
+    Query("risk_prediction_trees", lambda t: trees.risk_prediction_trees(t.prepared, 3, 2, 8, 2), f"""
+        SELECT source_ip, week_start, {r6('risk')} AS risk, {r6('greatest(fitted / 1e6, 0)')} AS predicted_risk FROM boosted WHERE y IS NULL""", PREDICTION.strip() + "," + boost_sql(3, 2, 8, 2)),
+    Query("risk_model_errors", lambda t: trees.risk_model_errors(t.prepared, rounds=3, depth=2, bins=8, shrink=2), f"""
+        SELECT model, count(*) AS sources, {r6('avg(abs(guess - coalesce(truth, 0)))')} AS mean_absolute_error, {r6('sqrt(avg((guess - coalesce(truth, 0)) ** 2))')} AS root_mean_square_error
+        FROM (SELECT source_ip, 'trees' AS model, greatest(fitted / 1e6, 0) AS guess FROM boosted WHERE y IS NULL
+          UNION ALL SELECT source_ip, unnest(['linear', 'same again']), unnest([greatest(my + {' + '.join(f'b{i} * (x{i} - m{i}) / s{i}' for i in range(4))}, 0), risk])
+          FROM wk, mo, fit WHERE week_start = (SELECT max(week_start) FROM wk))
+        LEFT JOIN (SELECT source_ip, coalesce(sum(severity_score), 0)::DOUBLE AS truth FROM scored WHERE timestamp >= (SELECT date_trunc('week', max(timestamp)) FROM scored) GROUP BY 1) USING (source_ip)
+        GROUP BY model""", (EARLIER + PREDICTION.strip() + "," + boost_sql(3, 2, 8, 2)).replace("FROM scored WHERE source_ip", "FROM earlier WHERE source_ip")),
     Query("geo_multiplier", lambda t: geo.geo_multiplier(t.prepared), f"""
         SELECT location, {r6('avg_severity')} AS avg_severity, {r6('avg_severity / (SELECT avg(severity_score) FROM scored)')} AS multiplier FROM ls""", LOC),
     Query("attack_type_correlation", lambda t: measures.attack_type_correlation(t.incidents), "\nUNION ALL ".join(
