@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from watchledger.operators import geo, incident_sql, measures, ordering, quality, relations, source_risk, timeseries, trees
+from watchledger.operators import geo, incident_sql, measures, ordering, quality, relations, shifts, source_risk, timeseries, trees
 from watchledger.plans.registry import Query, r6
 from watchledger.plans.reports import CLEAN_FIXTURE, CLEAN_LOGINS, DAILY, LOC, SECURITY, violation_sql
 from watchledger.plans.scoring import ANOMALY_SQL, ENSEMBLE_SQL, FINAL_LEVEL, PROFILE_SQL, full_events, full_profile, z_sql
@@ -42,6 +42,27 @@ met AS (SELECT DISTINCT source_ip, destination_device AS d, date_trunc('{grain}'
 linked AS (SELECT DISTINCT a.source_ip AS a, b.source_ip AS b FROM met a JOIN met b USING (d, p)),
 reached AS (WITH RECURSIVE r AS (SELECT a, b FROM linked UNION SELECT r.a, l.b FROM r JOIN linked l ON r.b = l.a) SELECT a AS source_ip, min(b) AS group_id FROM r GROUP BY a)
 """
+def shift_sql(counted: str, limit: int, slack: int = 1000) -> str:
+    """The cumulative sums carried from day to day."""
+    sides = {"more": f"x - level - floor(level * 0.5) - {slack}", "fewer": f"level - floor(level * 0.5) - {slack} - x"}
+    carried = " UNION ALL ".join(f"""
+SELECT user_id, direction, min(day) AS first_day, min(day) FILTER (WHERE s > {limit}) AS alarm_day, max(day) AS last_day, max(s) / 1e3 AS excess, arg_min(level, day) / 1e3 AS level_before,
+  arg_max(so_far, (s, -i)) / (arg_max(i, (s, -i)) - min(i) + 1) AS level_during
+FROM (SELECT *, '{name}' AS direction, sum(logins) OVER (PARTITION BY user_id, stretch ORDER BY day) AS so_far FROM (
+  WITH RECURSIVE r AS (
+    SELECT user_id, i, day, logins, level, greatest(0, {d}) AS s, CASE WHEN {d} <= 0 THEN 1 ELSE 0 END AS stretch FROM lv WHERE i = 8
+    UNION ALL SELECT lv.user_id, lv.i, lv.day, lv.logins, lv.level, greatest(0, r.s + {d.replace('level', 'lv.level')}), r.stretch + CASE WHEN r.s + {d.replace('level', 'lv.level')} <= 0 THEN 1 ELSE 0 END
+      FROM r JOIN lv ON lv.user_id = r.user_id AND lv.i = r.i + 1)
+  SELECT * FROM r WHERE s > 0)) GROUP BY user_id, direction, stretch""" for name, d in sides.items())
+    return f"""
+SELECT * FROM (WITH cells AS (SELECT user_id, CAST(login_time AS DATE) AS day, sum({counted}) AS n FROM logins GROUP BY ALL),
+dense AS (SELECT user_id, CAST(d AS DATE) AS day FROM (SELECT user_id, unnest(generate_series(min(day), (SELECT max(day) FROM cells), INTERVAL 1 DAY)) AS d FROM cells GROUP BY user_id)),
+ds AS (SELECT user_id, day, coalesce(n, 0) AS logins, row_number() OVER (PARTITION BY user_id ORDER BY day) AS i FROM dense LEFT JOIN cells USING (user_id, day)),
+lv AS (SELECT *, CAST(logins * 1000 AS DOUBLE) AS x, floor(sum(logins) OVER (PARTITION BY user_id ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) * 1000 / 7) AS level FROM ds)
+SELECT user_id, direction, first_day, alarm_day, last_day, {r6('excess')} AS excess, {r6('level_before')} AS level_before, {r6('level_during')} AS level_during
+FROM ({carried}) WHERE alarm_day IS NOT NULL)"""
+
+
 EARLIER = "earlier AS (SELECT * FROM scored WHERE timestamp < (SELECT date_trunc('week', max(timestamp)) FROM scored)),"
 
 
@@ -144,6 +165,8 @@ MEASURES = [
     Query("user_login_anomalies", lambda t: measures.user_login_anomalies(t.logins), f"""
         SELECT user_id, attempts, {r6('fail_rate')} AS fail_rate, {r6('z')} AS z_score FROM (SELECT *, {z_sql('fail_rate')} AS z FROM
           (SELECT user_id, count(*) AS attempts, avg(CASE WHEN success = 'No' THEN 1 ELSE 0 END) AS fail_rate FROM logins GROUP BY 1)) WHERE abs(z) > 2"""),
+    Query("login_shifts", lambda t: shifts.login_shifts(t.logins, limit=2.0), shift_sql("1", 2000)),
+    Query("failed_login_shifts", lambda t: shifts.login_shifts(t.logins, failures_only=True, slack=0.5, limit=1.0), shift_sql("CASE WHEN success = 'No' THEN 1 ELSE 0 END", 1000, 500)),
     Query("incident_forecast", lambda t: timeseries.incident_forecast(t.incidents), f"""
         SELECT date, {r6('trend')} AS trend, {r6('coalesce(seasonal, 0)')} AS seasonal, {r6('greatest(trend + coalesce(seasonal, 0), 0)')} AS forecast
         FROM future LEFT JOIN season ON w = isodow(date)""", DAILY.strip() + "," + FORECAST),
