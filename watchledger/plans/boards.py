@@ -11,7 +11,7 @@ from watchledger.plans.registry import Query, r6
 from watchledger.plans.reports import CLEAN_FIXTURE, CLEAN_LOGINS, DAILY, LOC, SECURITY, violation_sql
 from watchledger.plans.scoring import ANOMALY_SQL, ENSEMBLE_SQL, FINAL_LEVEL, PROFILE_SQL, full_events, full_profile, z_sql
 from watchledger.schemas import DICTIONARY
-from watchledger.streaming import jobs
+from watchledger.streaming import jobs, periods
 
 _c = F.col
 
@@ -262,6 +262,10 @@ STREAMS = [
     Query("stream_dedupe", lambda t: jobs.drain(jobs.stream_dedupe(_repeated(t)), "unique"), "SELECT * FROM incidents"),
     Query("stream_clean", lambda t: jobs.drain(jobs.stream_clean_incidents(_incidents(t)), "cleaned"), "SELECT * FROM incidents_cleaned", CLEAN_FIXTURE),
     Query("stream_clean_logins", lambda t: jobs.drain(jobs.stream_clean_logins(_logins(t)), "cleaned-logins"), "SELECT * FROM logins_cleaned", CLEAN_LOGINS),
+    Query("stream_ip_periods", lambda t: periods.drain_periods(periods.stream_ip_periods(_ended(t))), """
+        SELECT source_ip, min(timestamp) AS period_start, max(timestamp) AS period_end, count(*) AS incidents, CAST(sum(severity_score) AS BIGINT) AS severity_sum, TRUE AS closed
+        FROM (SELECT *, sum(CASE WHEN timestamp - before < INTERVAL 6 HOUR THEN 0 ELSE 1 END) OVER (PARTITION BY source_ip ORDER BY timestamp, event_id) AS period
+          FROM (SELECT *, lag(timestamp) OVER (PARTITION BY source_ip ORDER BY timestamp, event_id) AS before FROM scored)) GROUP BY source_ip, period"""),
     Query("stream_ip_profile", lambda t: jobs.drain_updates(jobs.stream_ip_profile(_incidents(t)), "source_ip", "profiles"),
           "SELECT source_ip, count(*) AS incidents, CAST(sum(severity_score) AS BIGINT) AS severity_sum, max(timestamp) AS last_seen FROM scored GROUP BY 1"),
 ]

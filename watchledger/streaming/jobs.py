@@ -97,8 +97,8 @@ def stream_ip_profile(incidents: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("incidents"), F.sum(severity_score(F.col("severity"))).alias("severity_sum"), F.max("timestamp").alias("last_seen"))
 
 
-#: Event time of the row that ends a finite input.
-END_OF_INPUT = datetime(2999, 1, 1)
+#: Event time of the row that ends a finite input; state functions hold times as nanoseconds, which end in 2262.
+END_OF_INPUT = datetime(2200, 1, 1)
 
 
 def with_end(stream: DataFrame, ts: str) -> DataFrame:
