@@ -6,12 +6,13 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from watchledger.operators import geo, incident_sql, measures, ordering, quality, relations, shifts, source_risk, timeseries, trees
+from watchledger.operators import forecast, geo, incident_sql, measures, ordering, quality, relations, shifts, sketches, source_risk, timeseries, trees
 from watchledger.plans.registry import Query, r6
 from watchledger.plans.reports import CLEAN_FIXTURE, CLEAN_LOGINS, DAILY, LOC, SECURITY, violation_sql
 from watchledger.plans.scoring import ANOMALY_SQL, ENSEMBLE_SQL, FINAL_LEVEL, PROFILE_SQL, full_events, full_profile, z_sql
 from watchledger.schemas import DICTIONARY
 from watchledger.streaming import jobs, periods
+from watchledger.workspace import new_path
 
 _c = F.col
 
@@ -63,6 +64,48 @@ SELECT user_id, direction, first_day, alarm_day, last_day, {r6('excess')} AS exc
 FROM ({carried}) WHERE alarm_day IS NOT NULL)"""
 
 
+#: Triple exponential smoothing carried from day to day; the season is a list of seven values.
+SMOOTHED = """
+cells AS (SELECT json_object('event_type', event_type, 'location', location)::VARCHAR AS series, date, count(*) AS n FROM scored GROUP BY ALL UNION ALL SELECT NULL, date, count(*) FROM scored GROUP BY date),
+dense AS MATERIALIZED (SELECT s.series, d.t, d.date, coalesce(n, 0) AS n FROM (SELECT DISTINCT series FROM cells) s
+  CROSS JOIN (SELECT CAST(x AS DATE) AS date, row_number() OVER (ORDER BY x) - 1 AS t FROM (SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS x FROM cells)) d
+  LEFT JOIN cells ON cells.series IS NOT DISTINCT FROM s.series AND cells.date = d.date),
+first AS (SELECT series, sum(n)::DOUBLE / 7 AS level, list(n::DOUBLE ORDER BY t) AS ns FROM dense WHERE t < 7 GROUP BY series),
+states AS MATERIALIZED (SELECT * FROM (WITH RECURSIVE r AS (
+  SELECT series, CAST(6 AS BIGINT) AS t, level, 0e0::DOUBLE AS trend, list_transform(ns, lambda x: x - first.level) AS season FROM first
+  UNION ALL SELECT series, t, level, trend, list_concat(season[1 : t % 7], list_concat([0.2e0 * (n - level) + (1 - 0.2e0) * season[t % 7 + 1]], season[t % 7 + 2 : 7])) FROM (
+    SELECT series, t, n, level, 0.05e0 * (level - before) + (1 - 0.05e0) * trend AS trend, season FROM (
+      SELECT r.series, d.t, d.n, 0.3e0 * (d.n - r.season[d.t % 7 + 1]) + (1 - 0.3e0) * (r.level + r.trend) AS level, r.level AS before, r.trend, r.season
+      FROM r JOIN dense d ON d.t = r.t + 1 AND d.series IS NOT DISTINCT FROM r.series)))
+  SELECT * FROM r)),
+made AS (SELECT series, t, h AS horizon, level + h * trend + season[(t + h) % 7 + 1] AS f FROM states CROSS JOIN range(1, 8) g(h)),
+tested AS (SELECT m.series, horizon, sqrt(avg((n - f) * (n - f))) AS error, count(*) AS origins FROM made m JOIN dense d ON d.series IS NOT DISTINCT FROM m.series AND d.t = m.t + horizon
+  WHERE m.t >= 13 GROUP BY ALL),
+newest AS (SELECT m.series, CAST((SELECT max(date) FROM dense) + CAST(m.horizon AS INTEGER) AS DATE) AS date, m.horizon, greatest(f, 0) AS forecast, error, coalesce(origins, 0) AS origins FROM made m
+  LEFT JOIN tested e ON e.series IS NOT DISTINCT FROM m.series AND e.horizon = m.horizon WHERE t = (SELECT max(t) FROM dense)),
+reconciled AS (SELECT a.*, CASE WHEN series IS NULL THEN forecast ELSE forecast * whole / parts END AS reconciled FROM newest a
+  JOIN (SELECT horizon, sum(forecast) FILTER (WHERE series IS NOT NULL) AS parts, sum(forecast) FILTER (WHERE series IS NULL) AS whole FROM newest GROUP BY 1) USING (horizon))
+"""
+_SKETCHED = ["source_ip", "destination_device", "location", "event_type"]
+DAYS = "days AS (SELECT DISTINCT CAST(d AS DATE) AS until FROM (SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS d FROM scored))"
+
+
+def _sketched(t):
+    """The published sketch table of the incidents, read back."""
+    path = new_path(t.spark, "sketches")
+    sketches.publish_sketches(t.incidents, path, "timestamp", _SKETCHED)
+    return sketches.read_sketches(t.spark, path)
+
+
+def _rolling_sql(c: str) -> str:
+    return f"""SELECT until, '{c}' AS column, count(*) AS rows, count({c}) AS present, count(DISTINCT {c}) AS distinct_values
+FROM days JOIN scored ON date BETWEEN until - 6 AND until GROUP BY until"""
+
+
+def _span_sql(c: str) -> str:
+    return f"SELECT '{c}' AS column, count(*) AS rows, count({c}) AS present, count(DISTINCT {c}) AS distinct_values FROM scored WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"
+
+
 EARLIER = "earlier AS (SELECT * FROM scored WHERE timestamp < (SELECT date_trunc('week', max(timestamp)) FROM scored)),"
 
 
@@ -170,6 +213,8 @@ MEASURES = [
     Query("incident_forecast", lambda t: timeseries.incident_forecast(t.incidents), f"""
         SELECT date, {r6('trend')} AS trend, {r6('coalesce(seasonal, 0)')} AS seasonal, {r6('greatest(trend + coalesce(seasonal, 0), 0)')} AS forecast
         FROM future LEFT JOIN season ON w = isodow(date)""", DAILY.strip() + "," + FORECAST),
+    Query("series_forecast", lambda t: forecast.series_forecast(t.incidents), f"SELECT series, date, horizon, {r6('forecast')} AS forecast, {r6('reconciled')} AS reconciled, {r6('error')} AS error, origins, "
+          f"{r6('greatest(reconciled - 1.2815515655446004 * error, 0)')} AS low, {r6('reconciled + 1.2815515655446004 * error')} AS high FROM reconciled", SMOOTHED),
     Query("ip_relationships", lambda t: measures.ip_relationships(t.incidents), """
         SELECT source_ip, destination_device, date, incidents, peers FROM (SELECT *, count(*) OVER (PARTITION BY destination_device, date) - 1 AS peers FROM
           (SELECT source_ip, destination_device, date, count(*) AS incidents FROM scored GROUP BY 1, 2, 3)) WHERE peers > 0"""),
@@ -182,6 +227,8 @@ MEASURES = [
     Query("source_group_summary", lambda t: relations.source_group_summary(t.incidents, "hour"), f"""
         SELECT group_id, group_size, count(*) AS incidents, count(DISTINCT destination_device) AS devices, min(timestamp) AS first_seen, max(timestamp) AS last_seen,
           {r6('avg(severity_score)')} AS avg_severity FROM scored JOIN {_GROUPED} USING (source_ip) WHERE group_size > 1 GROUP BY ALL""", GROUPS.format(grain="hour")),
+    Query("rolling_distinct", lambda t: sketches.rolling_profile(_sketched(t)), f"SELECT * FROM ({' UNION ALL '.join(_rolling_sql(c) for c in _SKETCHED)})", DAYS),
+    Query("span_distinct", lambda t: sketches.span_profile(_sketched(t), date(2024, 1, 8), date(2024, 1, 14)), f"SELECT * FROM ({' UNION ALL '.join(_span_sql(c) for c in _SKETCHED)})"),
     Query("risk_prediction", lambda t: measures.risk_prediction(t.prepared), f"""
         SELECT source_ip, week_start, {r6('risk')} AS risk, {r6(f"greatest(my + {' + '.join(f'b{i} * (x{i} - m{i}) / s{i}' for i in range(4))}, 0)")} AS predicted_risk
         FROM wk, mo, fit WHERE week_start = (SELECT max(week_start) FROM wk)""", PREDICTION),
