@@ -15,12 +15,16 @@ empty and links with nothing.  Two documents link when 100 * intersection >=
    The lists of common elements are split by a hash (salt).  A list stays if it
    has two classes or more, be they of one group.
 3. *Hubs.*  In each list every group is paired with the smallest one, in each
-   group every class with the first one.  Pairs pass a size filter and a bitmap
-   bound on the symmetric difference, then their sets are intersected.  The
+   group every class with the first one.  Pairs pass a size filter and bitmap
+   bounds on the symmetric difference, then their sets are intersected.  The
    components of these links put most copies together without pairing them all.
 4. *Rest.*  Lists that still hold several components are expanded to classes,
-   whose pairs across components are filtered and verified in the same way, so
-   no link between different texts is lost; links inside a component change nothing.
+   whose pairs across components are filtered in the same way.  A few pairs for each
+   two components are verified first, then every pair that still lies across, so no
+   link between different texts is lost; links inside a component change nothing.
+
+To be compared, sets travel once, to the class that they are compared with; a class
+met by many is repeated for parts of them.
 
 Null texts are empty.  A component is named by its smallest doc_id (null ids do
 not count unless there is no other).  Repeated rows fall into one class; an empty
@@ -48,6 +52,14 @@ COUNTED = 2_000_000
 #: Lists of elements above this level (log2 of the count) are split.
 HOT_LEVEL = 9
 BITMAP_WORDS = 8
+#: Sets of ``WIDE_FROM`` elements or more have a second bitmap of so many words.
+WIDE_WORDS, WIDE_FROM = 64, 512
+#: Pairs of two components that are verified before all others, round by round; they change speed, never links.
+FEW = (1, 16)
+#: Lists that a pair's earlier meeting is looked for in.
+EARLIER = 8
+#: Sets that one task compares with the same set.
+COMPARED = 1000
 #: Bits of the filter of sets to fetch, at most.
 FILTER_BITS = 1 << 27
 _WORD_CACHE = 500_000
@@ -132,19 +144,19 @@ def level_table(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
     return np.minimum(_gather(chunks, slots), (1 << _LEVEL_BITS) - 1)
 
 
-def bitmap(elements: np.ndarray) -> np.ndarray:
+def bitmap(elements: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
     """Parities of the elements per bit: two sets differ in at least as many elements as bits."""
-    bits = BITMAP_WORDS * 64
+    bits = words * 64
     odd = np.bincount((elements >> np.uint64(40)).astype(np.int64) % bits, minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()), ("prefix_id", pa.binary()),
-                   ("bits", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
+                   ("bits", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
 
 
 def set_table(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """doc_id, row, n, set_id, prefix_id, bits and prefix of each document of ``docs`` (doc_id, row, text)."""
+    """doc_id, row, n, set_id, prefix_id, bits, wide and prefix of each document of ``docs`` (doc_id, row, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
@@ -158,16 +170,17 @@ def set_table(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 level = table[(s & mask).astype(np.int64)]
                 first = np.lexsort((s, level))[: prefix_length(n)] if n else np.zeros(0, np.int64)
                 tokens = ((s[first] << np.uint64(_LEVEL_BITS)) | level[first].astype(np.uint64)).view(np.int64)
-                rows.append((n, xxhash.xxh3_128_digest(s.tobytes()), xxhash.xxh3_128_digest(tokens.tobytes()), bitmap(s), tokens))
+                wide = bitmap(s, WIDE_WORDS) if n >= WIDE_FROM else s[:0].view(np.int64)
+                rows.append((n, xxhash.xxh3_128_digest(s.tobytes()), xxhash.xxh3_128_digest(tokens.tobytes()), bitmap(s), wide, tokens))
             columns = dict(zip(_SETS.names[2:], zip(*rows))) if rows else {k: [] for k in _SETS.names[2:]}
             yield record(_SETS, {"doc_id": b.column("doc_id"), "row": b.column("row"), **columns})
 
-    schema = "doc_id long, row long, n long, set_id binary, prefix_id binary, bits array<long>, prefix array<long>"
+    schema = "doc_id long, row long, n long, set_id binary, prefix_id binary, bits array<long>, wide array<long>, prefix array<long>"
     return docs.select(F.col("doc_id").cast("long"), "row", F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def _fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """set_id and elements of the ``wanted`` classes (set_id, doc_id), from the texts."""
+    """row and elements of the ``wanted`` classes (row, set_id, doc_id), from the texts; a class may come twice."""
     n = max(1, wanted.count())
     bits = min(FILTER_BITS, 1 << max(15, (8 * n - 1).bit_length()))
     size = bits // 8
@@ -203,29 +216,64 @@ def _fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
                 names=["set_id", "elements"])
 
-    return _texts(docs).mapInArrow(run, "set_id binary, elements array<long>")
+    return _texts(docs).mapInArrow(run, "set_id binary, elements array<long>").join(wanted.select("row", "set_id"), "set_id").select("row", "elements")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of class ids that are links."""
-    side = lambda x: classes.select(F.col("row").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of class ids that size and bitmaps let through."""
+    side = lambda x: classes.select(F.col("row").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"), F.col("wide").alias(f"wide_{x}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b")
-    near = near.where(_may_link("n_a", "n_b", "bits_a", "bits_b"))
-    near = written(near.select("a", "b", "n_a", "n_b"), "near")
+    return near.where(_may_link("n_a", "n_b", "bits_a", "bits_b", "wide_a", "wide_b")).drop("n_a", "n_b", "bits_a", "bits_b", "wide_a", "wide_b")
+
+
+def _compare(batches):
+    """Links among rows sorted so that the set that others are compared with (``first``) comes before them."""
+    home = None
+    for batch in batches:
+        found: tuple[list, list] = ([], [])
+        elements = batch.column("elements")
+        offsets, values = elements.offsets.to_numpy(), elements.values.to_numpy().view(np.uint64)
+        for i, (row, at, first) in enumerate(zip(batch.column("row").to_pylist(), batch.column("home").to_pylist(), batch.column("first").to_pylist())):
+            x = values[offsets[i] : offsets[i + 1]]
+            if first:
+                home = x.copy()
+                continue
+            shared = np.intersect1d(home, x, assume_unique=True).size
+            if 100 * shared >= PERCENT * (len(home) + len(x) - shared):
+                found[0].append(row)
+                found[1].append(at)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
+
+
+def _compared(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ``near`` that are links, by the ``sets`` (row, elements) of both."""
+    met = near.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / COMPARED).cast("int").alias("parts"))
+    met = written(met, "met")
+    members = near.select("a", "b").join(met, "b").select(F.col("a").alias("row"), F.col("b").alias("home"), F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("first"))
+    homes = met.select(F.col("b").alias("row"), F.col("b").alias("home"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("first"))
+    dealt = sets.join(written(members.unionAll(homes), "roles"), "row").repartition("home", "part").sortWithinPartitions("home", "part", F.desc("first"))
+    return written(dealt.select("row", "home", "first", "elements").mapInArrow(_compare, "a long, b long").distinct(), "links")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of class ids that are links, by sets fetched from the texts."""
+    near = written(_near(pairs, classes), "near")
+    return _compared(near, _fetch_sets(docs, _wanted(near, classes)))
+
+
+def _wanted(near: DataFrame, classes: DataFrame) -> DataFrame:
+    """row, set_id and doc_id of the classes of the pairs (a, b)."""
     ids = near.select(F.col("a").alias("row")).unionAll(near.select(F.col("b").alias("row"))).distinct()
-    wanted = written(classes.join(ids, "row", "left_semi").select("row", "set_id", "doc_id"), "wanted")
-    sets = _fetch_sets(docs, wanted).join(wanted.select("row", "set_id"), "set_id").dropDuplicates(["row"])
-    sets = written(sets.select("row", "elements"), "sets")
-    one = near.join(sets.select(F.col("row").alias("a"), F.col("elements").alias("x")), "a")
-    both = one.join(sets.select(F.col("row").alias("b"), F.col("elements").alias("y")), "b")
-    shared = F.array_size(F.array_intersect("x", "y"))
-    return written(both.where(100 * shared >= PERCENT * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b"), "links")
+    return written(classes.join(ids, "row", "left_semi").select("row", "set_id", "doc_id"), "wanted")
 
 
-def _may_link(n_a: str, n_b: str, bits_a: str, bits_b: str):
+def _may_link(n_a: str, n_b: str, bits_a: str, bits_b: str, wide_a: str, wide_b: str):
     """Size filter, and: |A ^ B| <= (100 - p) / (100 + p) * (|A| + |B|) for linked sets, and bitmaps differ in no more bits than that."""
     apart = sum((F.bit_count(F.get(bits_a, F.lit(i)).bitwiseXOR(F.get(bits_b, F.lit(i)))) for i in range(BITMAP_WORDS)), F.lit(0))
-    return _sizes_fit(n_a, n_b) & (apart * (100 + PERCENT) <= (100 - PERCENT) * (F.col(n_a) + F.col(n_b)))
+    wide = F.aggregate(F.zip_with(wide_a, wide_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    within = lambda x: x * (100 + PERCENT) <= (100 - PERCENT) * (F.col(n_a) + F.col(n_b))
+    either = (F.size(wide_a) == 0) | (F.size(wide_b) == 0)
+    return _sizes_fit(n_a, n_b) & within(apart) & (either | within(wide))
 
 
 def _sizes_fit(x: str, y: str):
@@ -235,7 +283,7 @@ def _sizes_fit(x: str, y: str):
 def class_components(sets: DataFrame, docs: DataFrame, hot_level: int = HOT_LEVEL) -> tuple[DataFrame, DataFrame]:
     """Classes (row, doc_id, n, set_id, ...) of a written set table, and (node, root) of those that have links."""
     full = sets.where("n > 0")
-    classes = full.groupBy("n", "set_id").agg(F.min(F.struct("row", "doc_id", "prefix_id", "bits")).alias("r")).select("n", "set_id", "r.*")
+    classes = full.groupBy("n", "set_id").agg(F.min(F.struct("row", "doc_id", "prefix_id", "bits", "wide")).alias("r")).select("n", "set_id", "r.*")
     classes = written(classes, "classes")
     groups = classes.groupBy("n", "prefix_id").agg(F.min("row").alias("group"), F.count(F.lit(1)).alias("held"))
     member = written(classes.join(groups, ["n", "prefix_id"]).select("row", "group", "n", "held"), "members")
@@ -256,23 +304,48 @@ def class_components(sets: DataFrame, docs: DataFrame, hot_level: int = HOT_LEVE
     # What is left: lists with several components.
     labelled = member.join(found, member["row"] == found["node"], "left").select("row", "group", "n", F.coalesce("root", "row").alias("root"))
     labelled = written(labelled, "labelled")
-    by_token = shared.select("token", "group").join(labelled, "group")
-    mark = lambda seed: F.bit_xor(F.xxhash64("row", F.lit(seed)))
-    open_lists = by_token.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("length"), mark(1).alias("m1"), mark(2).alias("m2"))
-    # The elements of a shared passage have one and the same list: one of them stands for all.
-    open_lists = open_lists.where("lo < hi").groupBy("length", "m1", "m2").agg(F.min("token").alias("token")).select("token")
-    rest = by_token.join(open_lists, "token").select("token", "row", "n", "root").join(classes.select("row", "bits"), "row")
-    rest = written(rest, "rest")
-    other = rest.select("token", F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("bits").alias("bits_b"))
+    rest = _open_lists(shared.select("token", "group").join(labelled, "group").select("token", "row", "n", "root"))
+    rest = rest.withColumn("before", F.collect_list("token").over(Window.partitionBy("row").orderBy("token").rowsBetween(-EARLIER, -1)))
+    rest = written(rest.join(classes.select("row", "bits", "wide"), "row"), "rest")
+    other = rest.select(F.col("token").alias("other_token"), F.col("before").alias("other_before"), F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("bits").alias("bits_b"), F.col("wide").alias("wide_b"))
     # The filters are part of the join's condition: a pair that fails them is never a row.
-    across = (F.col("row") < F.col("b")) & (F.col("root") != F.col("root_b")) & _may_link("n", "n_b", "bits", "bits_b")
-    pairs = rest.join(other.withColumnRenamed("token", "other_token"), (F.col("token") == F.col("other_token")) & across)
-    second = _verified(written(pairs.select(F.col("row").alias("a"), "b").distinct(), "pairs"), classes, docs)
-    roots = labelled.select("row", "root")
-    bridged = second.join(roots.withColumnsRenamed({"row": "a", "root": "root_a"}), "a").join(roots.withColumnsRenamed({"row": "b", "root": "root_b"}), "b")
-    merged = written(components(bridged.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))), "components")
-    final = labelled.join(merged, labelled["root"] == merged["node"], "left").select("row", F.coalesce(merged["root"], labelled["root"]).alias("root"))
-    return classes, final
+    # A pair that shares one of the lists shortly before this one has met there.
+    across = (F.col("row") < F.col("b")) & (F.col("root") != F.col("root_b")) & _may_link("n", "n_b", "bits", "bits_b", "wide", "wide_b")
+    across = across & ~F.arrays_overlap("before", "other_before")
+    pairs = rest.join(other, (F.col("token") == F.col("other_token")) & across)
+    near = written(pairs.select(F.col("row").alias("a"), "b").distinct(), "near")
+    wanted = _wanted(near, classes)
+    sets = written(_fetch_sets(docs, wanted), "sets")
+    # A few pairs for each two components first: most of the others then lie inside one.
+    labels = written(labelled.select("row", "root"), "labels")
+    for few in (*FEW, None):
+        tried = _across(near, labels)
+        if few:
+            place = F.row_number().over(Window.partitionBy(F.least("root_a", "root_b"), F.greatest("root_a", "root_b")).orderBy(F.xxhash64("a", "b"), "a", "b"))
+            tried = tried.withColumn("place", place).where(F.col("place") <= few)
+        labels = _merged(labels, _compared(written(tried.select("a", "b"), "tried"), sets))
+    return classes, labels
+
+
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components, with their roots."""
+    of = lambda x: labels.select(F.col("row").alias(x), F.col("root").alias(f"root_{x}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").where("root_a != root_b")
+
+
+def _open_lists(by_token: DataFrame) -> DataFrame:
+    """The lists (token, row, n, root) that hold several components; of those with the same members one stays."""
+    mark = lambda seed: F.bit_xor(F.xxhash64("row", F.lit(seed)))
+    lists = by_token.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("length"), mark(1).alias("m1"), mark(2).alias("m2"))
+    kept = lists.where("lo < hi").groupBy("length", "m1", "m2").agg(F.min("token").alias("token")).select("token")
+    return by_token.join(kept, "token")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(row, root) with the components that ``links`` (a, b) bridge made one."""
+    bridged = _across(links, labels).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    roots = written(components(bridged), "components").withColumnRenamed("root", "to")
+    return written(labels.join(roots, labels["root"] == roots["node"], "left").select("row", F.coalesce("to", "root").alias("root")), "labels")
 
 
 def near_components(docs: DataFrame) -> DataFrame:
