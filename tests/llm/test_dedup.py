@@ -46,6 +46,19 @@ def test_exact_groups(documents, hostile, clashing, monkeypatch, shard):
     assert set(kept.values()) == {1} and len(kept) == len({lower(r[1]) for r in hostile})
 
 
+def test_first_load_goes_through_many_tasks(spark, monkeypatch):
+    """With no history the new texts decide how many shards there are."""
+    from pyspark.sql import functions as F
+
+    seen = []
+    look_up = exact_dedup.look_up
+    monkeypatch.setattr(exact_dedup, "look_up", lambda index, groups, shards: seen.append((shards, groups)) or look_up(index, groups, shards))
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    assert exact_dedup.exact_dedup(docs, F.lit(False)).where("kept").count() == 200_000
+    (shards, groups), = seen
+    assert groups.groupBy(exact_dedup._shard(shards)).count().agg(F.max("count")).first()[0] <= 2 * exact_dedup.SHARD_DIGESTS
+
+
 def test_winners_keep_all_columns(documents, hostile, clashing):
     docs = clashing(documents(hostile))
     kept = exact_dedup.keep_winners(docs, exact_dedup.in_history())

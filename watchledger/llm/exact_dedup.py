@@ -161,9 +161,9 @@ def look_up(index: DataFrame, groups: DataFrame, shards: int) -> DataFrame:
 def merge_with_history(new: DataFrame, history: DataFrame) -> DataFrame:
     """Groups over both inputs: digest, winner, copies.  Inputs are digest rows."""
     old = written(digest_groups(history), "history-groups")
-    shards = max(1, -(-old.count() // SHARD_DIGESTS))
-    index = written(build_index(old, shards), "digest-index")
     fresh = written(digest_groups(new), "new-groups")
+    shards = max(1, -(-max(old.count(), fresh.count()) // SHARD_DIGESTS))  # the larger side bounds what one task holds
+    index = written(build_index(old, shards), "digest-index")
     hits = written(look_up(index, fresh, shards), "digest-hits")
     found = fresh.join(hits.withColumnsRenamed({"winner": "old", "copies": "old_copies"}), "digest")
     repeats = found.where("member").select(
