@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from watchledger.functions.cleaning import clean_incidents, clean_logins
+from watchledger.operators import correlate as pairs
 from watchledger.operators.correlate import correlate, correlate_features, incidents_logins_by_ip
 
 T0 = datetime(2024, 1, 1, 12)
@@ -62,3 +63,16 @@ def test_semi_and_anti_split_the_incidents(tables):
     semi = incidents_logins_by_ip(tables.incidents, tables.logins, "semi").count()
     anti = incidents_logins_by_ip(tables.incidents, tables.logins, "anti").count()
     assert semi and anti and semi + anti == tables.incidents.count()
+
+
+def test_published_tables_join_without_an_exchange(spark, tables):
+    """The same rows as the plain join, incidents without address or time included, and no shuffle below the join."""
+    incidents = tables.incidents.withColumn("source_ip", F.when(F.col("event_id") % 10 != 0, F.col("source_ip")))
+    pairs.publish_pairs(incidents, tables.logins, "test_pairs", buckets=4)
+    found = pairs.correlate_published(spark, "test_pairs")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    want = correlate(incidents, tables.logins)
+    assert sorted(map(repr, found.select(*sorted(want.columns)).collect())) == sorted(map(repr, want.select(*sorted(want.columns)).collect()))
+    for part in ("incidents", "logins", "nowhere"):
+        spark.sql(f"DROP TABLE test_pairs_{part}")

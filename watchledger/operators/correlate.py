@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchledger.functions.cleaning import is_business_hours
-from watchledger.workspace import materialize
+from watchledger.workspace import materialize, new_path
 
 HOT_ROWS = 1_000_000
 
@@ -95,6 +95,41 @@ def correlate(incidents: DataFrame, logins: DataFrame, minutes: int = 60, hot_ro
     return met.unionByName(nowhere.select(*left_columns), allowMissingColumns=True)
 
 
+def publish_pairs(incidents: DataFrame, logins: DataFrame, name: str, minutes: int = 60, buckets: int = 64) -> None:
+    """Writes both sides as tables ``{name}_incidents`` and ``{name}_logins``, bucketed and sorted by (address, time bucket).
+
+    They are shuffled once, here; every later ``correlate_published`` reads them
+    without an exchange.  A login is stored for its own time bucket and both
+    neighbours.  Incidents that match nothing (no address or time) go to
+    ``{name}_nowhere``, so that no bucket file gathers them.  An address's time bucket
+    is the smallest unit that one task joins; for crowded ones use ``correlate``.
+    """
+    width, keys = minutes * 60 * 1_000_000, ["source_ip", "_bucket"]
+    left = _prefixed(incidents.dropDuplicates(), "incident_", {"source_ip": "source_ip"})
+    right = _prefixed(logins.dropDuplicates(), "login_", {"ip_address": "source_ip", "login_time": "login_time"})
+    own = _bucket("login_time", width)
+    known = F.col("source_ip").isNotNull() & F.col("incident_timestamp").isNotNull()
+    tables = {
+        "incidents": left.where(known).withColumn("_bucket", _bucket("incident_timestamp", width)),
+        "logins": right.where("source_ip is not null and login_time is not null").withColumn("_bucket", F.explode(F.array(own - 1, own, own + 1)))}
+    for part, df in tables.items():
+        dealt = df.repartition(buckets, *keys)  # one file a bucket
+        dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", new_path(df.sparkSession, f"pairs-{part}")).saveAsTable(f"{name}_{part}")
+    left.where(~known).write.mode("overwrite").option("path", new_path(left.sparkSession, "pairs-nowhere")).saveAsTable(f"{name}_nowhere")
+
+
+def correlate_published(spark: SparkSession, name: str, minutes: int = 60) -> DataFrame:
+    """``correlate`` from the tables that ``publish_pairs`` wrote with the same ``minutes``: a merge join of bucket files."""
+    left, right = spark.table(f"{name}_incidents"), spark.table(f"{name}_logins")
+    window = F.expr(f"INTERVAL {minutes} MINUTES")
+    t, at = F.col("i.incident_timestamp"), F.col("l.login_time")
+    near = (F.col("i.source_ip") == F.col("l.source_ip")) & (F.col("i._bucket") == F.col("l._bucket")) & (at >= t - window) & (at <= t + window)
+    columns = [c for c in left.columns if c != "_bucket"]
+    joined = left.alias("i").join(right.hint("merge").alias("l"), near, "left").select(
+        *[F.col(f"i.{c}") for c in columns], *[F.col(f"l.{c}") for c in right.columns if c not in ("source_ip", "_bucket")])
+    return joined.unionByName(spark.table(f"{name}_nowhere").select(*columns), allowMissingColumns=True)
+
+
 def correlate_features(merged: DataFrame) -> DataFrame:
     """Combined risk, hours and business-hour flags; takes cleaned, correlated rows."""
     failed = F.when(F.col("login_success"), 0).when(~F.col("login_success"), 1).otherwise(0)
@@ -125,7 +160,7 @@ def map_lookup(df: DataFrame, lookup: DataFrame, key: str, spread_by: str = "eve
 
 
 def incidents_with_profile(incidents: DataFrame, profile: DataFrame) -> DataFrame:
-    return incidents.join(profile, "source_ip", "left")
+    return map_lookup(incidents, profile, "source_ip")
 
 
 def incidents_logins_by_ip(incidents: DataFrame, logins: DataFrame, how: str = "semi") -> DataFrame:

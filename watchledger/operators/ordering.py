@@ -89,7 +89,9 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 
 def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
-    """0-based code by sorted distinct value, attached to every row."""
+    """0-based code by sorted distinct value, attached to every row; null values have none and are dealt over all tasks by a salt."""
     values = df.where(F.col(col).isNotNull()).select(col).distinct()
     codes = running_total(values, [col], F.lit(1), out="_code").select(col, (F.col("_code") - 1).cast("int").alias(out))
-    return df.join(materialize(codes, "codes"), col, "left")
+    codes = materialize(codes.withColumn("_salt", F.lit(0).cast("long")), "codes")
+    salt = F.when(F.col(col).isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)) + 1).otherwise(F.lit(0)).cast("long")
+    return df.withColumn("_salt", salt).join(codes, [col, "_salt"], "left").drop("_salt")

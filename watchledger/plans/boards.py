@@ -11,7 +11,7 @@ from watchledger.plans.registry import Query, r6
 from watchledger.plans.reports import CLEAN_FIXTURE, CLEAN_LOGINS, DAILY, LOC, SECURITY, violation_sql
 from watchledger.plans.scoring import ANOMALY_SQL, ENSEMBLE_SQL, FINAL_LEVEL, PROFILE_SQL, full_events, full_profile, z_sql
 from watchledger.schemas import DICTIONARY
-from watchledger.streaming import jobs, periods
+from watchledger.streaming import baselines, jobs, periods
 from watchledger.workspace import new_path
 
 _c = F.col
@@ -309,6 +309,13 @@ STREAMS = [
     Query("stream_dedupe", lambda t: jobs.drain(jobs.stream_dedupe(_repeated(t)), "unique"), "SELECT * FROM incidents"),
     Query("stream_clean", lambda t: jobs.drain(jobs.stream_clean_incidents(_incidents(t)), "cleaned"), "SELECT * FROM incidents_cleaned", CLEAN_FIXTURE),
     Query("stream_clean_logins", lambda t: jobs.drain(jobs.stream_clean_logins(_logins(t)), "cleaned-logins"), "SELECT * FROM logins_cleaned", CLEAN_LOGINS),
+    Query("stream_baseline_spikes", lambda t: baselines.drain_spikes(baselines.stream_baseline_spikes(_ended(t), deviations=1.5, least=0.5)), f"""
+        SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, n AS incidents, {r6('mean')} AS expected, {r6('sqrt(variance)')} AS deviation FROM (
+          WITH RECURSIVE hours AS (SELECT *, row_number() OVER (PARTITION BY hour(window_start) ORDER BY window_start) AS i
+            FROM (SELECT date_trunc('hour', timestamp) AS window_start, count(*) AS n FROM incidents GROUP BY 1)),
+          r AS (SELECT window_start, n, i, NULL::DOUBLE AS mean, NULL::DOUBLE AS variance, n::DOUBLE AS m, 0e0::DOUBLE AS v FROM hours WHERE i = 1
+            UNION ALL SELECT h.window_start, h.n, h.i, m, v, m + 0.3e0 * (h.n - m), (1 - 0.3e0) * (v + 0.3e0 * (h.n - m) * (h.n - m)) FROM r JOIN hours h ON h.i = r.i + 1 AND hour(h.window_start) = hour(r.window_start))
+          SELECT * FROM r) WHERE i > 3 AND n > mean + 1.5e0 * sqrt(variance) + 0.5e0"""),
     Query("stream_ip_periods", lambda t: periods.drain_periods(periods.stream_ip_periods(_ended(t))), """
         SELECT source_ip, min(timestamp) AS period_start, max(timestamp) AS period_end, count(*) AS incidents, CAST(sum(severity_score) AS BIGINT) AS severity_sum, TRUE AS closed
         FROM (SELECT *, sum(CASE WHEN timestamp - before < INTERVAL 6 HOUR THEN 0 ELSE 1 END) OVER (PARTITION BY source_ip ORDER BY timestamp, event_id) AS period

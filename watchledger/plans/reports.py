@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -74,6 +75,12 @@ def merged(t):
     return correlate.correlate(cleaning.clean_incidents(t.incidents), cleaning.clean_logins(t.logins))
 
 
+def published(t):
+    name = f"pairs_{uuid.uuid4().hex}"
+    correlate.publish_pairs(cleaning.clean_incidents(t.incidents), cleaning.clean_logins(t.logins), name, buckets=8)
+    return correlate.correlate_published(t.spark, name)
+
+
 def in_list(values) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
@@ -183,6 +190,7 @@ CLEANING = [
 # --- D: joins ----------------------------------------------------------------------------------
 JOINS = [
     Query("correlate", merged, "SELECT * FROM merged", MERGED),
+    Query("correlate_published", published, "SELECT * FROM merged", MERGED),
     Query("correlate_features", lambda t: correlate.correlate_features(merged(t)).select(
         "incident_event_id", "login_login_id", "combined_risk_score", "incident_hour", "incident_is_business_hours", "login_hour", "login_is_business_hours"), f"""
         SELECT incident_event_id, login_login_id,

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -26,6 +27,18 @@ from watchledger.workspace import new_path
 # Tasks receive the functions of this module by value: executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+@contextmanager
+def rocks_store(spark: SparkSession):
+    """Queries that are started inside keep their state in the RocksDB store, which keyed state needs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 KEYS = ["source_ip", "period_start"]
 BUCKETS = 64
 _PERIOD = "start long, last long, incidents long, severity_sum long"
@@ -165,13 +178,9 @@ def run_periods(periods: DataFrame, out: str, checkpoint: str) -> tuple[DataFram
         last = batch.groupBy(*KEYS).agg(F.max_by(F.struct("period_end", "incidents", "severity_sum", "closed"), F.struct("closed", "incidents")).alias("v"))
         table.merge(last.select(*KEYS, "v.*"), epoch)
 
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
-    try:
+    with rocks_store(spark):
         query = periods.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     return table.read(periods.schema), query
 
 
