@@ -1,6 +1,7 @@
 """Language, language model, page text and quality rules."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -10,7 +11,7 @@ import zstandard
 from llm_rows import rows_of, words
 
 from watchledger.llm import class_lm, html_text, language_id, quality_bands
-from watchledger.llm.queries import op1_language_id
+from watchledger.llm.queries import op10_quality_bands, op1_language_id
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -165,6 +166,13 @@ def test_page_text(spark, page_model):
     assert html_text.extract(pages.where("false"), page_model).count() == 0 and html_text.extract(pages, page_model).count() == len(rows)
 
 
+def test_formulas_and_figure_labels_are_text(spark, page_model):
+    body = "".join(f"<p>{words(40 + i, 60)}.</p>" for i in range(4))
+    page = f"<html><body><article><h1>Sums</h1>{body}<p>It follows from <math><mi>a</mi><mo>+</mo><mi>b</mi></math> which <svg><title>t</title><text>Figure label</text></svg> shows.</p></article></body></html>"
+    found = html_text.extract(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), page_model).first()["text"]
+    assert "It follows from a+b which Figure label shows." in found
+
+
 def test_fit_on_tables_without_articles(spark):
     weights, edges = html_text.fit(spark.createDataFrame([], "page_id long, url string, html string"))
     assert np.isfinite(weights).all() and np.isfinite(edges).all()
@@ -250,3 +258,67 @@ def test_bands_reject_noise_of_any_length(spark, kind):
     for n in (3500, 6000, 20_000, 100_000):
         assert not quality_bands.verdict(prose + noise(n), z)[6], n
     assert quality_bands.ratios(prose + noise(3500), z)[1:] == (2, 1, 3500)
+
+
+def test_learned_bands(spark, documents):
+    """Limits follow the labelled rows; planted repetition below them goes, clean rows of the same kind stay."""
+    clean = [(i, words(i, 20 + i % 300), "en", "a") for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i < 600), 0) for i in range(620)], "doc_id long, quality int, toxic int")
+    bands = quality_bands.learn_bands(documents(clean), labels)
+    assert all(0 < lo < hi < 1.5 for _, lo, hi in bands.whole) and bands.whole[-1][0] == float("inf")
+    fresh = [(1000 + i, words(5000 + i, 20 + i % 300), "en", "a") for i in range(200)]
+    few = [(2000 + i, " ".join(f"{w}{i}" for w in random.Random(i).choices(["alpha", "beta", "gamma", "delta"], k=300)), "en", "a") for i in range(20)]
+    kept = {r["doc_id"] for r in quality_bands.quality_bands(documents(fresh + few), bands).where("kept").collect()}
+    assert len(kept & {r[0] for r in fresh}) >= 190 and not kept & {r[0] for r in few}
+    assert quality_bands.learn_bands(documents(clean), labels.where("quality > 1")) == quality_bands.DEFAULT
+    assert quality_bands.learn_bands(documents([]), labels) == quality_bands.DEFAULT
+
+
+def test_query_bands_equal_brute_force(spark):
+    """The query's verdicts from the limits written out as loops over the same training rows."""
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    z = zstandard.ZstdCompressor(level=3)
+    ratio = lambda t: len(z.compress(t)) / len(t)
+    train = []
+    for i, t in docs.items():
+        if labels.get(i) == 1 and zlib.crc32(str(i).encode()) % 4 != 2 and t and not quality_by_hand(t.decode())[-1]:
+            train.append((len(t), ratio(t), [ratio(t[k : k + 4096]) for k in range(0, len(t) - 4095, 4096)]))
+    train.sort(key=lambda r: r[0])
+    least = np.quantile([min(c) for *_, c in train if c], 0.01)
+    most = np.quantile([max(c) for *_, c in train if c], 0.999)
+
+    def limits(n):
+        c = int(8 * np.log2(train[0][0]))
+        while c < int(8 * np.log2(train[-1][0])) and n > 2 ** ((c + 1) / 8):
+            c += 1
+        inside = [k for k, r in enumerate(train) if 2 ** (c / 8) <= r[0] < 2 ** ((c + 1) / 8)]
+        a = inside[0] if inside else sum(r[0] < 2 ** (c / 8) for r in train)
+        short = max(0, 400 - len(inside))
+        near = [r[1] for r in train[max(0, a - (short + 1) // 2) : a + len(inside) + (short + 1) // 2]]
+        return np.quantile(near, 0.01), np.quantile(near, 0.999)
+
+    def kept(t):
+        if not t or quality_by_hand(t.decode())[-1]:
+            return False
+        lo, hi = limits(len(t))
+        bad = 0
+        for k in range(0, len(t), 4096):
+            c = t[k : k + 4096]
+            a, b = (least, most) if len(c) == 4096 else limits(len(c))
+            bad += 0 if a <= ratio(c) <= b else len(c)
+        return bool(lo <= ratio(t) <= hi and bad <= 0.25 * len(t))
+
+    got = {r.doc_id: r.kept for r in op10_quality_bands(spark, SMALL).collect()}
+    assert got == {i: kept(t) for i, t in docs.items()}
+
+
+def test_texts_far_from_every_profile_are_in_no_language(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    profiles = language_id.learn_profiles(docs)
+    floors = language_id.score_floors(docs, profiles)
+    assert set(floors) == set(profiles) and all(0.1 < f < 0.5 for f in floors.values())
+    odd = ["Все счастливые семьи похожи друг на друга", "### 123 $$$", "吾輩は猫である。名前はまだ無い。", "zzxq qqzx xzqq vvkx"]
+    rows = spark.createDataFrame([(-1 - i, t, None, None, len(t)) for i, t in enumerate(odd)], docs.schema)
+    kept = {r["doc_id"] for r in language_id.in_a_language(docs.unionAll(rows), profiles, floors).collect()}
+    assert kept == {r["doc_id"] for r in docs.where("text rlike '\\\\p{L}'").collect()}

@@ -60,8 +60,10 @@ def op9_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base figures and compression verdict of every document."""
-    return quality_bands.quality_bands(read_table(spark, sf_dir, "documents"))
+    """Base figures and compression verdict of every document; limits from labelled documents whose remainder is not 2."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    bands = quality_bands.learn_bands(docs, labels.where(remainder("doc_id", 4) != 2))
+    return quality_bands.quality_bands(docs, bands)
 
 
 def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
