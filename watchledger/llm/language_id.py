@@ -31,6 +31,8 @@ TRAIN_DOCS = 2_000
 #: Languages a profile set may hold: the bound of what is broadcast.
 MOST_LANGUAGES = 1_000
 UNKNOWN = "und"
+#: A text is in no learned language if it scores below this share of a low quantile of the labelled documents' own scores.
+FLOOR_QUANTILE, FLOOR_SHARE = 0.01, 0.5
 _BITS = 21  # of a code point; three of them fit 64 bits
 
 
@@ -65,17 +67,22 @@ def top_grams(found: np.ndarray, k: int = PROFILE) -> np.ndarray:
     return values[np.argsort(-counts, kind="stable")[:k]]
 
 
-def learn_profiles(labelled: DataFrame, profile: int = PROFILE, train_docs: int = TRAIN_DOCS) -> dict[str, np.ndarray]:
-    """Profiles by language from the columns doc_id, text and lang."""
+def _training_rows(labelled: DataFrame, train_docs: int) -> DataFrame:
+    """text and lang of about ``train_docs`` documents of each language, drawn by a hash of the id."""
     rows = labelled.where("lang is not null and text is not null").select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()
     if len(known) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not known:
-        return {}
+        return rows.select("text", "lang").limit(0)
     share = F.create_map(*[F.lit(x) for r in known for x in (r["lang"], min(1.0, train_docs / r["count"]))])
     place = F.pmod(F.xxhash64(F.lit("profile"), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    chosen = rows.where(place < F.element_at(share, F.col("lang"))).select("text", "lang")
+    return rows.where(place < F.element_at(share, F.col("lang"))).select("text", "lang")
+
+
+def learn_profiles(labelled: DataFrame, profile: int = PROFILE, train_docs: int = TRAIN_DOCS) -> dict[str, np.ndarray]:
+    """Profiles by language from the columns doc_id, text and lang."""
+    chosen = _training_rows(labelled, train_docs)
 
     def count(batches):
         letters = Letters()
@@ -137,12 +144,21 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], profile: int = PRO
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def in_a_language(docs: DataFrame, profiles: dict[str, np.ndarray], profile: int = PROFILE) -> DataFrame:
-    """The rows of ``docs`` whose text is in some learned language, with all their columns."""
+def score_floors(labelled: DataFrame, profiles: dict[str, np.ndarray], train_docs: int = TRAIN_DOCS) -> dict[str, float]:
+    """For each language the score below which a text is in none: ``FLOOR_SHARE`` of the ``FLOOR_QUANTILE`` of the labelled documents' own scores."""
+    scores = predict(_training_rows(labelled, train_docs).select(F.lit(0).alias("doc_id"), "text"), profiles).where(F.col("lang_pred") != UNKNOWN)
+    rows = scores.groupBy("lang_pred").agg(F.percentile("score", F.lit(FLOOR_QUANTILE)).alias("low")).collect()  # one row a language
+    return {r["lang_pred"]: FLOOR_SHARE * r["low"] for r in rows}
+
+
+def in_a_language(docs: DataFrame, profiles: dict[str, np.ndarray], floors: dict[str, float] | None = None, profile: int = PROFILE) -> DataFrame:
+    """The rows of ``docs`` whose text is in some learned language and scores no less than its floor, with all their columns."""
+    least = floors or {}
 
     def run(batches):
         classify = Classifier(profiles, profile)
         for b in blocks(batches):
-            yield b.filter(pa.array([classify(t)[0] != UNKNOWN for t in b.column("text").to_pylist()], pa.bool_()))
+            found = [classify(t) for t in b.column("text").to_pylist()]
+            yield b.filter(pa.array([lang != UNKNOWN and score >= least.get(lang, 0.0) for lang, score in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
