@@ -134,6 +134,31 @@ def test_encoder_equals_the_library(tokenizer):
         assert encode(t) == plain(t), repr(t)
 
 
+def test_other_tokenizers_go_through_the_library():
+    from tokenizers import Tokenizer
+
+    path = orc_tokens.tokenizer_file("word_bpe_49k.json")
+    assert orc_tokens.cuts_at_spaces(orc_tokens.tokenizer_file()) and not orc_tokens.cuts_at_spaces(path)
+    library, encode = Tokenizer.from_file(path), orc_tokens.Encoder(path)
+    for t in ["", " ", "Two  words", " Ünïcode and more, don't\n", "a b c" * 50]:
+        assert encode(t) == np.asarray(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_blocks_equal_the_library(file):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = orc_tokens.tokenizer_file(file)
+    library, encode = Tokenizer.from_file(path), orc_tokens.Encoder(path, cache=60)
+    rng, parts = random.Random(4), [" ", " ", "  ", "\n", "\xa0", "\u3000", "\x1c", "\x85", "é", "été", "naïve,", "word", "Word.", "x1", "中", "'s", "<|endoftext|>", "ǅ", "ɐ"]
+    texts = [None, "", " ", "a", " a b", *("".join(rng.choices(parts, k=rng.randrange(20))) for _ in range(1500))]
+    column = pa.array(["skipped", *texts], pa.string()).slice(1)
+    want = [library.encode(t or "", add_special_tokens=False).ids + [orc_tokens.END_ID] for t in texts]
+    assert encode.lists(column).to_pylist() == want
+    assert encode.lists(pa.array([], pa.string())).to_pylist() == []
+
+
 def test_files_round_trip(spark, documents, hostile, clashing, tokenizer, tmp_path):
     out = str(tmp_path / "tokens")
     orc_tokens.write_tokens(clashing(documents(hostile)), out)

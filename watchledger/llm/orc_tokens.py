@@ -8,10 +8,13 @@ id, and stripes are read in parallel.  The shard number is a column too: a
 document's place is the tokens of all shards before it plus those before it in
 its shard, both summed from the files.
 
-Encoding: ``encode`` of a text is the concatenation of the encodings of its
-pieces cut before every space that a non-space follows, because the vocabulary's
-pre-tokenizer always breaks there.  Pieces repeat, so each task keeps the ids of
-those it has met (bounded by ``CACHE_PIECES``).
+Encoding: with the byte-level pre-tokenizer ``encode`` of a text is the
+concatenation of the encodings of its pieces cut before every space that a non-space
+follows, because it always breaks there.  The pieces of a block are dictionary-encoded
+in Arrow, each different one is encoded once and the ids are gathered.  A worker
+keeps the ids of pieces it has met (bounded by ``CACHE_PIECES``).  The tokenizer's
+file is looked at first: with any other normaliser, pre-tokenizer, model or added
+token than these allow, whole texts go through the library's ``encode``.
 
 Null texts are empty and hold the end id alone.  Null ids come first.  Repeated
 rows and ids are all kept; among equal ids the order is by text.  An empty table
@@ -20,10 +23,9 @@ gives no rows.  Other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-import sys
-import types
 import zlib
 
 import numpy as np
@@ -41,9 +43,11 @@ STRIPE_BYTES = 16 << 20
 CACHE_PIECES = 250_000
 #: A space that does not lead a piece, the places before those that do, and the pre-tokenizer's parts.
 _ODD_SPACE = re.compile(r" (?=\s|\Z)")
+_ODD_SPACE_RE2 = r" ([\s\x0b\x1c-\x1f\x85\p{Z}]|\z)"
 _CUT = re.compile(r"(?<!\A)(?= \S)")
 _FOREIGN = re.compile("[^\x00-\u024f]")
-_WORD_AND_MARK = re.compile(r"[A-Za-z]+[.,;:!?]\Z")
+_LAST_PLAIN = "\u024f"
+_MARKS = frozenset(".,;:!?")
 _PART = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
@@ -74,6 +78,17 @@ class _Filled(dict):
         return value
 
 
+def cuts_at_spaces(path: str) -> bool:
+    """Whether the tokenizer of the file encodes a text as its pieces one by one: byte-level BPE, nothing before or beside it."""
+    with open(path, encoding="utf-8") as f:
+        config = json.load(f)
+    pre, model = config.get("pre_tokenizer") or {}, config.get("model") or {}
+    plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space", True) and pre.get("use_regex", True) and config.get("normalizer") is None
+    unusual = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    added = [t for t in config.get("added_tokens") or [] if not t["content"].startswith("<|") or t.get("lstrip") or t.get("rstrip")]
+    return bool(plain and model.get("type") == "BPE" and not any(model.get(k) for k in unusual) and not added and not config.get("truncation") and not config.get("padding"))
+
+
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit integers.
 
@@ -86,6 +101,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_piece = cuts_at_spaces(path)
         self.tokenize = self.tokenizer.model.tokenize
         self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.letters = byte_letters()
@@ -100,9 +116,12 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         """The piece of a space and ``word``."""
-        if word.isascii() and word.isalpha():
-            return b"".join([self.as_bytes[t.id] for t in self.tokenize(self.space + word)])
-        if _WORD_AND_MARK.match(word):
+        if word.isalpha():  # one part for the pre-tokenizer
+            if word.isascii():
+                return b"".join([self.as_bytes[t.id] for t in self.tokenize(self.space + word)])
+            if max(word) <= _LAST_PLAIN:
+                return self.part(" " + word)
+        elif word[-1:] in _MARKS and word[:-1].isalpha() and max(word) <= _LAST_PLAIN:
             return self.spaced[word[:-1]] + self.parts[word[-1]]
         return self.piece(" " + word)
 
@@ -114,6 +133,8 @@ class Encoder:
         return b"".join(map(self.parts.__getitem__, _PART.findall(piece)))
 
     def __call__(self, text: str) -> bytes:
+        if not self.by_piece:
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if _ODD_SPACE.search(text):
             head, *rest = _CUT.split(text)
             if head[:1] == " " and head[1:2].strip():
@@ -124,12 +145,56 @@ class Encoder:
         return self.first[head] + b"".join(map(self.spaced.__getitem__, rest))
 
 
+    def lists(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of every text (null is empty), each followed by ``END_ID``."""
+        texts = pa.compute.fill_null(texts, "")
+        if self.by_piece:
+            odd = np.flatnonzero(pa.compute.match_substring_regex(texts, _ODD_SPACE_RE2).to_numpy(zero_copy_only=False))
+        else:
+            odd = np.arange(len(texts))
+        whole = np.zeros(len(texts), bool)
+        whole[odd] = True
+        # The texts that are encoded whole have no pieces here.
+        parts = pa.compute.split_pattern(pa.compute.if_else(pa.array(whole), "", texts), " ")
+        bounds = parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py()
+        pieces = parts.values.slice(parts.offsets[0].as_py(), bounds[-1]).dictionary_encode()
+        different = pieces.dictionary.to_pylist()
+        codes = pieces.indices.to_numpy().astype(np.int64)
+        heads = bounds[:-1]
+        leading = [self(t) if w else self.first[different[c]] for t, w, c in zip(texts.to_pylist() if len(odd) else [""] * len(texts), whole.tolist(), codes[heads].tolist())]
+        used = np.ones(len(codes), bool)
+        used[heads] = False
+        needed = np.zeros(len(different), bool)
+        needed[codes[used]] = True
+        known = self.spaced
+        encoded = [known[w] if n else b"" for w, n in zip(different, needed.tolist())]
+        # Code numbers: the pieces, the leading parts of the texts, the end.
+        end = len(encoded) + len(leading)
+        codes[heads] = len(encoded) + np.arange(len(leading))
+        codes = np.insert(codes, bounds[1:], end)
+        encoded = [*encoded, *leading, END_ID.to_bytes(4, "little")]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(encoded), "<i4")
+        length = sizes[codes]
+        upto = np.cumsum(length)
+        gathered = ids[np.arange(upto[-1] if len(upto) else 0) + np.repeat(starts[codes] - (upto - length), length)]
+        ends = np.concatenate([[0], upto])[np.concatenate([[0], bounds[1:] + np.arange(1, len(bounds))])]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(gathered, pa.int32()))
+
+
+_KEPT: dict[str, Encoder] = {}
+
+
 def worker_encoder(path: str) -> Encoder:
     """The encoder of this Python worker: the next task of the worker finds the pieces of the last."""
-    kept = sys.modules.setdefault("_corpus_encoders", types.ModuleType("_corpus_encoders"))
-    if getattr(kept, "path", None) != path:
-        kept.path, kept.encoder = path, Encoder(path)
-    return kept.encoder
+    import builtins
+
+    kept = builtins.__dict__.setdefault("_corpus_encoders", _KEPT)  # functions travel by value, so a module of theirs ends with the task
+    if path not in kept:
+        kept.clear()
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("place", pa.int32()), ("ids", pa.list_(pa.int32()))])
@@ -137,17 +202,12 @@ _TOKENS = pa.schema([("doc_id", pa.int64()), ("place", pa.int32()), ("ids", pa.l
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, place (row of the partition) and ids, keeping the rows' order."""
-    end = np.asarray([END_ID], "<u4").tobytes()
-
     def run(batches):
         encoder, place = worker_encoder(path), 0
-        for b in blocks(batches, limit=1 << 20):
-            ids = [encoder(t or "") + end for t in b.column("text").to_pylist()]
-            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            lists = pa.ListArray.from_arrays(pa.array(ends), values)
-            yield record(_TOKENS, {"doc_id": b.column("doc_id"), "place": np.arange(place, place + len(ids), dtype=np.int32), "ids": lists})
-            place += len(ids)
+        for b in blocks(batches, limit=4 << 20):
+            n = b.num_rows
+            yield record(_TOKENS, {"doc_id": b.column("doc_id"), "place": np.arange(place, place + n, dtype=np.int32), "ids": encoder.lists(b.column("text"))})
+            place += n
 
     return docs.mapInArrow(run, "doc_id long, place int, ids array<int>")
 
@@ -155,7 +215,9 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 def write_tokens(docs: DataFrame, out: str, path: str | None = None) -> None:
     """Write the token files of all documents below ``out``, in ascending doc_id order."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id, and even repeated rows, are dealt over several ranges.
+    ranges = texts.withColumn("row", F.monotonically_increasing_id()).repartitionByRange("doc_id", F.substring("text", 1, 64), "row")
+    ordered = ranges.sortWithinPartitions("doc_id", "text").select("doc_id", "text")
     rows = encoded(ordered, path or tokenizer_file()).withColumn("shard", F.spark_partition_id())
     options = {
         "compression": "zstd", "orc.stripe.size": str(STRIPE_BYTES), "orc.create.index": "true", "orc.row.index.stride": str(INDEX_ROWS),
