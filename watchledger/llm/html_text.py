@@ -40,8 +40,8 @@ STEPS = 150
 PENALTY = 0.5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose text is never page text.
-SILENT = frozenset("script style noscript template textarea select option button svg math iframe object canvas audio video head title map datalist".split())
+#: Elements whose text is never page text: code, form controls, the head, and what stands in for media that are shown.
+SILENT = frozenset("script style noscript template textarea select option button iframe object canvas audio video head title datalist".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 BLOCK = frozenset(
     "html body article aside section nav header footer main div p h1 h2 h3 h4 h5 h6 ul ol menu li dl dt dd blockquote pre figure figcaption address"
