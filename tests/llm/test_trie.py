@@ -85,9 +85,9 @@ def test_hostile_rows(spark):
 
 def test_hot_and_long(spark):
     """A third of all rows in one conversation, another third in copies of one."""
-    rows = [(5, t, "user", f"turn {t % 700}") for t in range(3000)] + [(c, t, "user", f"copy {t}") for c in range(1000, 1600) for t in range(5)]
+    rows = [(5, t, "user", f"turn {t % 70}") for t in range(300)] + [(c, t, "user", f"copy {t}") for c in range(1000, 1060) for t in range(5)]
     turns, lengths = conversation_trie.rebuilt(conversation_trie.conversation_turns(spark.createDataFrame(rows, SCHEMA)))
-    assert result(conversation_trie.prefix_trie(turns, lengths, 1500, 500)) == brute(rows)
+    assert result(conversation_trie.prefix_trie(turns, lengths, 150, 50)) == brute(rows)
 
 
 def test_median_insertion_is_balanced():
