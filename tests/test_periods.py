@@ -72,3 +72,29 @@ def test_late_event_bridges_two_periods(spark, make_incidents, tmp_path):
     stream = spark.readStream.schema(make_incidents([{"event_id": 1, "timestamp": T0, "source_ip": "a"}]).schema).option("maxFilesPerTrigger", 1).parquet(path)
     found = periods.drain_periods(periods.stream_ip_periods(jobs.with_end(stream, "timestamp"), lateness="5 hours")).collect()
     assert [(r["incidents"], r["closed"]) for r in found] == [(4, True)]
+
+
+def test_a_source_has_one_timer(spark, make_incidents, tmp_path):
+    """However many periods a source has: their state is read and written once a batch, not once for each."""
+    path = str(tmp_path / "in")
+    rows = [(f"10.0.0.{s}", T0 + timedelta(hours=8 * i + s)) for s in range(3) for i in range(40)]
+    make_incidents([{"event_id": i, "timestamp": at, "source_ip": s} for i, (s, at) in enumerate(rows)]).coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema(make_incidents([{"event_id": 1, "timestamp": T0, "source_ip": "a"}]).schema).parquet(path)
+    table, query = periods.run_periods(periods.stream_ip_periods(jobs.with_end(stream, "timestamp")), str(tmp_path / "out"), str(tmp_path / "state"))
+    got = table.where(F.col("period_start") < "2200-01-01").collect()
+    assert sorted((r["source_ip"], r["period_start"], r["period_end"], r["incidents"]) for r in got) == expected(rows) and all(r["closed"] for r in got)
+    timers = [p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in query.recentProgress if p["stateOperators"]]
+    assert sum(timers) <= 4  # three sources and the row that ends the input
+
+
+def test_busy_source_and_late_rows_of_a_closed_period(spark, make_incidents, tmp_path, monkeypatch):
+    monkeypatch.setattr(periods, "INPUT_ROWS", 7)
+    rng = random.Random(4)
+    rows = sorted(((s, T0 + timedelta(minutes=rng.randrange(3 * 24 * 60))) for s in ["10.0.0.1"] * 150 + [f"10.0.0.{i}" for i in range(2, 30)]), key=lambda r: r[1])
+    late = [("10.0.0.1", T0 - timedelta(days=2))]  # below the watermark of the last batch: dropped
+    path, frames = str(tmp_path / "in"), [rows[:90], rows[90:], late]
+    for n, part in enumerate(frames):
+        make_incidents([{"event_id": 1000 * n + i, "timestamp": at, "source_ip": s} for i, (s, at) in enumerate(part)]).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(make_incidents([{"event_id": 1, "timestamp": T0, "source_ip": "a"}]).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    table, _ = periods.run_periods(periods.stream_ip_periods(stream), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert sorted((r["source_ip"], r["period_start"], r["period_end"], r["incidents"]) for r in table.collect()) == expected(rows)

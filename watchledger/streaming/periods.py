@@ -1,8 +1,8 @@
 """Profiles of sources by period of activity, for streams that run without end.
 
 A period is a stretch of incidents of a source without a silence of the given
-length.  Open periods are keyed state in the RocksDB store with one event-time timer
-each; when the watermark has passed the silence, the period is written as closed and
+length.  Open periods are keyed state in the RocksDB store with one event-time timer a
+source; when the watermark has passed the silence, the period is written as closed and
 leaves the state.  The sink merges each batch into its table by key: a batch rewrites
 the hash buckets that it touches and no others, into a folder of its own, so that
 a batch that is tried again replaces itself.
@@ -13,10 +13,11 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from itertools import islice
 
-import pandas as pd
+import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
@@ -41,8 +42,10 @@ def rocks_store(spark: SparkSession):
 
 KEYS = ["source_ip", "period_start"]
 BUCKETS = 64
-_PERIOD = "start long, last long, incidents long, severity_sum long"
-_OUTPUT = "source_ip string, period_start timestamp, period_end timestamp, incidents long, severity_sum long, closed boolean"
+#: Rows of a source that a task holds at once.
+INPUT_ROWS = 10_000
+_PERIODS = "start array<long>, last array<long>, incidents array<long>, severity_sum array<long>"
+_OUTPUT = f"source_ip string, closed boolean, {_PERIODS}"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -58,56 +61,71 @@ def joined_periods(periods: Iterable[tuple], silence: int) -> list[tuple]:
     return out
 
 
+def periods_of(at: np.ndarray, severity: np.ndarray, silence: int) -> list[tuple]:
+    """Periods (start, last, incidents, severity_sum) of single incidents, in order."""
+    order = np.argsort(at, kind="stable")
+    at, severity = at[order], severity[order]
+    first = np.flatnonzero(np.concatenate([[True], np.diff(at) >= silence]))
+    n = np.diff(np.append(first, len(at)))
+    return list(zip(at[first].tolist(), at[first + n - 1].tolist(), n.tolist(), np.add.reduceat(severity, first).tolist()))
+
+
 class PeriodTracker(StatefulProcessor):
-    """Open periods of a source; times are microseconds."""
+    """Open periods of a source; times are microseconds.
+
+    All open periods of a source are one state row and one timer, for the period that ends first: it closes all
+    that the watermark has passed and is set anew.  Periods leave as one row of lists, which Spark unpacks.  So a
+    source with many periods costs a few calls, not a few for each of them.
+    """
 
     def __init__(self, silence: int):
         self.silence = silence
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", _PERIOD)
+        self.open = handle.getValueState("open", _PERIODS)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = [tuple(p) for p in self.open.get()]
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = self._held()
         periods = before
-        for batch in rows:  # a busy source comes in several batches; only its periods are kept
-            at = batch["at"].to_numpy()
-            single = zip(at.tolist(), at.tolist(), batch["n"].tolist(), batch["severity_sum"].tolist())
-            periods = joined_periods([*periods, *single], self.silence)
-        self._keep(periods)
-        gone = {p[0] for p in before} - {p[0] for p in periods}
-        yield self._rows(key, [p for p in periods if p not in before] + [(start, start, 0, 0) for start in gone], False)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        periods = [tuple(p) for p in self.open.get()]
-        due = [p for p in periods if p[1] + self.silence <= now]
-        self._keep([p for p in periods if p not in due])
-        yield self._rows(key, due, True)
+        while batch := [(r["at"], r["severity_sum"]) for r in islice(rows, INPUT_ROWS)]:  # of a busy source only the periods are kept
+            periods = joined_periods([*periods, *periods_of(*np.asarray(batch, np.int64).T, self.silence)], self.silence)
+        self.open.update(self._lists(periods))
+        timer = self._timer(periods)
+        if not before or self._timer(before) != timer:
+            if before:
+                self.handle.deleteTimer(self._timer(before))
+            self.handle.registerTimer(timer)
+        known, gone = set(before), {p[0] for p in before} - {p[0] for p in periods}
+        yield self._row(key, [p for p in periods if p not in known] + [(start, start, 0, 0) for start in gone], False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
+        due, later = [], []
+        for p in self._held():
+            (due if p[1] + self.silence <= now else later).append(p)
+        if later:
+            self.open.update(self._lists(later))
+            self.handle.registerTimer(self._timer(later))
+        else:
+            self.open.clear()
+        yield self._row(key, due, True)
 
     def close(self) -> None:
         pass
 
-    def _keep(self, periods: list[tuple]) -> None:
-        if periods:
-            self.open.put(periods)
-        else:
-            self.open.clear()
-        wanted = {-(-(p[1] + self.silence) // 1000) for p in periods}
-        for timer in list(self.handle.listTimers()):
-            if timer in wanted:
-                wanted.discard(timer)
-            else:
-                self.handle.deleteTimer(timer)
-        for timer in wanted:
-            self.handle.registerTimer(timer)
+    def _held(self) -> list[tuple]:
+        return list(zip(*(self.open.get() or ())))
+
+    def _timer(self, periods: list[tuple]) -> int:
+        """Milliseconds at which the first of the periods ends."""
+        return -(-(min(p[1] for p in periods) + self.silence) // 1000)
+
+    def _lists(self, periods: list[tuple]) -> tuple:
+        return tuple(map(list, zip(*periods))) or ([],) * 4
 
-    def _rows(self, key, periods: list[tuple], closed: bool) -> pd.DataFrame:
-        time = lambda values: pd.to_datetime(pd.Series(values, dtype="int64"), unit="us")
-        return pd.DataFrame({
-            "source_ip": pd.Series([key[0]] * len(periods), dtype=object), "period_start": time([p[0] for p in periods]), "period_end": time([p[1] for p in periods]),
-            "incidents": pd.Series([p[2] for p in periods], dtype="int64"), "severity_sum": pd.Series([p[3] for p in periods], dtype="int64"), "closed": pd.Series([closed] * len(periods), dtype=bool)})
+    def _row(self, key, periods: list[tuple], closed: bool) -> Row:
+        return Row(source_ip=key[0], closed=closed, **dict(zip(("start", "last", "incidents", "severity_sum"), self._lists(periods))))
 
 
 def stream_ip_periods(incidents: DataFrame, silence: str = "6 hours", lateness: str = LATENESS) -> DataFrame:
@@ -115,9 +133,11 @@ def stream_ip_periods(incidents: DataFrame, silence: str = "6 hours", lateness:
     spark = incidents.sparkSession
     length = spark.sql(f"SELECT CAST(unix_micros(TIMESTAMP '1970-01-01 00:00:00' + INTERVAL {silence}) AS bigint)").first()[0]
     narrow = event_time(incidents.where("source_ip is not null and timestamp is not null"), "timestamp", lateness).select(
-        "source_ip", "timestamp", F.unix_micros("timestamp").alias("at"), F.lit(1).cast("long").alias("n"),
+        "source_ip", "timestamp", F.unix_micros("timestamp").alias("at"),
         F.coalesce(severity_score(F.col("severity")), F.lit(0)).cast("long").alias("severity_sum"))
-    periods = narrow.groupBy("source_ip").transformWithStateInPandas(PeriodTracker(length), _OUTPUT, "Update", "EventTime")
+    found = narrow.groupBy("source_ip").transformWithState(PeriodTracker(length), _OUTPUT, "Update", "EventTime")
+    periods = found.select("source_ip", "closed", F.inline(F.arrays_zip("start", "last", "incidents", "severity_sum")))
+    periods = periods.select("source_ip", F.timestamp_micros("start").alias("period_start"), F.timestamp_micros("last").alias("period_end"), "incidents", "severity_sum", "closed")
     return wall_clock(periods, "period_start", "period_end")
 
 
