@@ -12,9 +12,9 @@ from watchledger.workspace import new_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no learned language go: those without a letter, and those far from every profile.  Profiles and the least scores come from the labelled rows."""
+    """Documents in no learned language go: those without a letter, and those far from every profile.  Profiles and the least scores come from all labelled rows."""
     labelled = docs.where(remainder("doc_id", 4) != 2)
-    profiles = language_id.learn_profiles(labelled)
+    profiles = language_id.learn_profiles(labelled, train_docs=None)
     return language_id.in_a_language(docs, profiles, language_id.score_floors(labelled, profiles))
 
 

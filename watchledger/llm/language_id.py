@@ -6,9 +6,9 @@ compared with each language's: every n-gram adds the distance between its two
 ranks, or ``PROFILE`` if the language lacks it.  The least sum wins, ties go to
 the first language in code point order.
 
-The language profiles are learned from at most about ``TRAIN_DOCS`` labelled
-documents per language, chosen by a hash of their id, which is the documented
-bound of the training sample; counting is spread over the tasks and only the
+The language profiles are learned from all labelled documents or, by default, from
+at most about ``TRAIN_DOCS`` per language, chosen by a hash of their id, which is the
+documented bound of the training sample.  Floors of the score come from all.  Counting is spread over the tasks and only the
 ``PROFILE`` best n-grams per language come to the driver.
 
 Null texts and texts without a letter are ``und`` with score 0.  With no labelled
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchledger.llm.common import blocks, record
+from watchledger.operators.ordering import exact_quantiles
 
 ORDERS = (1, 2, 3)
 PROFILE = 300
@@ -67,21 +68,23 @@ def top_grams(found: np.ndarray, k: int = PROFILE) -> np.ndarray:
     return values[np.argsort(-counts, kind="stable")[:k]]
 
 
-def _training_rows(labelled: DataFrame, train_docs: int) -> DataFrame:
-    """text and lang of about ``train_docs`` documents of each language, drawn by a hash of the id."""
+def _training_rows(labelled: DataFrame, train_docs: int | None) -> DataFrame:
+    """text and lang of the labelled documents; with ``train_docs``, of about so many of each language, drawn by a hash of the id."""
     rows = labelled.where("lang is not null and text is not null").select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()
     if len(known) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not known:
         return rows.select("text", "lang").limit(0)
+    if train_docs is None:
+        return rows.select("text", "lang")
     share = F.create_map(*[F.lit(x) for r in known for x in (r["lang"], min(1.0, train_docs / r["count"]))])
     place = F.pmod(F.xxhash64(F.lit("profile"), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
     return rows.where(place < F.element_at(share, F.col("lang"))).select("text", "lang")
 
 
-def learn_profiles(labelled: DataFrame, profile: int = PROFILE, train_docs: int = TRAIN_DOCS) -> dict[str, np.ndarray]:
-    """Profiles by language from the columns doc_id, text and lang."""
+def learn_profiles(labelled: DataFrame, profile: int = PROFILE, train_docs: int | None = TRAIN_DOCS) -> dict[str, np.ndarray]:
+    """Profiles by language from the columns doc_id, text and lang; from all rows if ``train_docs`` is None."""
     chosen = _training_rows(labelled, train_docs)
 
     def count(batches):
@@ -144,10 +147,10 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], profile: int = PRO
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def score_floors(labelled: DataFrame, profiles: dict[str, np.ndarray], train_docs: int = TRAIN_DOCS) -> dict[str, float]:
-    """For each language the score below which a text is in none: ``FLOOR_SHARE`` of the ``FLOOR_QUANTILE`` of the labelled documents' own scores."""
-    scores = predict(_training_rows(labelled, train_docs).select(F.lit(0).alias("doc_id"), "text"), profiles).where(F.col("lang_pred") != UNKNOWN)
-    rows = scores.groupBy("lang_pred").agg(F.percentile("score", F.lit(FLOOR_QUANTILE)).alias("low")).collect()  # one row a language
+def score_floors(labelled: DataFrame, profiles: dict[str, np.ndarray]) -> dict[str, float]:
+    """For each language the score below which a text is in none: ``FLOOR_SHARE`` of the ``FLOOR_QUANTILE`` of all labelled documents' own scores."""
+    scores = predict(_training_rows(labelled, None).select(F.lit(0).alias("doc_id"), "text"), profiles).where(F.col("lang_pred") != UNKNOWN)
+    rows = exact_quantiles(scores, "score", {"low": FLOOR_QUANTILE}, by=["lang_pred"]).collect()  # one row a language
     return {r["lang_pred"]: FLOOR_SHARE * r["low"] for r in rows}
 
 
