@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 import zstandard
 from llm_rows import rows_of, words
+from pyspark.sql import functions as F
 
 from watchledger.llm import class_lm, html_text, language_id, quality_bands
 from watchledger.llm.queries import op10_quality_bands, op1_language_id
@@ -322,3 +323,46 @@ def test_texts_far_from_every_profile_are_in_no_language(spark):
     rows = spark.createDataFrame([(-1 - i, t, None, None, len(t)) for i, t in enumerate(odd)], docs.schema)
     kept = {r["doc_id"] for r in language_id.in_a_language(docs.unionAll(rows), profiles, floors).collect()}
     assert kept == {r["doc_id"] for r in docs.where("text rlike '\\\\p{L}'").collect()}
+
+
+def test_floors_come_from_all_labelled_documents(spark):
+    """More documents than a sample of the profiles holds: the floor is the quantile of every one's score."""
+    text = F.concat_ws(" ", F.lit("the river rose and fell again"), *[F.substring(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(i)))), 1, 7) for i in range(5)])
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), text.alias("text"), F.when(F.col("id") % 5 < 4, "en").otherwise("xx").alias("lang"))
+    profiles = language_id.learn_profiles(docs, train_docs=None)
+    scores = {}
+    classify = language_id.Classifier(profiles)
+    for r in docs.collect():
+        lang, score = classify(r["text"])
+        scores.setdefault(lang, []).append(score)
+    assert language_id.score_floors(docs, profiles) == pytest.approx({lang: 0.5 * np.quantile(found, 0.01) for lang, found in scores.items()}, rel=1e-12)
+    letters = language_id.Letters()
+    every = np.concatenate([language_id.grams(letters(r["text"])) for r in docs.where("lang = 'en'").collect()])
+    assert profiles["en"].tolist() == language_id.top_grams(every).tolist()
+
+
+def test_bands_come_from_all_labelled_documents(spark):
+    """Tens of thousands of labelled documents: every one counts, in classes of many documents and of few."""
+    word = lambda i: F.substring(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(i)))), 1, 6)
+    text = F.substring(F.concat_ws(" ", *[word(i) for i in range(60)]), F.lit(1), F.when(F.col("id") % 50 == 0, F.col("id") % 340 + 70).otherwise(F.col("id") % 40 + 150).cast("int"))
+    docs = spark.range(24_000).select(F.col("id").alias("doc_id"), text.alias("text")).unionAll(spark.range(30).select(F.col("id") + 24_000, F.concat_ws(" ", *[word(i) for i in range(1300)])))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    bands = quality_bands.learn_bands(docs, labels)
+    z = zstandard.ZstdCompressor(level=quality_bands.LEVEL)
+    ratio = lambda t: len(z.compress(t)) / len(t)
+    train = []
+    for r in docs.collect():
+        t = r["text"].encode()
+        train.append((len(t), ratio(t), [ratio(t[k : k + 4096]) for k in range(0, len(t) - 4095, 4096)]))
+    train.sort()
+    sizes = np.asarray([n for n, *_ in train])
+    low, high = int(8 * np.log2(sizes[0])), int(8 * np.log2(sizes[-1]))
+    whole = []
+    for c in range(low, high + 1):
+        a, end = np.searchsorted(sizes, [2 ** (c / 8), 2 ** ((c + 1) / 8)])
+        short = max(0, 400 - (end - a))
+        near = [r[1] for r in train[max(0, a - (short + 1) // 2) : end + (short + 1) // 2]]
+        whole.append((math.inf if c == high else 2 ** ((c + 1) / 8), *np.quantile(near, [0.01, 0.999])))
+    assert [len(whole), *np.ravel(bands.whole)] == pytest.approx([len(bands.whole), *np.ravel(whole)], rel=1e-12)
+    chunks = [c for *_, c in train if c]
+    assert bands.chunk == pytest.approx((np.quantile([min(c) for c in chunks], 0.01), np.quantile([max(c) for c in chunks], 0.999)), rel=1e-12)

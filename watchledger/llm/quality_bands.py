@@ -10,9 +10,9 @@ band; the last partial chunk has the band of its own length.
 Up to 128 bytes prose compresses as badly as base64 or printable noise, and up to
 4 KB as badly as hex digits in words, so a ratio cannot tell these apart there.
 
-Limits are learned (``learn_bands``) from a bounded sample of labelled clean
-documents: in each length class the lowest and highest ratio that all but a small
-share of them reach on either side.  ``DEFAULT`` stands in where there are no labels.
+Limits are learned (``learn_bands``) from all labelled clean documents: in each
+length class the lowest and highest ratio that all but a small share of them reach on
+either side, as exact quantiles over ranks that Spark finds.  ``DEFAULT`` stands in where there are no labels.
 
 Base rules, on words ``[^\\x20\\x09-\\x0D]+``: fewer than 10 words, or more than
 20 % of the words inside 5-word windows that occur twice or more.  Null and empty
@@ -25,7 +25,9 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
 from math import inf, log2
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchledger.llm.common import as_bytes, blocks, record
+from watchledger.llm.common import as_bytes, blocks, record, written
+from watchledger.operators.ordering import exact_quantiles, running_total
 
 LEVEL = 3
 CHUNK = 4096
@@ -45,8 +48,7 @@ WHOLE_BANDS = [
     (1024, 0.34, 0.635), (1280, 0.30, 0.625), (1536, 0.30, 0.59), (1792, 0.30, 0.58), (2048, 0.30, 0.57), (2560, 0.30, 0.57), (3072, 0.30, 0.545),
     (4096, 0.30, 0.528), (16384, 0.26, 0.52), (None, 0.20, 0.47)]
 CHUNK_BAND = (0.25, 0.52)
-#: Clean documents that limits are learned from, at most; the share of them below the lower and above the upper limit of their class.
-TRAIN_DOCS = 20_000
+#: The share of the clean documents below the lower and above the upper limit of their class.
 OUTSIDE = (0.01, 0.001)
 #: Length classes per doubling, and the clean documents (of the nearest lengths) that the limits of a class come from, at least.
 CLASSES = 8
@@ -101,30 +103,13 @@ class Bands:
 DEFAULT = Bands(tuple((upto or inf, lo, hi) for upto, lo, hi in WHOLE_BANDS), CHUNK_BAND)
 
 
-def fitted(sizes: np.ndarray, whole: np.ndarray, chunks: np.ndarray, outside: tuple[float, float] = OUTSIDE, class_docs: int = CLASS_DOCS) -> Bands:
-    """Limits that all but ``outside`` (below, above) of the clean texts keep; ``chunks`` has the least and greatest chunk ratio of each long text."""
-    order = np.argsort(sizes, kind="stable")
-    sizes, whole = sizes[order], whole[order]
-    low, high = int(CLASSES * log2(sizes[0])), int(CLASSES * log2(sizes[-1]))
-    out = []
-    for c in range(low, high + 1):
-        a, z = np.searchsorted(sizes, [2 ** (c / CLASSES), 2 ** ((c + 1) / CLASSES)])
-        short = max(0, class_docs - (z - a))
-        near = whole[max(0, a - (short + 1) // 2) : z + (short + 1) // 2]
-        out.append((inf if c == high else 2 ** ((c + 1) / CLASSES), *np.quantile(near, [outside[0], 1 - outside[1]]).tolist()))
-    limits = (float(np.quantile(chunks[:, 0], outside[0])), float(np.quantile(chunks[:, 1], 1 - outside[1]))) if len(chunks) else CHUNK_BAND
-    return Bands(tuple(out), limits)
+_MEASURED = "n long, class int, ratio double, least double, most double"
 
 
-def learn_bands(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, outside: tuple[float, float] = OUTSIDE) -> Bands:
-    """Limits from about ``train_docs`` documents of quality 1 that keep the base rules, drawn by a hash of the id."""
-    clean = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_id")).distinct()
-    count = clean.count()
-    place = F.pmod(F.xxhash64(F.lit("bands"), "_id"), F.lit(1 << 20)) / float(1 << 20)
-    drawn = clean.where(place < min(1.0, train_docs / max(1, count)))
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string")).join(drawn, "_id", "left_semi").select("text")
+def measured(texts: DataFrame) -> DataFrame:
+    """Size, length class, ratio, and the least and greatest chunk ratio of every text that keeps the base rules."""
 
-    def measure(batches):
+    def run(batches):
         compressor = zstandard.ZstdCompressor(level=LEVEL)
         for b in blocks(batches):
             found = []
@@ -132,13 +117,63 @@ def learn_bands(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS
                 n_words, *_, repeats = base_figures(t)
                 if t and not _base_failed(n_words, repeats):
                     chunks = [len(compressor.compress(t[i : i + CHUNK])) / CHUNK for i in range(0, len(t) - CHUNK + 1, CHUNK)]
-                    found.append((len(t), len(compressor.compress(t)) / len(t), min(chunks, default=None), max(chunks, default=None)))
-            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.float64(), pa.float64(), pa.float64()))], names=["n", "ratio", "least", "most"])
-
-    found = texts.mapInArrow(measure, "n long, ratio double, least double, most double").toPandas()  # four numbers for each of train_docs texts
-    if found.empty:
+                    found.append((len(t), int(CLASSES * log2(len(t))), len(compressor.compress(t)) / len(t), min(chunks, default=None), max(chunks, default=None)))
+            kinds = (pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)], names=["n", "class", "ratio", "least", "most"])
+
+    return texts.select(F.col("text").cast("string").alias("text")).mapInArrow(run, _MEASURED)
+
+
+def placed_ratios(found: DataFrame, spans: list[tuple[int, int]]) -> list[tuple[int, int, float]]:
+    """(first place, place behind the last, ratio) of the rows that ``spans`` of places in the order of (n, ratio) touch; equal rows are one."""
+    counts = found.groupBy("n", "ratio").agg(F.count(F.lit(1)).alias("rows"))
+    placed = running_total(counts, ["n", "ratio"], F.col("rows"), out="upto").select((F.col("upto") - F.col("rows")).alias("start"), "upto", "ratio")
+    merged: list[list[int]] = []
+    for a, z in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(z, merged[-1][1])
+        else:
+            merged.append([a, z])
+    inside = reduce(or_, [(F.col("start") < z) & (F.col("upto") > a) for a, z in merged])
+    return sorted(map(tuple, placed.where(inside).collect()))
+
+
+def fitted(found: DataFrame, outside: tuple[float, float] = OUTSIDE, class_docs: int = CLASS_DOCS) -> Bands:
+    """Limits that all but ``outside`` (below, above) of the measured texts keep.
+
+    A class with fewer than ``class_docs`` texts takes in the texts of the nearest lengths; only these
+    few come to the driver, of the other classes their two quantiles.
+    """
+    found = written(found, "ratios")
+    held = {r["class"]: (r["rows"], r["chunked"]) for r in found.groupBy("class").agg(F.count(F.lit(1)).alias("rows"), F.count("least").alias("chunked")).collect()}  # some hundred rows
+    if not held:
         return DEFAULT
-    return fitted(found["n"].to_numpy(), found["ratio"].to_numpy(), found[["least", "most"]].dropna().to_numpy(), outside)
+    shares = {"lo": outside[0], "hi": 1 - outside[1]}
+    full = [c for c, (n, _) in held.items() if n >= class_docs]
+    limits = {r["class"]: (r["lo"], r["hi"]) for r in exact_quantiles(found.where(F.col("class").isin(full)), "ratio", shares, by=["class"]).collect()} if full else {}
+    total, before, spans = sum(n for n, _ in held.values()), 0, {}
+    for c in range(min(held), max(held) + 1):
+        n = held.get(c, (0, 0))[0]
+        if c not in limits:
+            short = (class_docs - n + 1) // 2
+            spans[c] = max(0, before - short), min(total, before + n + short)
+        before += n
+    if spans:
+        rows = placed_ratios(found, list(spans.values()))
+        for c, (a, z) in spans.items():
+            near = np.concatenate([np.full(min(upto, z) - max(start, a), ratio) for start, upto, ratio in rows if start < z and upto > a])
+            limits[c] = tuple(np.quantile(near, list(shares.values())).tolist())
+    whole = tuple((inf if c == max(held) else 2 ** ((c + 1) / CLASSES), *limits[c]) for c in sorted(limits))
+    if not any(chunked for _, chunked in held.values()):
+        return Bands(whole, CHUNK_BAND)
+    return Bands(whole, tuple(exact_quantiles(found, side, {"limit": share}).first()["limit"] for side, share in (("least", shares["lo"]), ("most", shares["hi"]))))
+
+
+def learn_bands(docs: DataFrame, labels: DataFrame, outside: tuple[float, float] = OUTSIDE) -> Bands:
+    """Limits from all documents of quality 1 that keep the base rules."""
+    clean = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_id")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string")).join(clean, "_id", "left_semi").select("text")
+    return fitted(measured(texts), outside)
 
 
 def _base_failed(n_words: int, repeats: int) -> bool:
