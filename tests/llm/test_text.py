@@ -366,3 +366,20 @@ def test_bands_come_from_all_labelled_documents(spark):
     assert [len(whole), *np.ravel(bands.whole)] == pytest.approx([len(bands.whole), *np.ravel(whole)], rel=1e-12)
     chunks = [c for *_, c in train if c]
     assert bands.chunk == pytest.approx((np.quantile([min(c) for c in chunks], 0.01), np.quantile([max(c) for c in chunks], 0.999)), rel=1e-12)
+
+
+def test_words_and_endings_without_a_unit_choose_their_class(documents, monkeypatch):
+    """Nouns and verbs take turns; those that no unit stands for, and whose endings have none, are told apart by their neighbours."""
+    rng = random.Random(8)
+    nouns, verbs = ([f"{kind}{chr(97 + i)}{chr(97 + j)}" for i in range(10) for j in range(4)] for kind in "nv")
+    rows = [(i, " ".join(w for _ in range(40) for w in (rng.choice(nouns[: rng.randrange(1, 41)]), rng.choice(verbs[: rng.randrange(1, 41)]))), "en") for i in range(60)]
+    monkeypatch.setattr(class_lm.exchange, "__defaults__", (3, 8))
+    for head in (100, 12):
+        monkeypatch.setattr(class_lm.vocabulary, "__defaults__", (head, 8, 2))
+        model, _ = class_lm.train(documents(rows))
+        usual = lambda words: Counter(model.of_unit[model.vocab.units([w.encode() for w in words])[1]].tolist()).most_common(1)[0]
+        assert len(model.vocab.endings) == 40
+        if head == 100:  # but for words met once or twice
+            (noun, n), (verb, v) = usual(nouns), usual(verbs)
+            assert noun != verb and n >= 36 and v >= 36
+    assert model.tokens == 60 * 81 and model.end_count == 60

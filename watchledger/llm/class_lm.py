@@ -13,8 +13,12 @@ adding to the counts, and ``score`` is the log10 probability of the whole text.
    Unit bigrams are counted over the whole training text, at most units**2 cells.
 3. *Exchange clustering.*  Units move between ``CLASSES`` classes one by one, each
    to where the likelihood of the class bigrams is largest, until none moves or
-   ``SWEEPS`` are done.  A word's class is its unit's; the end has its own.
-4. *Scores.*  One pass scores transitions, frequent words and the end in place
+   ``SWEEPS`` are done.  The end has its own.
+4. *All others.*  Each other word that all tasks hold, and each ending without a unit,
+   is then moved by the same gain to a class of its own choice, from its neighbours'
+   classes, which Spark counts and looks at.  Words of the tail have their ending's
+   class.  The class bigrams are counted anew with all classes.
+5. *Scores.*  One pass scores transitions, frequent words and the end in place
    and lists the rare words; those meet their counts in a join on the word.
 
 An unseen word has the class of its ending and the probability of one unseen
@@ -44,6 +48,8 @@ SWEEPS = 8
 ADD = 0.5
 #: Distinct words a task holds before it passes its counts on.
 _COUNTER = 400_000
+#: Cells of neighbouring classes that a task gathers before it passes them on.
+_CELLS = 2_000_000
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -151,6 +157,20 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
+def gains(table: np.ndarray, right: np.ndarray, left: np.ndarray, own: int) -> np.ndarray:
+    """What the likelihood gains in each class but the last from a unit with these neighbours that ``table`` lacks."""
+    k = len(table) - 1
+    each = np.arange(k)
+    rows, columns = table[:k], table[:, :k].T
+    gain = (_xlogx(rows + right) - _xlogx(rows)).sum(axis=1) + (_xlogx(columns + left) - _xlogx(columns)).sum(axis=1)
+    corner = table[each, each]
+    gain += _xlogx(corner + right[:k] + left[:k] + own) - _xlogx(corner + right[:k]) - _xlogx(corner + left[:k]) + _xlogx(corner)
+    # Totals of a class without the unit but with the other side of its bigrams, which stays wherever it goes.
+    for total, added in ((table.sum(axis=1)[:k] + left[:k], right.sum() + own), (table.sum(axis=0)[:k] + right[:k], left.sum() + own)):
+        gain -= _xlogx(total + added) - _xlogx(total)
+    return gain
+
+
 def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
     """Class of every unit; the last unit (the end) keeps the last class for itself."""
     n = len(bigrams)
@@ -161,7 +181,6 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
     of[order] = np.arange(n - 1) % k
     table = np.zeros((k + 1, k + 1), np.int64)
     np.add.at(table, (of[:, None], of[None, :]), bigrams)
-    each = np.arange(k)
     for _ in range(sweeps):
         moves = 0
         for u in order:
@@ -174,13 +193,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
             table[here] -= right
             table[:, here] -= left
             table[here, here] -= own
-            rows, columns = table[:k], table[:, :k].T
-            gain = (_xlogx(rows + right) - _xlogx(rows)).sum(axis=1) + (_xlogx(columns + left) - _xlogx(columns)).sum(axis=1)
-            corner = table[each, each]
-            gain += _xlogx(corner + right[:k] + left[:k] + own) - _xlogx(corner + right[:k]) - _xlogx(corner + left[:k]) + _xlogx(corner)
-            # Totals of a class without the unit but with the other side of its bigrams, which stays wherever it goes.
-            for total, added in ((table.sum(axis=1)[:k] + left[:k], right.sum() + own), (table.sum(axis=0)[:k] + right[:k], left.sum() + own)):
-                gain -= _xlogx(total + added) - _xlogx(total)
+            gain = gains(table, right, left, own)
             best = int(np.argmax(gain))
             best = best if gain[best] > gain[here] + 1e-9 else here
             table[best] += right
@@ -212,27 +225,110 @@ class ClassModel:
         return ClassModel(Vocabulary(*vocab), *rest)
 
 
+def _neighbours(texts: DataFrame, vocab: Vocabulary, of: np.ndarray, moving: np.ndarray) -> DataFrame:
+    """unit, at, n: how often each unit of ``moving`` stands before class ``at``, behind class ``at`` - k, and before itself (``at`` = 2 k), with k classes."""
+    k = int(of.max()) + 1
+    shared = texts.sparkSession.sparkContext.broadcast((vocab.plain(), of, moving))
+
+    def run(batches):
+        plain, of, moving = shared.value
+        v, cells, held = Vocabulary(*plain), [], 0
+
+        def out():
+            cell, n = np.unique(np.concatenate([np.zeros(0, np.int64), *cells]), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(cell // (2 * k + 1)), pa.array((cell % (2 * k + 1)).astype(np.int32)), pa.array(n)], names=["unit", "at", "n"])
+
+        for b in blocks(batches, limit=1 << 20):
+            for t in as_bytes(b.column("text")):
+                units = np.concatenate([[v.end], v.units(t.lower().split())[1], [v.end]])
+                at = np.flatnonzero(moving[units])
+                u, classes = units[at] * (2 * k + 1), of[units]
+                cells += [u + classes[at + 1], u + k + classes[at - 1], u[units[at + 1] == units[at]] + 2 * k]
+                held += 2 * len(at)
+            if held > _CELLS:
+                yield out()
+                cells, held = [], 0
+        yield out()
+
+    return texts.select(F.col("text").cast("string")).mapInArrow(run, "unit long, at int, n long").groupBy("unit", "at").agg(F.sum("n").alias("n"))
+
+
+def own_classes(texts: DataFrame, vocab: Vocabulary, of: np.ndarray, bigrams: np.ndarray, endings: list[bytes]) -> tuple[Vocabulary, np.ndarray]:
+    """A vocabulary with a unit for every word of ``vocab`` and every ending, and their classes."""
+    k = int(of.max()) + 1
+    words = len(vocab.words)
+    wide = Vocabulary(vocab.words, vocab.counts, {e: words + i for i, e in enumerate(sorted(endings))}, words)
+    start = of[np.concatenate([vocab.head_units[:-1], [vocab.ending_unit(e) for e in wide.endings], [vocab.end - 1, vocab.end]]).astype(np.int64)]
+    moving = np.ones(wide.end + 1, bool)
+    moving[: vocab.own] = moving[wide.end - 1 :] = False
+    moving[[wide.endings[e] for e in vocab.endings]] = False  # these were exchanged
+    table = np.zeros((k, k), np.int64)
+    np.add.at(table, (of[:, None], of[None, :]), bigrams)
+
+    def choose(batches):
+        for b in batches:
+            found = []
+            for unit, cells in zip(b.column("unit").to_pylist(), b.column("cells").to_pylist()):
+                sides = np.zeros(2 * k + 1, np.int64)
+                sides[[c["at"] for c in cells]] = [c["n"] for c in cells]
+                right, left, own, here = sides[:k], sides[k : 2 * k], sides[2 * k], start[unit]
+                right[here] -= own
+                left[here] -= own
+                rest = table.copy()
+                rest[here] -= right
+                rest[:, here] -= left
+                rest[here, here] -= own
+                gain = gains(rest, right, left, own)
+                best = int(np.argmax(gain))
+                found.append(best if gain[best] > gain[here] + 1e-9 else int(here))
+            yield pa.RecordBatch.from_arrays([b.column("unit"), pa.array(found, pa.int32())], names=["unit", "class"])
+
+    sides = _neighbours(texts, wide, start, moving).groupBy("unit").agg(F.collect_list(F.struct("at", "n")).alias("cells"))
+    moved = sides.mapInArrow(choose, "unit long, class int").toArrow()  # at most a number for each word of all tasks and each ending
+    start[moved.column("unit").to_numpy()] = moved.column("class").to_numpy()
+    return wide, start
+
+
+def class_bigrams(texts: DataFrame, vocab: Vocabulary, of: np.ndarray) -> np.ndarray:
+    """Counts of neighbouring classes."""
+    k = int(of.max()) + 1
+    shared = texts.sparkSession.sparkContext.broadcast((vocab.plain(), of))
+
+    def run(batches):
+        plain, of = shared.value
+        v, cells = Vocabulary(*plain), np.zeros(k * k, np.int64)
+        for b in blocks(batches, limit=1 << 20):
+            for t in as_bytes(b.column("text")):
+                classes = of[np.concatenate([[v.end], v.units(t.lower().split())[1], [v.end]])]
+                cells += np.bincount(classes[:-1] * k + classes[1:], minlength=k * k)
+        at = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(cells[at])], names=["cell", "n"])
+
+    found = texts.select(F.col("text").cast("string")).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(k * k, np.int64)
+    out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return out.reshape(k, k)
+
+
 def train(texts: DataFrame) -> tuple[ClassModel, DataFrame]:
     """The model and the written count table."""
     counts = written(word_counts(texts), "word-counts")
-    vocab, ending_words = vocabulary(counts)
-    bigrams = unit_bigrams(texts, vocab)
-    of = exchange(bigrams)
-    k = int(of.max()) + 1
-    pairs = np.zeros((k, k))
-    np.add.at(pairs, (of[:, None], of[None, :]), bigrams)
-    per_unit = bigrams.sum(axis=0)
-    in_class = np.bincount(of, weights=per_unit, minlength=k)
+    seeds, ending_words = vocabulary(counts)
+    bigrams = unit_bigrams(texts, seeds)
+    vocab, of = own_classes(texts, seeds, exchange(bigrams), bigrams, list(ending_words))
+    pairs = class_bigrams(texts, vocab, of)
+    k = len(pairs)
+    in_class = pairs.sum(axis=0)
     distinct = np.bincount(of[: vocab.own], minlength=k).astype(float)
     for ending, v in ending_words.items():
         distinct[of[vocab.ending_unit(ending)]] += v
-    for w in vocab.words[: vocab.own]:
+    for w in vocab.words:
         distinct[of[vocab.ending_unit(w)]] -= 1
     distinct[of[vocab.end]] += 1
-    ends = int(per_unit[vocab.end])
+    ends = int(in_class[of[vocab.end]])
     model = ClassModel(
         vocab, of, np.log10((pairs + ADD) / (pairs.sum(axis=1, keepdims=True) + ADD * k)), np.log10(in_class + distinct + 1), ends,
-        int(per_unit.sum()), int(sum(ending_words.values())) + (ends > 0))
+        int(pairs.sum()), int(sum(ending_words.values())) + (ends > 0))
     return model, counts
 
 
