@@ -103,25 +103,25 @@ class Bands:
 DEFAULT = Bands(tuple((upto or inf, lo, hi) for upto, lo, hi in WHOLE_BANDS), CHUNK_BAND)
 
 
-_MEASURED = "n long, class int, ratio double, least double, most double"
+_MEASURED = "_id long, n long, class int, ratio double, least double, most double"
 
 
 def measured(texts: DataFrame) -> DataFrame:
-    """Size, length class, ratio, and the least and greatest chunk ratio of every text that keeps the base rules."""
+    """_id, size, length class, ratio, and the least and greatest chunk ratio of every text that keeps the base rules."""
 
     def run(batches):
         compressor = zstandard.ZstdCompressor(level=LEVEL)
         for b in blocks(batches):
             found = []
-            for t in as_bytes(b.column("text")):
+            for doc, t in zip(b.column("_id").to_pylist(), as_bytes(b.column("text"))):
                 n_words, *_, repeats = base_figures(t)
                 if t and not _base_failed(n_words, repeats):
                     chunks = [len(compressor.compress(t[i : i + CHUNK])) / CHUNK for i in range(0, len(t) - CHUNK + 1, CHUNK)]
-                    found.append((len(t), int(CLASSES * log2(len(t))), len(compressor.compress(t)) / len(t), min(chunks, default=None), max(chunks, default=None)))
-            kinds = (pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)], names=["n", "class", "ratio", "least", "most"])
+                    found.append((doc, len(t), int(CLASSES * log2(len(t))), len(compressor.compress(t)) / len(t), min(chunks, default=None), max(chunks, default=None)))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)], names=["_id", "n", "class", "ratio", "least", "most"])
 
-    return texts.select(F.col("text").cast("string").alias("text")).mapInArrow(run, _MEASURED)
+    return texts.select("_id", F.col("text").cast("string").alias("text")).mapInArrow(run, _MEASURED)
 
 
 def placed_ratios(found: DataFrame, spans: list[tuple[int, int]]) -> list[tuple[int, int, float]]:
@@ -172,8 +172,9 @@ def fitted(found: DataFrame, outside: tuple[float, float] = OUTSIDE, class_docs:
 def learn_bands(docs: DataFrame, labels: DataFrame, outside: tuple[float, float] = OUTSIDE) -> Bands:
     """Limits from all documents of quality 1 that keep the base rules."""
     clean = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string")).join(clean, "_id", "left_semi").select("text")
-    return fitted(measured(texts), outside)
+    # All texts are measured where they lie; only the figures meet the labels.
+    every = measured(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("_id"), "text"))
+    return fitted(every.join(clean, "_id", "left_semi").drop("_id"), outside)
 
 
 def _base_failed(n_words: int, repeats: int) -> bool:
