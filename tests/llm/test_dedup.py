@@ -172,6 +172,19 @@ def test_bitmap_bounds_the_difference():
         assert apart <= len(np.setxor1d(a, b))
 
 
+def test_sketch_bounds_the_difference_of_sets_of_any_size():
+    rng = np.random.default_rng(3)
+    for n, m, other in [(1, 1, 0), (6, 5, 1), (300, 260, 40), (9_000, 7_500, 2_000), (40_000, 20_000, 20_000)]:
+        a = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[:m], rng.integers(0, 1 << 64, other, dtype=np.uint64)]))
+        d = len(np.setxor1d(a, b))
+        apart = jaccard_join.bits_apart(jaccard_join.sketch(a), jaccard_join.sketch(b))
+        assert 0.5 * d <= apart <= d
+    # What the bitmap of 4,096 bits cannot tell: a third of a large set differs.
+    assert apart * 175 > 25 * (len(a) + len(b))
+    assert 2 * jaccard_join.bitmap(a, jaccard_join.WIDE_WORDS).size * 64 * 175 < 4 * 25 * (len(a) + len(b))
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (300, 200)]
     found = dict(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect())

@@ -18,13 +18,19 @@ empty and links with nothing.  Two documents link when 100 * intersection >=
    group every class with the first one.  Pairs pass a size filter and bitmap
    bounds on the symmetric difference, then their sets are intersected.  The
    components of these links put most copies together without pairing them all.
-4. *Rest.*  Lists that still hold several components are expanded to classes,
-   whose pairs across components are filtered in the same way.  A few pairs for each
-   two components are verified first, then every pair that still lies across, so no
-   link between different texts is lost; links inside a component change nothing.
+4. *Rounds.*  Lists that still hold several components are expanded to classes.  In
+   each of ``ROUNDS`` every such list draws another hub, and classes of other
+   components are paired with it: most of a large group of near copies comes together
+   for as many pairs as it has entries, not for the square.
+5. *Rest.*  In lists that are open even then all pairs across components are filtered
+   in the same way.  A few pairs for each two components are verified first, then
+   every pair that still lies across, so no link between different texts is lost;
+   links inside a component change nothing.
 
 To be compared, sets travel once, to the class that they are compared with; a class
-met by many is repeated for parts of them.
+met by many is repeated for parts of them.  Sketches, bitmaps that grow with the set
+but have a tenth of its bytes, travel first; only pairs that they let through are
+compared by sets.
 
 Null texts are empty.  A component is named by its smallest doc_id (null ids do
 not count unless there is no other).  Repeated rows fall into one class; an empty
@@ -35,12 +41,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from watchledger.llm.common import as_bytes, blocks, record, whole_row, written
+from watchledger.llm.common import blocks, record, whole_row, written
 from watchledger.llm.components import components
 
 SHINGLE = 5
@@ -58,44 +65,43 @@ WIDE_WORDS, WIDE_FROM = 64, 512
 FEW = (1, 16)
 #: Lists that a pair's earlier meeting is looked for in.
 EARLIER = 8
+#: Bits of a sketch for each element, at least.
+SKETCH_BITS = 4
+#: Rounds in which every list that is still open has another hub; they change speed, never links.
+ROUNDS = 2
 #: Sets that one task compares with the same set.
 COMPARED = 1000
 #: Bits of the filter of sets to fetch, at most.
 FILTER_BITS = 1 << 27
-_WORD_CACHE = 500_000
 _LEVEL_BITS = 6
 _CHUNK = 1 << 12
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Shingler:
-    """Distinct shingle hashes of a text, sorted."""
-
-    def __init__(self, size: int = SHINGLE):
-        self.size = size
-        self.words: dict[bytes, int] = {}
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        if not words:
-            return np.zeros(0, np.uint64)
-        known = self.words
-        if len(known) > _WORD_CACHE:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        if len(h) < self.size:
-            return np.asarray([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-        n = len(h) - self.size + 1
-        out = h[:n].copy()
-        for i in range(1, self.size):
-            out *= _MULTIPLIER
-            out += h[i : i + n]
-        out ^= out >> np.uint64(29)
+def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
+    """Distinct shingle hashes of every text (null is empty), sorted; every different word of the block is hashed once."""
+    lowered = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    split = pc.ascii_split_whitespace(lowered)
+    bounds = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+    words = split.values.slice(split.offsets[0].as_py(), bounds[-1]).dictionary_encode()
+    different = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, different), np.uint64, len(different))[words.indices.to_numpy()]
+    out = h[: max(0, len(h) - size + 1)].copy()
+    for i in range(1, size):
         out *= _MULTIPLIER
-        out ^= out >> np.uint64(32)
-        return np.unique(out)
+        out += h[i : i + len(out)]
+    out ^= out >> np.uint64(29)
+    out *= _MULTIPLIER
+    out ^= out >> np.uint64(32)
+
+    def of(i: int, start: int, end: int) -> np.ndarray:
+        if end - start >= size:
+            s = np.sort(out[start : end - size + 1])
+            return s[np.concatenate([[True], s[1:] != s[:-1]])]
+        alone = lowered[i].as_py().encode().split()
+        return np.asarray([xxhash.xxh3_64_intdigest(b" ".join(alone), seed=len(alone))] if alone else [], np.uint64)
+
+    return [of(i, *x) for i, x in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist()))]
 
 
 def prefix_length(n: int) -> int:
@@ -118,7 +124,7 @@ def level_table(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
     """log2 of how often the elements of a slot occur beside others of their kind; ``slots`` bytes."""
 
     def count(batches):
-        shingle, sets = Shingler(), []
+        sets = []
 
         def often():
             values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
@@ -128,7 +134,7 @@ def level_table(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(n)], names=["slot", "n"])
 
         for b in blocks(batches):
-            sets += [shingle(t) for t in as_bytes(b.column("text"))]
+            sets += shingle_sets(b.column("text"))
             if sum(map(len, sets)) > COUNTED:
                 yield often()
                 sets.clear()
@@ -151,6 +157,18 @@ def bitmap(elements: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def sketch(elements: np.ndarray) -> bytes:
+    """A bitmap that grows with the set, four bits or more an element; halves laid on each other are the next smaller one."""
+    return bitmap(elements, max(BITMAP_WORDS, 1 << max(0, (len(elements) * SKETCH_BITS - 1).bit_length() - 6))).tobytes()
+
+
+def bits_apart(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ once the longer is folded: no more than elements in which the sets do."""
+    short, long = sorted((x, y), key=len)
+    folded = np.bitwise_xor.reduce(np.frombuffer(long, np.uint64).reshape(-1, len(short) // 8), axis=0)
+    return int(np.bitwise_count(folded ^ np.frombuffer(short, np.uint64)).sum())
+
+
 _SETS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()), ("prefix_id", pa.binary()),
                    ("bits", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
 
@@ -160,12 +178,11 @@ def set_table(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
-        shingle, table = Shingler(), shared.value
+        table = shared.value
         mask = np.uint64(len(table) - 1)
         for b in blocks(batches):
             rows = []
-            for t in as_bytes(b.column("text")):
-                s = shingle(t)
+            for s in shingle_sets(b.column("text")):
                 n = len(s)
                 level = table[(s & mask).astype(np.int64)]
                 first = np.lexsort((s, level))[: prefix_length(n)] if n else np.zeros(0, np.int64)
@@ -179,8 +196,11 @@ def set_table(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "row", F.col("text").cast("string")).mapInArrow(run, schema)
 
 
+_FETCHED = pa.schema([("set_id", pa.binary()), ("size", pa.int64()), ("sketch", pa.binary()), ("elements", pa.list_(pa.int64()))])
+
+
 def _fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """row and elements of the ``wanted`` classes (row, set_id, doc_id), from the texts; a class may come twice."""
+    """row, size, sketch and elements of the ``wanted`` classes (row, set_id, doc_id), from the texts; a class may come twice."""
     n = max(1, wanted.count())
     bits = min(FILTER_BITS, 1 << max(15, (8 * n - 1).bit_length()))
     size = bits // 8
@@ -206,17 +226,17 @@ def _fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
-        shingle, table = Shingler(), shared.value
+        table = shared.value
         for b in blocks(batches):
             a, z = place(pa.compute.fill_null(b.column("doc_id"), 0).to_numpy(zero_copy_only=False))
             has = lambda at: (table[at // 8] >> (7 - at % 8)) & 1
             held = b.filter(pa.array((has(a) & has(z)).astype(bool)))
-            sets = [shingle(t) for t in as_bytes(held.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["set_id", "elements"])
+            sets = shingle_sets(held.column("text"))
+            yield record(_FETCHED, {
+                "set_id": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "size": [len(s) for s in sets], "sketch": [sketch(s) for s in sets], "elements": [s.view(np.int64) for s in sets]})
 
-    return _texts(docs).mapInArrow(run, "set_id binary, elements array<long>").join(wanted.select("row", "set_id"), "set_id").select("row", "elements")
+    found = _texts(docs).mapInArrow(run, "set_id binary, size long, sketch binary, elements array<long>")
+    return found.join(wanted.select("row", "set_id"), "set_id").select("row", "size", "sketch", "elements")
 
 
 def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -226,6 +246,10 @@ def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return near.where(_may_link("n_a", "n_b", "bits_a", "bits_b", "wide_a", "wide_b")).drop("n_a", "n_b", "bits_a", "bits_b", "wide_a", "wide_b")
 
 
+def _pairs(found: tuple[list, list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
+
+
 def _compare(batches):
     """Links among rows sorted so that the set that others are compared with (``first``) comes before them."""
     home = None
@@ -242,23 +266,50 @@ def _compare(batches):
             if 100 * shared >= PERCENT * (len(home) + len(x) - shared):
                 found[0].append(row)
                 found[1].append(at)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
+        yield _pairs(found)
 
 
-def _compared(near: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ``near`` that are links, by the ``sets`` (row, elements) of both."""
+def _compare_sketches(batches):
+    """Pairs whose sketches differ in no more bits than linked sets in elements; rows are sorted as in ``_compare``."""
+    home = size = None
+    for batch in batches:
+        found: tuple[list, list] = ([], [])
+        for row, at, first, n, x in zip(*(batch.column(c).to_pylist() for c in ("row", "home", "first", "size", "sketch"))):
+            if first:
+                home, size = x, n
+            elif bits_apart(home, x) * (100 + PERCENT) <= (100 - PERCENT) * (size + n):
+                found[0].append(row)
+                found[1].append(at)
+        yield _pairs(found)
+
+
+def _met(near: DataFrame, sets: DataFrame, compare) -> DataFrame:
+    """The pairs (a, b) of ``near`` that ``compare`` keeps: rows of ``sets`` (row and further columns) travel to the set they are compared with."""
     met = near.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / COMPARED).cast("int").alias("parts"))
     met = written(met, "met")
     members = near.select("a", "b").join(met, "b").select(F.col("a").alias("row"), F.col("b").alias("home"), F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("first"))
     homes = met.select(F.col("b").alias("row"), F.col("b").alias("home"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("first"))
     dealt = sets.join(written(members.unionAll(homes), "roles"), "row").repartition("home", "part").sortWithinPartitions("home", "part", F.desc("first"))
-    return written(dealt.select("row", "home", "first", "elements").mapInArrow(_compare, "a long, b long").distinct(), "links")
+    return written(dealt.select("row", "home", "first", *sets.columns[1:]).mapInArrow(compare, "a long, b long").distinct(), "links")
+
+
+def _alike(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ``near`` that the sketches let through."""
+    return _met(near, sets.select("row", "size", "sketch"), _compare_sketches)
+
+
+def _compared(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ``near`` that are links, by the ``sets`` (row, elements) of both."""
+    return _met(near, sets.select("row", "elements"), _compare)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of class ids that are links, by sets fetched from the texts."""
     near = written(_near(pairs, classes), "near")
-    return _compared(near, _fetch_sets(docs, _wanted(near, classes)))
+    if near.isEmpty():
+        return near.select("a", "b")
+    sets = written(_fetch_sets(docs, _wanted(near, classes)), "sets")
+    return _compared(_alike(near, sets), sets)
 
 
 def _wanted(near: DataFrame, classes: DataFrame) -> DataFrame:
@@ -301,29 +352,37 @@ def class_components(sets: DataFrame, docs: DataFrame, hot_level: int = HOT_LEVE
     first = _verified(written(to_hub.distinct().unionAll(to_head), "pairs"), classes, docs)
     found = written(components(first), "components")
 
-    # What is left: lists with several components.
+    # What is left: lists with several components.  Each round pairs their classes with another hub.
     labelled = member.join(found, member["row"] == found["node"], "left").select("row", "group", "n", F.coalesce("root", "row").alias("root"))
     labelled = written(labelled, "labelled")
-    rest = _open_lists(shared.select("token", "group").join(labelled, "group").select("token", "row", "n", "root"))
+    labels = labelled.select("row", "root")
+    entries = shared.select("token", "group").join(labelled, "group").select("token", "row", "n", "root")
+    for seed in range(ROUNDS):
+        open_lists = written(_open_lists(entries, seed), "open")
+        to_hub = open_lists.where("root != hub.root").where(_sizes_fit("n", "hub.n")).select(F.col("row").alias("a"), F.col("hub.row").alias("b"))
+        labels = _merged(labels, _verified(written(to_hub.distinct(), "pairs"), classes, docs))
+        entries = open_lists.select("token", "row", "n").join(labels, "row").select("token", "row", "n", "root")
+    rest = _open_lists(entries, ROUNDS).drop("hub")
     rest = rest.withColumn("before", F.collect_list("token").over(Window.partitionBy("row").orderBy("token").rowsBetween(-EARLIER, -1)))
     rest = written(rest.join(classes.select("row", "bits", "wide"), "row"), "rest")
-    other = rest.select(F.col("token").alias("other_token"), F.col("before").alias("other_before"), F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("bits").alias("bits_b"), F.col("wide").alias("wide_b"))
     # The filters are part of the join's condition: a pair that fails them is never a row.
     # A pair that shares one of the lists shortly before this one has met there.
-    across = (F.col("row") < F.col("b")) & (F.col("root") != F.col("root_b")) & _may_link("n", "n_b", "bits", "bits_b", "wide", "wide_b")
-    across = across & ~F.arrays_overlap("before", "other_before")
-    pairs = rest.join(other, (F.col("token") == F.col("other_token")) & across)
-    near = written(pairs.select(F.col("row").alias("a"), "b").distinct(), "near")
-    wanted = _wanted(near, classes)
-    sets = written(_fetch_sets(docs, wanted), "sets")
+    across = (F.col("x.row") < F.col("y.row")) & (F.col("x.root") != F.col("y.root")) & _may_link(*(f"{side}.{c}" for c in ("n", "bits", "wide") for side in "xy"))
+    across = across & ~F.arrays_overlap("x.before", "y.before")
+    pairs = rest.alias("x").join(rest.alias("y"), (F.col("x.token") == F.col("y.token")) & across)  # one side's exchange serves both
+    near = written(pairs.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct(), "near")
+    if near.isEmpty():
+        return classes, labels
+    sets = written(_fetch_sets(docs, _wanted(near, classes)), "sets")
+    near = _alike(near, sets)
     # A few pairs for each two components first: most of the others then lie inside one.
-    labels = written(labelled.select("row", "root"), "labels")
     for few in (*FEW, None):
-        tried = _across(near, labels)
+        tried = near = written(_across(near, labels), "across")
         if few:
             place = F.row_number().over(Window.partitionBy(F.least("root_a", "root_b"), F.greatest("root_a", "root_b")).orderBy(F.xxhash64("a", "b"), "a", "b"))
             tried = tried.withColumn("place", place).where(F.col("place") <= few)
         labels = _merged(labels, _compared(written(tried.select("a", "b"), "tried"), sets))
+        near = near.select("a", "b")
     return classes, labels
 
 
@@ -333,11 +392,12 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").where("root_a != root_b")
 
 
-def _open_lists(by_token: DataFrame) -> DataFrame:
-    """The lists (token, row, n, root) that hold several components; of those with the same members one stays."""
-    mark = lambda seed: F.bit_xor(F.xxhash64("row", F.lit(seed)))
-    lists = by_token.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("length"), mark(1).alias("m1"), mark(2).alias("m2"))
-    kept = lists.where("lo < hi").groupBy("length", "m1", "m2").agg(F.min("token").alias("token")).select("token")
+def _open_lists(by_token: DataFrame, seed: int) -> DataFrame:
+    """The lists (token, row, n, root) that hold several components, each with a ``hub`` that ``seed`` draws; of those with the same members one stays."""
+    mark = lambda x: F.bit_xor(F.xxhash64("row", F.lit(x)))
+    hub = F.min(F.struct(F.xxhash64("row", F.lit(seed)).alias("drawn"), "row", "n", "root"))
+    lists = by_token.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("length"), mark(1).alias("m1"), mark(2).alias("m2"), hub.alias("hub"))
+    kept = lists.where("lo < hi").groupBy("length", "m1", "m2").agg(F.min(F.struct("token", "hub")).alias("kept")).select("kept.*")
     return by_token.join(kept, "token")
 
 
