@@ -185,6 +185,24 @@ def test_sketch_bounds_the_difference_of_sets_of_any_size():
     assert 2 * jaccard_join.bitmap(a, jaccard_join.WIDE_WORDS).size * 64 * 175 < 4 * 25 * (len(a) + len(b))
 
 
+def test_near_group_comes_together_without_the_square(documents, monkeypatch):
+    """The smallest set of every list links with nothing, the others with most of their kind."""
+    base = words(31, 110).split()
+    rows = [(i, " ".join(w if k != edit else f"n{i}" for k, w in enumerate(base))) for i, edit in enumerate([*range(2, 108)] * 2)]
+    rows += [(1_000 + i, " ".join(base[:84])) for i in range(2)] + [(2_000 + i, " ".join(base[26:])) for i in range(2)]
+    counts, kept = Counter(), jaccard_join.written
+
+    def recorded(df, label):
+        table = kept(df, label)
+        counts[label] = max(counts[label], table.count())
+        return table
+
+    monkeypatch.setattr(jaccard_join, "written", recorded)
+    found = jaccard_join.jaccard_join(documents(rows))
+    assert rows_of(found, "doc_id", "n_shingles", "component_id") == near_by_hand(rows)
+    assert counts["near"] < 5 * len(rows)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (300, 200)]
     found = dict(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect())
