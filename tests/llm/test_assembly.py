@@ -220,3 +220,55 @@ def test_pipeline(spark):
 def test_stages_on_empty_tables(spark, documents):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, documents([]), SMALL).count() == 0, name
+
+
+# --- batches -------------------------------------------------------------------------------------
+
+
+def test_blocks_are_bounded_by_bytes_whatever_the_batches(monkeypatch):
+    import pyarrow as pa
+
+    from watchledger.llm import common
+
+    texts = [None, "", "a" * 7, "b" * 30, "c" * 4, "d" * 4, "", "e", None, "f" * 9, *["g"] * 9]
+    for size in (1, 2, 3, 50):
+        for limit, most in ((10, 10_000), (10, 4), (1, 3), (1 << 20, 10_000)):
+            monkeypatch.setattr(common, "BLOCK_ROWS", most)
+            batches = pa.table({"n": range(len(texts)), "text": pa.array(texts, pa.string())}).to_batches(max_chunksize=size)
+            found = list(common.blocks([batches[0].slice(0, 0), *batches], limit=limit))
+            assert [r for b in found for r in b.to_pylist()] == [{"n": n, "text": t} for n, t in enumerate(texts)]
+            held = [[len(t or "") for t in b.column("text").to_pylist()] for b in found]
+            assert all(len(h) <= most and (sum(h) <= limit or sum(map(bool, h)) == 1) for h in held)
+            if (limit, most) == (1 << 20, 10_000):
+                assert len(found) == 1
+    assert list(common.blocks([])) == []
+
+
+def test_corpus_work_gets_small_arrow_batches(spark, documents):
+    """Before, a batch held 10,000 texts: over 0.5 GB an executor and its workers went beyond 3000 MB."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.set(key, "10000")
+            stage(spark, documents([(1, words(1, 20), "en", "a")]), SMALL)
+            assert int(spark.conf.get(key)) <= 1_000, name
+        spark.conf.set(key, "50")
+        entry = __import__("__spark_entry__").queries()
+        entry["op3_html_text"](spark, SMALL)
+        assert spark.conf.get(key) == "50"  # a smaller setting stays
+        spark.conf.set(key, "0")
+        entry["op3_html_text"](spark, SMALL)
+        assert 0 < int(spark.conf.get(key)) <= 1_000
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_token_report_reads_the_files_once(spark, documents, tmp_path, monkeypatch):
+    """Before, the shards' sums and the documents each decoded all ids."""
+    out = str(tmp_path / "tokens")
+    orc_tokens.write_tokens(documents([(i, words(i, 20)) for i in range(50)]), out)
+    report = orc_tokens.token_report(orc_tokens.read_tokens(spark, out))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "orc" not in plan.lower().replace("force", "")
+    assert report.count() == 50
