@@ -134,6 +134,16 @@ def test_encoder_equals_the_library(tokenizer):
         assert encode(t) == plain(t), repr(t)
 
 
+def test_ascii_parts_are_the_pre_tokenizers(tokenizer):
+    """What the fast path for ASCII cuts and maps, byte by byte and in odd company."""
+    rng, encode = random.Random(5), orc_tokens.Encoder(orc_tokens.tokenizer_file(), cache=50)
+    some = [chr(c) for c in range(128)] + ["'s", "'ll", "'re", "'VE", "ab", "12", "$$$", "\n\n"]
+    for t in [*some, *("".join(rng.choices(some, k=rng.randrange(1, 9))) for _ in range(3000))]:
+        assert "<|" in t or orc_tokens._ASCII_PART.findall(t) == orc_tokens._PART.findall(t), repr(t)
+        assert encode(t) == np.asarray(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), repr(t)
+    assert sorted(encode.letter) == sorted(set(encode.letter)) and len(encode.letter) == 256
+
+
 def test_other_tokenizers_go_through_the_library():
     from tokenizers import Tokenizer
 

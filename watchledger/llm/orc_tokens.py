@@ -23,6 +23,7 @@ gives no rows.  Other columns are ignored.
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
@@ -49,6 +50,8 @@ _FOREIGN = re.compile("[^\x00-\u024f]")
 _LAST_PLAIN = "\u024f"
 _MARKS = frozenset(".,;:!?")
 _PART = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: The same for ASCII, where the standard library's faster classes say the same.
+_ASCII_PART = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -104,14 +107,15 @@ class Encoder:
         self.by_piece = cuts_at_spaces(path)
         self.tokenize = self.tokenizer.model.tokenize
         self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.letters = byte_letters()
-        self.space = chr(self.letters[0x20])
+        letters = byte_letters()
+        self.letter = "".join(chr(letters.get(b, b)) for b in range(256))
+        self.space = self.letter[0x20]
         self.parts = _Filled(self.part, cache)
         self.spaced = _Filled(self.word, cache)
         self.first = _Filled(self.piece, cache // 10)
 
     def part(self, part: str) -> bytes:
-        mapped = part.encode().decode("latin-1").translate(self.letters)
+        mapped = codecs.charmap_decode(part.encode(), "strict", self.letter)[0]
         return b"".join([self.as_bytes[t.id] for t in self.tokenize(mapped)])
 
     def word(self, word: str) -> bytes:
@@ -128,6 +132,8 @@ class Encoder:
     def piece(self, piece: str) -> bytes:
         if not piece:
             return b""
+        if piece.isascii() and "<|" not in piece:
+            return b"".join(map(self.parts.__getitem__, _ASCII_PART.findall(piece)))
         if "<|" in piece or _FOREIGN.search(piece):
             return np.asarray(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.parts.__getitem__, _PART.findall(piece)))
