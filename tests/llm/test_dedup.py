@@ -203,6 +203,35 @@ def test_near_group_comes_together_without_the_square(documents, monkeypatch):
     assert counts["near"] < 5 * len(rows)
 
 
+def near_rows(n, first=3_000):
+    return [(first + i, " ".join([*words(900 + i // 3, 60).split(), f"n{i}"])) for i in range(n)]
+
+
+@pytest.mark.parametrize("slices", [1, 4, 16])
+def test_lists_in_slices_are_the_same(documents, hostile, monkeypatch, slices):
+    """One slice of the tokens at a time: its written lists are smaller, and all of them are there."""
+    monkeypatch.setattr(jaccard_join, "SLICES", slices)
+    sizes, kept = [], jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda df, label: (label == "lists" and sizes.append(df.count()), kept(df, label))[1])
+    rows = hostile + near_rows(60)
+    assert rows_of(jaccard_join.jaccard_join(documents(rows)), "doc_id", "n_shingles", "component_id") == near_by_hand(rows)
+    assert len(sizes) == slices and max(sizes) < 2 * sum(sizes) / slices + 50
+
+
+def test_repeats_of_the_row_that_stays(documents):
+    """Rows with the id and the set of the one that stays, in other words' order and case, go; so do null ids."""
+    base = words(970, 40)
+    rows = [(7, base), (7, base.upper()), (7, base + "  "), (8, base), (None, base), (None, base), (9, words(971, 40)), (9, words(972, 40)), (None, None), (None, "")]
+    kept = [(r["doc_id"], (r["text"] or "").lower().strip()) for r in jaccard_join.keep_one(documents(rows)).collect()]
+    assert sorted(kept, key=repr) == sorted([(7, base), (9, words(971, 40)), (9, words(972, 40)), (None, ""), (None, "")], key=repr)
+
+
+def test_shuffle_files_of_ended_queries_are_gone(spark):
+    from watchledger.llm.common import small_batches
+
+    assert small_batches(spark).conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (300, 200)]
     found = dict(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect())

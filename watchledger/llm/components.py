@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchledger.llm.common import written
+from watchledger.llm.common import discard, written
 
 _EDGE = "a long, b long"
 
@@ -39,7 +39,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = _fingerprint(edges)
     while before[0]:
-        edges = written(_small_star(_large_star(edges).distinct()).distinct(), "edges")
+        old, edges = edges, written(_small_star(_large_star(edges).distinct()).distinct(), "edges")
+        discard(old)
         after = _fingerprint(edges)
         if after == before:
             break

@@ -32,6 +32,9 @@ met by many is repeated for parts of them.  Sketches, bitmaps that grow with the
 but have a tenth of its bytes, travel first; only pairs that they let through are
 compared by sets.
 
+Lists are formed slice by slice of the tokens, and tables and shuffle files that have been
+read for the last time are removed, so the disk holds one slice's entries at a time.
+
 Null texts are empty.  A component is named by its smallest doc_id (null ids do
 not count unless there is no other).  Repeated rows fall into one class; an empty
 table gives no rows; further columns are ignored.
@@ -39,6 +42,8 @@ table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,14 +51,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from watchledger.llm.common import blocks, record, whole_row, written
+from watchledger.llm.common import CHUNK, blocks, discard, gather, id_filter, passes, record, without_losers, written
 from watchledger.llm.components import components
 
 SHINGLE = 5
 PERCENT = 75
 #: Slots of the level table: its size in bytes, whatever the corpus.
 SLOTS = 1 << 21
+#: Bytes of text whose sets a task makes together; they and the batch they leave in take a dozen times as much.
+SET_BYTES = 1 << 20
 #: Elements that a task counts together, at least; it holds little more.
 COUNTED = 2_000_000
 #: Lists of elements above this level (log2 of the count) are split.
@@ -71,10 +79,9 @@ SKETCH_BITS = 4
 ROUNDS = 2
 #: Sets that one task compares with the same set.
 COMPARED = 1000
-#: Bits of the filter of sets to fetch, at most.
-FILTER_BITS = 1 << 27
+#: Parts of the hash range whose lists are formed one after the other; the shuffle of one is gone before the next. A power of two.
+SLICES = 4
 _LEVEL_BITS = 6
-_CHUNK = 1 << 12
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -112,14 +119,6 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def _gather(chunks: DataFrame, size: int) -> np.ndarray:
-    """A byte table of fixed ``size`` from rows (chunk, data)."""
-    table = np.zeros(size, np.uint8)
-    for c, data in zip(*chunks.toArrow().select(["chunk", "data"]).to_pydict().values()):
-        table[c * _CHUNK : (c + 1) * _CHUNK] = np.frombuffer(data, np.uint8)
-    return table
-
-
 def level_table(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
     """log2 of how often the elements of a slot occur beside others of their kind; ``slots`` bytes."""
 
@@ -133,7 +132,7 @@ def level_table(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
             n = np.bincount(where, weights=counts, minlength=len(slot)).astype(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(n)], names=["slot", "n"])
 
-        for b in blocks(batches):
+        for b in blocks(batches, limit=SET_BYTES):
             sets += shingle_sets(b.column("text"))
             if sum(map(len, sets)) > COUNTED:
                 yield often()
@@ -141,13 +140,13 @@ def level_table(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
         yield often()
 
     def pack(table: pa.Table) -> pa.Table:
-        data = np.zeros(_CHUNK, np.uint8)
-        data[table.column("slot").to_numpy() % _CHUNK] = np.log2(table.column("n").to_numpy()).astype(np.uint8)
+        data = np.zeros(CHUNK, np.uint8)
+        data[table.column("slot").to_numpy() % CHUNK] = np.log2(table.column("n").to_numpy()).astype(np.uint8)
         return pa.table({"chunk": [table.column("chunk")[0].as_py()], "data": [data.tobytes()]})
 
     sums = _texts(docs).select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    chunks = sums.withColumn("chunk", F.floor(F.col("slot") / _CHUNK)).groupBy("chunk").applyInArrow(pack, "chunk long, data binary")
-    return np.minimum(_gather(chunks, slots), (1 << _LEVEL_BITS) - 1)
+    chunks = sums.withColumn("chunk", F.floor(F.col("slot") / CHUNK)).groupBy("chunk").applyInArrow(pack, "chunk long, data binary")
+    return np.minimum(gather(chunks, slots), (1 << _LEVEL_BITS) - 1)
 
 
 def bitmap(elements: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
@@ -180,7 +179,7 @@ def set_table(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     def run(batches):
         table = shared.value
         mask = np.uint64(len(table) - 1)
-        for b in blocks(batches):
+        for b in blocks(batches, limit=SET_BYTES):
             rows = []
             for s in shingle_sets(b.column("text")):
                 n = len(s)
@@ -200,43 +199,17 @@ _FETCHED = pa.schema([("set_id", pa.binary()), ("size", pa.int64()), ("sketch",
 
 
 def _fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """row, size, sketch and elements of the ``wanted`` classes (row, set_id, doc_id), from the texts; a class may come twice."""
-    n = max(1, wanted.count())
-    bits = min(FILTER_BITS, 1 << max(15, (8 * n - 1).bit_length()))
-    size = bits // 8
-
-    def place(ids: np.ndarray) -> list[np.ndarray]:
-        x = ids.astype(np.int64).view(np.uint64) * _MULTIPLIER
-        x ^= x >> np.uint64(31)
-        return [(x % np.uint64(bits)).astype(np.int64), ((x * _MULTIPLIER) >> np.uint64(20)).astype(np.int64) % bits]
-
-    def mark(batches):
-        for b in batches:
-            at = np.concatenate(place(pa.compute.fill_null(b.column("doc_id"), 0).to_numpy(zero_copy_only=False)))
-            at = np.unique(at)
-            yield pa.RecordBatch.from_arrays([pa.array(at // 8 // _CHUNK), pa.array(at % (8 * _CHUNK))], names=["chunk", "bit"])
-
-    def pack(table: pa.Table) -> pa.Table:
-        data = np.zeros(8 * _CHUNK, np.uint8)
-        data[table.column("bit").to_numpy()] = 1
-        return pa.table({"chunk": [table.column("chunk")[0].as_py()], "data": [np.packbits(data).tobytes()]})
-
-    marks = wanted.select("doc_id").mapInArrow(mark, "chunk long, bit long").distinct()
-    table = _gather(marks.groupBy("chunk").applyInArrow(pack, "chunk long, data binary"), size)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    """set_id, size, sketch and elements of the ``wanted`` classes (doc_id), from the texts; a class may come twice, and a few others come along."""
+    shared = docs.sparkSession.sparkContext.broadcast(id_filter(wanted))
 
     def run(batches):
-        table = shared.value
-        for b in blocks(batches):
-            a, z = place(pa.compute.fill_null(b.column("doc_id"), 0).to_numpy(zero_copy_only=False))
-            has = lambda at: (table[at // 8] >> (7 - at % 8)) & 1
-            held = b.filter(pa.array((has(a) & has(z)).astype(bool)))
+        for b in blocks(batches, limit=SET_BYTES):
+            held = b.filter(pa.array(passes(shared.value, b.column("doc_id"))))
             sets = shingle_sets(held.column("text"))
             yield record(_FETCHED, {
                 "set_id": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "size": [len(s) for s in sets], "sketch": [sketch(s) for s in sets], "elements": [s.view(np.int64) for s in sets]})
 
-    found = _texts(docs).mapInArrow(run, "set_id binary, size long, sketch binary, elements array<long>")
-    return found.join(wanted.select("row", "set_id"), "set_id").select("row", "size", "sketch", "elements")
+    return _texts(docs).mapInArrow(run, "set_id binary, size long, sketch binary, elements array<long>")
 
 
 def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -283,33 +256,41 @@ def _compare_sketches(batches):
         yield _pairs(found)
 
 
-def _met(near: DataFrame, sets: DataFrame, compare) -> DataFrame:
-    """The pairs (a, b) of ``near`` that ``compare`` keeps: rows of ``sets`` (row and further columns) travel to the set they are compared with."""
+def _met(near: DataFrame, wanted: DataFrame, sets: DataFrame, compare) -> DataFrame:
+    """The pairs (a, b) of ``near`` that ``compare`` keeps: rows of ``sets`` (set_id and further columns) travel to the set they are compared with."""
     met = near.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / COMPARED).cast("int").alias("parts"))
     met = written(met, "met")
     members = near.select("a", "b").join(met, "b").select(F.col("a").alias("row"), F.col("b").alias("home"), F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("first"))
     homes = met.select(F.col("b").alias("row"), F.col("b").alias("home"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("first"))
-    dealt = sets.join(written(members.unionAll(homes), "roles"), "row").repartition("home", "part").sortWithinPartitions("home", "part", F.desc("first"))
-    return written(dealt.select("row", "home", "first", *sets.columns[1:]).mapInArrow(compare, "a long, b long").distinct(), "links")
+    roles = written(members.unionAll(homes).join(wanted.select("row", "set_id"), "row"), "roles")
+    dealt = sets.join(roles, "set_id").select("row", "home", "part", "first", *sets.columns[1:]).repartition("home", "part").sortWithinPartitions("home", "part", F.desc("first"))
+    links = written(dealt.drop("part").mapInArrow(compare, "a long, b long").distinct(), "links")
+    discard(met, roles)
+    return links
 
 
-def _alike(near: DataFrame, sets: DataFrame) -> DataFrame:
+def _alike(near: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of ``near`` that the sketches let through."""
-    return _met(near, sets.select("row", "size", "sketch"), _compare_sketches)
+    return _met(near, wanted, sets.select("set_id", "size", "sketch"), _compare_sketches)
 
 
-def _compared(near: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ``near`` that are links, by the ``sets`` (row, elements) of both."""
-    return _met(near, sets.select("row", "elements"), _compare)
+def _compared(near: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ``near`` that are links, by the ``sets`` (set_id, elements) of both."""
+    return _met(near, wanted, sets.select("set_id", "elements"), _compare)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of class ids that are links, by sets fetched from the texts."""
+    """The pairs (a, b) of class ids that are links, by sets fetched from the texts; the written ``pairs`` are gone afterwards."""
     near = written(_near(pairs, classes), "near")
+    discard(pairs)
     if near.isEmpty():
         return near.select("a", "b")
-    sets = written(_fetch_sets(docs, _wanted(near, classes)), "sets")
-    return _compared(_alike(near, sets), sets)
+    wanted = _wanted(near, classes)
+    sets = written(_fetch_sets(docs, wanted), "sets")
+    alike = _alike(near, wanted, sets)
+    links = _compared(alike, wanted, sets)
+    discard(near, wanted, sets, alike)
+    return links
 
 
 def _wanted(near: DataFrame, classes: DataFrame) -> DataFrame:
@@ -338,15 +319,8 @@ def class_components(sets: DataFrame, docs: DataFrame, hot_level: int = HOT_LEVE
     classes = written(classes, "classes")
     groups = classes.groupBy("n", "prefix_id").agg(F.min("row").alias("group"), F.count(F.lit(1)).alias("held"))
     member = written(classes.join(groups, ["n", "prefix_id"]).select("row", "group", "n", "held"), "members")
-    heads = full.select("row", "prefix").join(member.where("row = group").select("row", "n", "held"), "row")
-    lists = heads.select(F.col("row").alias("group"), "n", "held", F.explode("prefix").alias("token"))
-    level = F.col("token").bitwiseAND((1 << _LEVEL_BITS) - 1)
-    parts = F.pow(F.lit(2.0), F.least(F.greatest(level - hot_level, F.lit(0)), F.lit(40))).cast("long")
-    lists = lists.withColumn("salt", F.pmod(F.xxhash64("group", "token"), parts)).withColumn("parts", parts)
-    near = Window.partitionBy("token", "salt")
-    hubs = lists.withColumn("hub", F.min(F.struct("n", "group")).over(near)).withColumn("length", F.sum("held").over(near))
-    # A list counts the classes of its groups: classes of one group meet here as well.
-    shared = written(hubs.where("length > 1 or parts > 1").select("token", "group", "n", "hub"), "lists")
+    slices = [written(_lists(full, member, k, hot_level), "lists") for k in range(SLICES)]
+    shared = reduce(DataFrame.unionAll, slices)
     to_hub = shared.where("group != hub.group").where(_sizes_fit("n", "hub.n")).select(F.col("group").alias("a"), F.col("hub.group").alias("b"))
     to_head = member.where("row != group").select(F.col("row").alias("a"), F.col("group").alias("b"))
     first = _verified(written(to_hub.distinct().unionAll(to_head), "pairs"), classes, docs)
@@ -355,37 +329,58 @@ def class_components(sets: DataFrame, docs: DataFrame, hot_level: int = HOT_LEVE
     # What is left: lists with several components.  Each round pairs their classes with another hub.
     labelled = member.join(found, member["row"] == found["node"], "left").select("row", "group", "n", F.coalesce("root", "row").alias("root"))
     labelled = written(labelled, "labelled")
+    discard(member, first, found)
     labels = labelled.select("row", "root")
     entries = shared.select("token", "group").join(labelled, "group").select("token", "row", "n", "root")
     for seed in range(ROUNDS):
         open_lists = written(_open_lists(entries, seed), "open")
         to_hub = open_lists.where("root != hub.root").where(_sizes_fit("n", "hub.n")).select(F.col("row").alias("a"), F.col("hub.row").alias("b"))
+        discard(*slices)  # each round reads the lists of the one before
+        slices = [open_lists]
         labels = _merged(labels, _verified(written(to_hub.distinct(), "pairs"), classes, docs))
         entries = open_lists.select("token", "row", "n").join(labels, "row").select("token", "row", "n", "root")
     rest = _open_lists(entries, ROUNDS).drop("hub")
     rest = rest.withColumn("before", F.collect_list("token").over(Window.partitionBy("row").orderBy("token").rowsBetween(-EARLIER, -1)))
     rest = written(rest.join(classes.select("row", "bits", "wide"), "row"), "rest")
+    discard(*slices)
     # The filters are part of the join's condition: a pair that fails them is never a row.
     # A pair that shares one of the lists shortly before this one has met there.
     across = (F.col("x.row") < F.col("y.row")) & (F.col("x.root") != F.col("y.root")) & _may_link(*(f"{side}.{c}" for c in ("n", "bits", "wide") for side in "xy"))
     across = across & ~F.arrays_overlap("x.before", "y.before")
     pairs = rest.alias("x").join(rest.alias("y"), (F.col("x.token") == F.col("y.token")) & across)  # one side's exchange serves both
     near = written(pairs.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct(), "near")
+    discard(rest)
     if near.isEmpty():
         return classes, labels
-    sets = written(_fetch_sets(docs, _wanted(near, classes)), "sets")
-    near = _alike(near, sets)
+    wanted = _wanted(near, classes)
+    sets = written(_fetch_sets(docs, wanted), "sets")
+    near = _alike(near, wanted, sets)
     # A few pairs for each two components first: most of the others then lie inside one.
     for few in (*FEW, None):
         tried = near = written(_across(near, labels), "across")
         if few:
             place = F.row_number().over(Window.partitionBy(F.least("root_a", "root_b"), F.greatest("root_a", "root_b")).orderBy(F.xxhash64("a", "b"), "a", "b"))
             tried = tried.withColumn("place", place).where(F.col("place") <= few)
-        labels = _merged(labels, _compared(written(tried.select("a", "b"), "tried"), sets))
+        labels = _merged(labels, _compared(written(tried.select("a", "b"), "tried"), wanted, sets))
         near = near.select("a", "b")
+    discard(wanted, sets)
     return classes, labels
 
 
+def _lists(sets: DataFrame, member: DataFrame, k: int, hot_level: int) -> DataFrame:
+    """token, group, n and hub of the lists with two classes or more in one slice of the tokens."""
+    sliced = F.filter("prefix", lambda x: x.bitwiseAND((SLICES - 1) << _LEVEL_BITS) == k << _LEVEL_BITS)
+    heads = sets.select("row", sliced.alias("prefix")).join(member.where("row = group").select("row", "n", "held"), "row")
+    lists = heads.select(F.col("row").alias("group"), "n", "held", F.explode("prefix").alias("token"))
+    level = F.col("token").bitwiseAND((1 << _LEVEL_BITS) - 1)
+    parts = F.pow(F.lit(2.0), F.least(F.greatest(level - hot_level, F.lit(0)), F.lit(40))).cast("long")
+    near = Window.partitionBy("token", "salt")
+    hubs = lists.withColumn("salt", F.pmod(F.xxhash64("group", "token"), parts))
+    hubs = hubs.withColumn("hub", F.min(F.struct("n", "group")).over(near)).withColumn("length", F.sum("held").over(near))
+    # A list counts the classes of its groups: classes of one group meet here as well.
+    return hubs.where((F.col("length") > 1) | (parts > 1)).select("token", "group", "n", "hub")
+
+
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs (a, b) of different components, with their roots."""
     of = lambda x: labels.select(F.col("row").alias(x), F.col("root").alias(f"root_{x}"))
@@ -402,33 +397,54 @@ def _open_lists(by_token: DataFrame, seed: int) -> DataFrame:
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """(row, root) with the components that ``links`` (a, b) bridge made one."""
+    """(row, root) with the components that ``links`` (a, b) bridge made one; written ``labels`` and ``links`` are gone afterwards."""
     bridged = _across(links, labels).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
     roots = written(components(bridged), "components").withColumnRenamed("root", "to")
-    return written(labels.join(roots, labels["root"] == roots["node"], "left").select("row", F.coalesce("to", "root").alias("root")), "labels")
+    merged = written(labels.join(roots, labels["root"] == roots["node"], "left").select("row", F.coalesce("to", "root").alias("root")), "labels")
+    discard(labels, links)
+    return merged
 
 
 def near_components(docs: DataFrame) -> DataFrame:
-    """row, doc_id, n, root of each document of ``docs`` (doc_id, row, text); the root is null for empty sets."""
+    """row, doc_id, set_id, n, root of each document of ``docs`` (doc_id, row, text), written; the root is null for empty sets."""
     sets = written(set_table(docs, level_table(docs)), "sets")
     classes, roots = class_components(sets, docs)
     by_class = classes.select("set_id", "n", "row").join(roots, "row").select("set_id", "n", "root")
-    return sets.select("row", "doc_id", "n", "set_id").join(by_class, ["set_id", "n"], "left").select("row", "doc_id", "n", "root")
+    found = written(sets.select("row", "doc_id", "n", "set_id").join(by_class, ["set_id", "n"], "left").select("row", "doc_id", "set_id", "n", "root"), "near-components")
+    discard(sets, classes, roots)
+    return found
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     numbered = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-    found = written(near_components(numbered), "near-components")
+    found = near_components(numbered)
     names = found.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
     shared = names.where("size > 1").drop("size")
     return found.join(shared, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those that follow another row of their component; the smallest doc_id stays."""
-    numbered = written(docs.select(F.monotonically_increasing_id().alias("row"), whole_row(docs)), "numbered")
-    found = written(near_components(numbered.select("row", "document.doc_id", "document.text")), "near-components")
+    """The rows of ``docs`` without those that follow another row of their component; the smallest doc_id stays.
+
+    Rows that repeat its id and set are one document; one of them stays.
+    """
+    found = near_components(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text"))
     stays = found.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("size"))
-    extra = found.join(stays.where("size > 1").select("root", F.col("first.row").alias("stay")), "root").where("row != stay")
-    return numbered.join(extra.select("row"), "row", "left_anti").select("document.*")
+    mine = found.join(stays.where("size > 1").select("root", F.col("first.row").alias("stay")), "root")
+    fates = mine.groupBy("doc_id", "set_id").agg(F.max(F.col("row") == F.col("stay")).alias("stays"), F.count(F.lit(1)).alias("rows"))
+    fates = written(fates.where("rows > 1 or not stays").select(F.col("doc_id").alias("_id"), F.col("set_id").alias("_key"), "stays"), "fates")
+    discard(found)
+    return without_losers(docs, fates, _with_set_id)
+
+
+def _with_set_id(packed: DataFrame) -> DataFrame:
+    """id, set_id as key, and document (the whole row)."""
+
+    def run(batches):
+        for b in batches:
+            for block in blocks([b.append_column("text", b.column("document").field("text").cast(pa.string()))], limit=SET_BYTES):
+                found = [xxhash.xxh3_128_digest(s.tobytes()) for s in shingle_sets(block.column("text"))]
+                yield pa.RecordBatch.from_arrays([block.column("id"), pa.array(found, pa.binary()), block.column("document")], names=["id", "key", "document"])
+
+    return packed.mapInArrow(run, StructType([StructField("id", LongType()), StructField("key", BinaryType()), packed.schema["document"]]))
