@@ -218,6 +218,34 @@ def test_lists_in_slices_are_the_same(documents, hostile, monkeypatch, slices):
     assert len(sizes) == slices and max(sizes) < 2 * sum(sizes) / slices + 50
 
 
+def on_disk(spark):
+    from pathlib import Path
+
+    from watchledger.workspace import session_dir
+
+    return {p for p in Path(session_dir(spark).removeprefix("file:")).glob("*") if p.is_dir()}
+
+
+@pytest.mark.parametrize("drop", [lambda docs: jaccard_join.keep_one(docs), lambda docs: exact_dedup.keep_winners(docs, exact_dedup.in_history())])
+def test_no_copy_of_the_texts_stays_behind(spark, documents, drop):
+    """Afterwards the shared folder holds ids and digests, neither sets nor texts nor lists."""
+    rows = near_rows(60) + [(5_000 + i, words(950, 2_000)) for i in range(4)]
+    before = on_disk(spark)
+    kept = drop(documents(rows))
+    assert 1 < kept.count() < len(rows)
+    left = {p.name.rsplit("-", 1)[0] for p in on_disk(spark) - before}
+    assert not left & {"numbered", "sets", "lists", "members", "classes", "open", "rest", "wanted", "digests", "digest-index"}
+
+
+def test_only_named_documents_are_shuffled(spark, documents):
+    """Documents that no fate names pass by the join, whatever the size of the table of fates."""
+    rows = [(i, words(i, 20)) for i in range(200)] + [(300 + i, words(0, 20)) for i in range(3)]
+    kept = exact_dedup.keep_winners(documents(rows), exact_dedup.in_history())
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and plan.split("Join LeftAnti")[0].count("MapInArrow") == 1
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(1, 200), 302]
+
+
 def test_repeats_of_the_row_that_stays(documents):
     """Rows with the id and the set of the one that stays, in other words' order and case, go; so do null ids."""
     base = words(970, 40)

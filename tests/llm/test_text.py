@@ -64,6 +64,15 @@ def test_no_labels_no_language(documents):
     assert rows_of(language_id.predict(documents([(1, "some words")]), {}), "lang_pred", "score") == [("und", 0.0)]
 
 
+def test_learning_holds_the_grams_of_few_texts(documents, monkeypatch):
+    """The n-grams that are sorted together come from ``COUNTED_BYTES`` of text, and the profiles are those of all texts."""
+    docs = documents([(i, words(i, 400), "ab"[i % 2] * 2) for i in range(60)], partitions=1)
+    want = language_id.learn_profiles(docs, train_docs=None)
+    monkeypatch.setattr(language_id, "COUNTED_BYTES", 5_000)
+    assert {k: v.tolist() for k, v in language_id.learn_profiles(docs, train_docs=None).items()} == {k: v.tolist() for k, v in want.items()}
+    assert len(list(language_id.blocks([docs.select("text").toArrow().combine_chunks().to_batches()[0]], limit=language_id.COUNTED_BYTES))) > 20
+
+
 def test_ties_go_to_the_first_language():
     same = np.asarray([ord("a")], np.int64)
     assert language_id.Classifier({"b": same, "a": same})("aaa")[0] == "a"

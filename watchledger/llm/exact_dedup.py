@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from watchledger.llm.common import as_bytes, blocks, record, row_numbers, whole_row, written
+from watchledger.llm.common import as_bytes, blocks, discard, record, row_numbers, without_losers, written
 
 #: Digests of one index shard; bounds a task's memory at any size of history.
 SHARD_DIGESTS = 40_000
@@ -170,6 +170,7 @@ def merge_with_history(new: DataFrame, history: DataFrame) -> DataFrame:
         "digest", F.greatest("winner", "old").alias("winner"), (F.col("copies") + F.col("old_copies")).alias("copies"))
     alone = found.where("not member").select("digest", "winner", "copies")
     unseen = old.join(repeats.select("digest"), "digest", "left_anti")
+    discard(index)
     return repeats.unionByName(alone).unionByName(unseen)
 
 
@@ -207,24 +208,18 @@ def keep_winners(docs: DataFrame, is_history) -> DataFrame:
     shared = written(groups.where("copies > 1").select("digest", F.col("winner.doc_id").alias("keep")), "groups")
     same = F.col("doc_id").eqNullSafe(F.col("keep"))
     fates = rows.join(shared, "digest").groupBy("doc_id", "digest", same.alias("stays")).agg(F.count(F.lit(1)).alias("rows"))
-    fates = written(fates.where("rows > 1 or not stays").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "stays"), "fates")
-    marked = _with_digest(docs)
-    is_fate = marked["id"].eqNullSafe(fates["_id"]) & (marked["digest"] == fates["_digest"])
-    kept = marked.join(fates.where("not stays"), is_fate, "left_anti")
-    if not fates.where("stays").isEmpty():  # the same id and text twice or more: only these rows are compared
-        repeats = kept.join(fates.where("stays"), is_fate, "left_semi").dropDuplicates(["id", "digest"])
-        kept = kept.join(fates.where("stays"), is_fate, "left_anti").unionByName(repeats)
-    return kept.select("document.*")
+    fates = written(fates.where("rows > 1 or not stays").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_key"), "stays"), "fates")
+    discard(rows, shared)
+    return without_losers(docs, fates, _with_digest)
 
 
-def _with_digest(docs: DataFrame) -> DataFrame:
-    """id, digest and document (the whole row)."""
+def _with_digest(packed: DataFrame) -> DataFrame:
+    """id, digest as key, and document (the whole row)."""
 
     def run(batches):
         for b in batches:
             for block in blocks([b.append_column("text", b.column("document").field("text").cast(pa.string()))]):
                 found = [normalised_digest(t) for t in as_bytes(block.column("text"))]
-                yield pa.RecordBatch.from_arrays([block.column("id"), pa.array(found, pa.binary()), block.column("document")], names=["id", "digest", "document"])
+                yield pa.RecordBatch.from_arrays([block.column("id"), pa.array(found, pa.binary()), block.column("document")], names=["id", "key", "document"])
 
-    packed = docs.select(F.col("doc_id").cast("long").alias("id"), whole_row(docs.withColumn("text", F.col("text").cast("string"))))
-    return packed.mapInArrow(run, StructType([StructField("id", LongType()), StructField("digest", BinaryType()), packed.schema["document"]]))
+    return packed.mapInArrow(run, StructType([StructField("id", LongType()), StructField("key", BinaryType()), packed.schema["document"]]))
